@@ -450,4 +450,48 @@ FROM t_bronze""", [])
 
 
 def oracle_statements(p: Params = TESTDATA) -> dict[str, str]:
-    return {name: with_base(body, cols, p) for name, (body, cols) in query_bodies(p).items()}
+    bodies = {**query_bodies(p), **dq_bodies()}
+    return {name: with_base(body, cols, p) for name, (body, cols) in bodies.items()}
+
+
+# ------------------------------------------------------------------ data-quality tests
+
+ORACLE_TABLES = {
+    "int_taxi_trips_zones_joined": "t_silver", "stg_zones": "t_zones", "fct_trips": "t_fact_keyed",
+    "dim_date": "t_dim_date", "dim_zones": "t_dim_zones", "dim_service_type": "t_dim_service_type",
+    "dim_payment_type": "t_dim_payment_type", "dim_vendors": "t_dim_vendors",
+}
+
+
+def _lit(v) -> str:
+    return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+
+
+def dq_sql(tests) -> str:
+    parts = []
+    for t in tests:
+        src, col = ORACLE_TABLES[t.table], t.column
+        head = f"SELECT '{t.table}' AS table_name, '{col}' AS column_name, '{t.test}' AS test_name, "
+        if t.test == "not_null":
+            parts.append(head + f"CAST(count(*) AS BIGINT) AS violations FROM {src} WHERE {col} IS NULL")
+        elif t.test == "unique":
+            parts.append(head + f"CAST(count(*) AS BIGINT) AS violations FROM (SELECT {col} FROM {src} "
+                                f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)")
+        elif t.test == "accepted_values":
+            vals = ", ".join(_lit(v) for v in t.values)
+            parts.append(head + f"CAST(count(*) AS BIGINT) AS violations FROM (SELECT {col} FROM {src} "
+                                f"WHERE {col} IS NOT NULL AND {col} NOT IN ({vals}) GROUP BY {col})")
+        else:
+            parent = ORACLE_TABLES[t.to]
+            parts.append(head + f"CAST(count(*) AS BIGINT) AS violations FROM {src} c "
+                                f"LEFT JOIN {parent} p ON c.{col} = p.{t.field} "
+                                f"WHERE c.{col} IS NOT NULL AND p.{t.field} IS NULL")
+    union = "\nUNION ALL\n".join(parts)
+    return f"SELECT *, violations = 0 AS passed FROM (\n{union}\n) AS tests"
+
+
+def dq_bodies() -> dict[str, tuple[str, list[str]]]:
+    from tripmart.plans import expectations as X
+
+    return {"dq_silver_tests": (dq_sql(X.SILVER_TESTS), []),
+            "dq_gold_tests": (dq_sql(X.GOLD_TESTS), [])}

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.params import TESTDATA
 from tripmart.plans import queries as Q
 from tripmart.plans.bronze import null_audit
+from tripmart.plans.checks import gold_checks, silver_checks
 from tripmart.plans.gold import with_trip_key
 from tripmart.plans.pipeline import testdata_bronze, testdata_tables, testdata_zones
 from tripmart.plans.silver import silver_trips
@@ -45,4 +46,8 @@ REGISTRY: dict[str, Fn] = {
     "gold_dim_payment_type": _dim("dim_payment_type"),
     "gold_dim_vendors": _dim("dim_vendors"),
     "gold_fct_trips": lambda spark, sf: _keyed_tables(spark, sf).gold.fact,
+    "dq_silver_tests": lambda spark, sf: silver_checks(
+        silver_trips(testdata_bronze(spark, sf), testdata_zones(spark, sf), TESTDATA.max_broadcast_rows),
+        testdata_zones(spark, sf), TESTDATA.max_broadcast_rows),
+    "dq_gold_tests": lambda spark, sf: gold_checks(_keyed_tables(spark, sf).gold),
 }
