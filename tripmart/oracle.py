@@ -449,8 +449,41 @@ FROM t_bronze""", [])
     return q
 
 
+def job_bodies(p: Params = TESTDATA) -> dict[str, tuple[str, list[str]]]:
+    cols = ["passenger_count", "trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount"]
+    # Upper median: element floor(n/2) (0-based) of the sorted non-NULL values.
+    med = ", ".join(
+        f"list_sort(list({c}) FILTER (WHERE {c} IS NOT NULL))[CAST(floor(count({c}) / 2) AS BIGINT) + 1] AS m_{c}"
+        for c in cols)
+    fill = ", ".join(f"coalesce(l.{c}, m.m_{c}) AS {c}" for c in cols)
+    services = ", ".join(f"('{s}')" for s in schemas.GRID_SERVICES)
+    grid = f"""
+, grid AS (
+  SELECT strftime(g.m, '%Y-%m') AS year_month, s.service_type
+  FROM (SELECT generate_series AS m FROM generate_series(DATE '{p.grid_first_year}-01-01',
+                                                          DATE '{p.grid_last_year}-12-01', INTERVAL 1 MONTH)) g
+  CROSS JOIN (VALUES {services}) AS s(service_type)),
+landed AS (
+  SELECT source_month AS year_month, service_type, count(*) AS rows_ingested
+  FROM t_landing GROUP BY source_month, service_type)"""
+    return {
+        "i1_impute_upper_median": (f"""
+, m AS (SELECT {med} FROM t_landing)
+SELECT {fill} FROM t_landing l CROSS JOIN m""", []),
+        "b2_pending_slices": (grid + """
+SELECT g.year_month, g.service_type FROM grid g
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.year_month = g.year_month AND l.service_type = g.service_type)""",
+                              []),
+        "b7_coverage": (grid + """
+SELECT g.year_month, g.service_type,
+       CASE WHEN l.year_month IS NULL THEN 'pending' ELSE 'completed' END AS status,
+       coalesce(l.rows_ingested, 0) AS rows_ingested
+FROM grid g LEFT JOIN landed l ON l.year_month = g.year_month AND l.service_type = g.service_type""", []),
+    }
+
+
 def oracle_statements(p: Params = TESTDATA) -> dict[str, str]:
-    bodies = {**query_bodies(p), **dq_bodies()}
+    bodies = {**query_bodies(p), **dq_bodies(), **job_bodies(p)}
     return {name: with_base(body, cols, p) for name, (body, cols) in bodies.items()}
 
 

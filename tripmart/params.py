@@ -23,6 +23,8 @@ class Params:
     q17_min_trips: int = 10
     q19_min_trips: int = 100
     q17_max_speed: int = 100
+    grid_first_year: int = 2022
+    grid_last_year: int = 2025
     # Rows above this many are never broadcast, whatever the estimate says.
     max_broadcast_rows: int = 2_000_000
 
@@ -58,4 +60,7 @@ TESTDATA = Params(
     q13_min_trips=100,
     q17_min_trips=10,
     q19_min_trips=100,
+    # Backfill grid wider than the data, so some slices are pending.
+    grid_first_year=1994,
+    grid_last_year=2002,
 )

@@ -6,6 +6,12 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripmart import schemas
+from tripmart.operators.impute import fill_upper_median
+from tripmart.plans import ledger
+from tripmart.sources import generators, testdata
 
 from tripmart.params import TESTDATA
 from tripmart.plans import queries as Q
@@ -17,6 +23,22 @@ from tripmart.plans.silver import silver_trips
 
 Fn = Callable[[SparkSession, str], DataFrame]
 
+IMPUTE_COLUMNS = ["passenger_count", "trip_distance", "fare_amount", "tip_amount",
+                  "tolls_amount", "total_amount"]
+
+
+def _landed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger-shaped state of the slices present in the landing data."""
+    landing = testdata.landing_trips(spark, sf_dir)
+    return (landing.groupBy(F.col("source_month").alias("year_month"), "service_type")
+            .agg(F.count(F.lit(1)).alias("rows_ingested"))
+            .withColumn("status", F.lit("completed")))
+
+
+def _grid(spark: SparkSession) -> DataFrame:
+    p = TESTDATA
+    return generators.slice_grid(spark, p.grid_first_year, p.grid_last_year, schemas.GRID_SERVICES)
+
 
 def _q(fn) -> Fn:
     return lambda spark, sf_dir: fn(testdata_tables(spark, sf_dir, TESTDATA))
@@ -50,4 +72,8 @@ REGISTRY: dict[str, Fn] = {
         silver_trips(testdata_bronze(spark, sf), testdata_zones(spark, sf), TESTDATA.max_broadcast_rows),
         testdata_zones(spark, sf), TESTDATA.max_broadcast_rows),
     "dq_gold_tests": lambda spark, sf: gold_checks(_keyed_tables(spark, sf).gold),
+    "i1_impute_upper_median": lambda spark, sf: fill_upper_median(
+        testdata.landing_trips(spark, sf), IMPUTE_COLUMNS),
+    "b2_pending_slices": lambda spark, sf: ledger.pending(_grid(spark), _landed_state(spark, sf)),
+    "b7_coverage": lambda spark, sf: ledger.coverage(_grid(spark), _landed_state(spark, sf)),
 }
