@@ -20,6 +20,9 @@ from tripmart.functions.columns import nulls_to_none
 from tripmart.operators.harmonise import conform, harmonise
 
 TRIP_FILE_RE = r"(yellow|green)_tripdata_(\d{4}-\d{2})\.parquet"
+# Landing folders may also be laid out Hive-style: service_type=X/source_month=Y/part-*.
+HIVE_RE = r"service_type=(yellow|green)/source_month=(\d{4}-\d{2})/"
+FOOTER_THREADS = 32
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> list[str]:
@@ -35,12 +38,49 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> list[
 
 
 def parse_trip_file(path: str) -> tuple[str, str] | None:
+    """(service_type, year_month) encoded in a landing file path."""
     import re
 
-    m = re.search(TRIP_FILE_RE, path)
+    m = re.search(TRIP_FILE_RE, path) or re.search(HIVE_RE, path)
     return (m.group(1), m.group(2)) if m else None
 
 
+def _path_part(group: int):
+    path = F.col("_metadata.file_path")
+    named = F.regexp_extract(path, TRIP_FILE_RE, group)
+    return F.when(named != "", named).otherwise(F.regexp_extract(path, HIVE_RE, group))
+
+
+def footer_schemas(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Parquet footer schema of each file, as text.
+
+    Footers are read through the Parquet and Hadoop FileSystem classes that
+    Spark ships (so any cluster file system works), a few files at a time.
+    Their number follows the number of landing files, not the data size.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    # Resolve the classes once: each dotted lookup is a gateway round trip.
+    hpath = jvm.org.apache.hadoop.fs.Path
+    input_file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile
+    file_reader = jvm.org.apache.parquet.hadoop.ParquetFileReader
+
+    def one(p):
+        try:
+            reader = file_reader.open(input_file.fromPath(hpath(p), conf))
+            try:
+                return p, reader.getFooter().getFileMetaData().getSchema().toString()
+            finally:
+                reader.close()
+        except Exception:  # fall back to Spark's own schema inference
+            return p, spark.read.parquet(p).schema.json()
+
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        return dict(pool.map(one, paths))
+
+
 def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> DataFrame:
     """Read monthly trip files into the landing layout, stamping lineage.
 
@@ -49,20 +89,18 @@ def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> Da
     """
     groups: dict[tuple[str, str], list[str]] = defaultdict(list)
     for p in paths:
-        parsed = parse_trip_file(p)
-        if parsed is None:
+        if parse_trip_file(p) is None:
             raise ValueError(f"not a monthly trip file name: {p}")
-        schema = spark.read.parquet(p).schema  # footer only
-        groups[(parsed[0], schema.json())].append(p)
+    for p, schema in footer_schemas(spark, paths).items():
+        groups[(parse_trip_file(p)[0], schema)].append(p)
 
     parts = []
     for (service, _), files in sorted(groups.items()):
         df = spark.read.parquet(*files)
-        path = F.col("_metadata.file_path")
         df = harmonise(df, service).withColumns({
             "ingest_ts": F.localtimestamp() if ingest_ts is None else F.lit(ingest_ts).cast("timestamp_ntz"),
-            "source_month": F.regexp_extract(path, TRIP_FILE_RE, 2),
-            "service_type": F.regexp_extract(path, TRIP_FILE_RE, 1),
+            "source_month": _path_part(2),
+            "service_type": _path_part(1),
         })
         parts.append(conform(df, schemas.LANDING))
     if not parts:

@@ -108,14 +108,7 @@ def trip_file_frames(landing: DataFrame) -> dict[str, DataFrame]:
     lack ``trip_type``/``ehail_fee``; green files use ``lpep_*``. Lineage
     columns are not part of a file.
     """
-    lineage = ["ingest_ts", "source_month", "service_type"]
-    yellow = (landing.where(F.col("service_type") == "yellow")
-              .drop("trip_type", "ehail_fee", *lineage)
-              .withColumnsRenamed({"lpep_pickup_datetime": "tpep_pickup_datetime",
-                                   "lpep_dropoff_datetime": "tpep_dropoff_datetime"})
-              .withColumn("Airport_fee", F.lit(0.0)))
-    green = landing.where(F.col("service_type") == "green").drop(*lineage)
-    return {"yellow": yellow, "green": green}
+    return {s: _file_rows(landing, s).drop("source_month") for s in ("yellow", "green")}
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,3 +126,28 @@ def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("n_regionkey") == 3, "EWR")
          .otherwise("N/A").alias("service_zone"),
     )
+
+
+def stage_landing_files(spark: SparkSession, sf_dir: str, landing_dir: str) -> None:
+    """Write adapter trips as monthly landing files, each service in its own
+    file layout: ``{landing_dir}/service_type=S/source_month=M/part-*.parquet``.
+
+    Used by tests and the benchmark to exercise the file-based ingest.
+    """
+    landing = landing_trips(spark, sf_dir)
+    for service in ("yellow", "green"):
+        # One file per month, like the published monthly files.
+        (_file_rows(landing, service).repartition("source_month")
+         .write.mode("overwrite").partitionBy("source_month")
+         .parquet(f"{landing_dir.rstrip('/')}/service_type={service}"))
+
+
+def _file_rows(landing: DataFrame, service: str) -> DataFrame:
+    """Rows of one service in its file layout, keeping source_month for the folder."""
+    rows = landing.where(F.col("service_type") == service).drop("ingest_ts", "service_type")
+    if service == "yellow":
+        rows = (rows.drop("trip_type", "ehail_fee")
+                .withColumnsRenamed({"lpep_pickup_datetime": "tpep_pickup_datetime",
+                                     "lpep_dropoff_datetime": "tpep_dropoff_datetime"})
+                .withColumn("Airport_fee", F.lit(0.0)))
+    return rows
