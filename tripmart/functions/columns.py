@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 __all__ = [
     "col_of", "to_int", "minutes_between", "date_key", "year_month", "day_of_week",
     "exact_mean", "exact_mean_scaled", "percent_of", "ratio_percent", "percentile_2dp",
-    "case_order", "time_block", "nulls_to_none", "dec",
+    "case_order", "time_block", "nulls_to_none", "dec", "ntz_lit",
 ]
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -35,6 +35,11 @@ def dec(value: str | int, precision: int = 38, scale: int | None = None) -> Colu
     return F.lit(d).cast(T.DecimalType(precision, scale))
 
 
+def ntz_lit(value) -> Column:
+    """TIMESTAMP_NTZ literal from a naive datetime, independent of time zones."""
+    return F.to_timestamp_ntz(F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")))
+
+
 def to_int(c, source_type: T.DataType | None = None) -> Column:
     """``::int`` with Postgres rounding: fractional values round half to even.
 

@@ -1,4 +1,4 @@
-"""Harmonise one service's trip file to the landing layout."""
+"""Harmonise one service's trip file to the landing layout."""
 
 from __future__ import annotations
 
@@ -43,13 +43,3 @@ def conform(df: DataFrame, schema: T.StructType = schemas.LANDING) -> DataFrame:
 def unknown_columns(df: DataFrame, schema: T.StructType = schemas.LANDING) -> list[str]:
     known = {f.name.lower() for f in schema.fields}
     return [c for c in df.columns if c.lower() not in known]
-
-
-def stamp_lineage(df: DataFrame, service_type, source_month, ingest_ts=None) -> DataFrame:
-    """Add ingest_ts, source_month, service_type (literal or Column)."""
-    lit = lambda v: v if hasattr(v, "alias") else F.lit(v)
-    return df.withColumns({
-        "ingest_ts": (lit(ingest_ts) if ingest_ts is not None else F.localtimestamp()).cast("timestamp_ntz"),
-        "source_month": lit(source_month),
-        "service_type": lit(service_type),
-    })

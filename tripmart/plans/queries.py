@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.functions.columns import (case_order, day_of_week, exact_mean, exact_mean_scaled,
-                                        percent_of, percentile_2dp, ratio_percent, time_block)
+                                        ntz_lit, percent_of, percentile_2dp, ratio_percent,
+                                        time_block)
 from tripmart.plans.gold import Gold
 
 
@@ -125,8 +126,8 @@ def _valid_bronze(t: Tables) -> DataFrame:
     b = t.bronze
     # Range predicate on pickup_ts (pushed to the scan) instead of EXTRACT(YEAR).
     return b.where(
-        (F.col("pickup_ts") >= F.lit(p.year_start).cast("timestamp_ntz"))
-        & (F.col("pickup_ts") < F.lit(p.next_year_start).cast("timestamp_ntz"))
+        (F.col("pickup_ts") >= ntz_lit(p.year_start))
+        & (F.col("pickup_ts") < ntz_lit(p.next_year_start))
         & F.col("pickup_ts").isNotNull() & F.col("dropoff_ts").isNotNull()
         & (F.col("pickup_ts") <= F.col("dropoff_ts"))
         & (F.col("trip_distance") >= 0) & (F.col("total_amount") >= 0)

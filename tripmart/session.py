@@ -38,7 +38,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession, local_dir: str | None = None) -> str:
     """Return the reliable checkpoint folder, setting it only when unset.
 
     On a cluster the folder must be shared storage named by
@@ -58,6 +58,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(HDFS/S3/ABFS) so lineage cuts survive executor loss")
-    path = tempfile.mkdtemp(prefix="tripmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    path = local_dir or tempfile.mkdtemp(prefix="tripmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas
-from tripmart.functions.columns import nulls_to_none
+from tripmart.functions.columns import nulls_to_none, ntz_lit
 from tripmart.operators.harmonise import conform, harmonise
 
 TRIP_FILE_RE = r"(yellow|green)_tripdata_(\d{4}-\d{2})\.parquet"
@@ -98,7 +98,7 @@ def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> Da
     for (service, _), files in sorted(groups.items()):
         df = spark.read.parquet(*files)
         df = harmonise(df, service).withColumns({
-            "ingest_ts": F.localtimestamp() if ingest_ts is None else F.lit(ingest_ts).cast("timestamp_ntz"),
+            "ingest_ts": F.localtimestamp() if ingest_ts is None else ntz_lit(ingest_ts),
             "source_month": _path_part(2),
             "service_type": _path_part(1),
         })

@@ -39,7 +39,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.functions.columns import year_month
+from tripmart.functions.columns import ntz_lit, year_month
 
 # Lineage timestamp stamped on adapter rows (files are "downloaded" once).
 DEFAULT_INGEST_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
@@ -94,7 +94,7 @@ def landing_trips(spark: SparkSession, sf_dir: str,
         F.when(service == "green",
                F.when(F.col("l_returnflag") == "N", 1.0).otherwise(2.0)).alias("trip_type"),
         F.lit(None).cast("double").alias("ehail_fee"),
-        F.lit(ingest_ts).cast("timestamp_ntz").alias("ingest_ts"),
+        ntz_lit(ingest_ts).alias("ingest_ts"),
         F.when(F.col("o_orderpriority") == "1-URGENT", year_month("l_shipdate"))
          .otherwise(year_month("o_orderdate")).alias("source_month"),
         service.alias("service_type"),

@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The reference has no watermark, window, state or late-data logic; its
+arrivals are whole monthly files processed in batch, remembered by the
+ingestion ledger (``tripmart.plans.ledger``) and replayed idempotently by
+``tripmart.plans.jobs.backfill``. A file-source stream would also force one
+schema on every month, which the month-to-month type drift of the source
+files rules out (see ``tripmart.sources.files``). No streaming operator is
+therefore provided.
+"""
