@@ -173,6 +173,21 @@ def test_upper_median(spark):
     assert all(r.c is None for r in out)
 
 
+def test_kth_smallest_matches_sorting(spark):
+    from tripmart.operators.impute import upper_median_exprs
+    from tripmart.operators.order_stats import kth_smallest
+
+    rnd = random.Random(3)
+    vals = [rnd.choice([None, 1.5, 2.25, 7.0]) if i % 3 else rnd.random() * 100 for i in range(999)]
+    vals += [42.0] * 400  # one hot value
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    ordered = sorted(v for v in vals if v is not None)
+    for k in (0, len(ordered) // 2, len(ordered) - 1):
+        assert kth_smallest(df, "x", lambda n, k=k: k, max_values_per_partition=50) == ordered[k]
+    sql = df.agg(*upper_median_exprs(["x"])).first().x
+    assert kth_smallest(df, "x") == ordered[len(ordered) // 2] == sql
+
+
 def test_quality_tests_count_planted_violations(spark):
     child = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y"), (None, "q"), (7, "z"), (7, None)],
                                   "k int, v string")

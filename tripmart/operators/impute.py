@@ -4,10 +4,9 @@ The median used is ``sorted(non_null)[floor(n / 2)]``: the upper of the two
 middle values for an even count ({1, 2, 3, 10} -> 3). In SQL terms that is
 ``percentile_disc(0.5) WITHIN GROUP (ORDER BY x DESC)``.
 
-All medians come from one aggregate pass. Spark's exact percentile keeps a
-value -> count map per column, merged map-side, so memory follows the number
-of distinct values, not rows. The result is one row of scalars, brought to
-the driver and applied as literals (no join). An all-NULL column has no
+Each median is an exact order statistic computed without any task holding
+all values of a column (``order_stats.kth_smallest``). The medians are one
+scalar per column, applied as literals (no join). An all-NULL column has no
 median and stays NULL.
 """
 
@@ -16,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripmart.operators.order_stats import kth_smallest
+
 NUMERIC_PREFIXES = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
@@ -24,12 +25,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def upper_median_exprs(cols: list[str]):
+    """The same statistic as one SQL aggregate per column, for small inputs:
+    ``percentile_disc(0.5) WITHIN GROUP (ORDER BY x DESC)``."""
     return [F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}` DESC)").alias(c) for c in cols]
 
 
 def upper_medians(df: DataFrame, cols: list[str]) -> dict:
-    row = df.agg(*upper_median_exprs(cols)).first()
-    return {c: row[c] for c in cols}
+    return {c: kth_smallest(df, c, lambda n: n // 2) for c in cols}
 
 
 def fill_upper_median(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -1,0 +1,64 @@
+"""Exact k-th smallest value of a column without one task holding all values.
+
+A global exact percentile in Spark merges a value -> count map of the whole
+column into one task; for a continuous column that map grows with the data.
+Instead:
+
+1. value counts: ``groupBy(value).count()`` (map-side combined, so a value
+   repeated in a third of all rows is one row after the partial step);
+2. range-partition the distinct values, tag each row with its partition,
+   and cut lineage with a reliable ``checkpoint()`` so the partitions stay
+   fixed if tasks rerun;
+3. per-partition totals (one row per partition: bounded) locate the
+   partition that holds rank k and the rank inside it;
+4. a running count over that single partition's distinct values (about
+   1/P of them) finds the value.
+
+The number of range partitions grows with the number of distinct values so
+step 4 stays bounded (``max_values_per_partition``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tripmart.session import ensure_checkpoint_dir
+
+
+def kth_smallest(df: DataFrame, col: str, k_of_n=lambda n: n // 2,
+                 max_values_per_partition: int = 2_000_000):
+    """Value at 0-based rank ``k_of_n(n)`` among the n non-NULL values.
+
+    Returns None for an all-NULL column. ``k_of_n`` defaults to the upper
+    median (``sorted[floor(n / 2)]``).
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(
+        F.count(F.lit(1)).alias("n"))
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Distinct-value count first: it sizes the range partitions (one small job).
+    distinct = vc.count()
+    if distinct == 0:
+        return None
+    parts = max(shuffle, -(-distinct // max_values_per_partition))
+    ranged = (vc.repartitionByRange(parts, "v")
+                .withColumn("pid", F.spark_partition_id())
+                .checkpoint(eager=True))
+    totals = sorted((r.pid, r.total) for r in
+                    ranged.groupBy("pid").agg(F.sum("n").alias("total")).collect())
+    n = sum(t for _, t in totals)
+    k = k_of_n(n)
+    before = 0
+    for pid, total in totals:
+        if k < before + total:
+            local = k - before
+            w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            hit = (ranged.where(F.col("pid") == pid)
+                   .withColumn("cum", F.sum("n").over(w))
+                   .where(F.col("cum") > local)
+                   .orderBy("v").select("v").first())
+            return hit.v
+        before += total
+    raise AssertionError("rank outside the value counts")
