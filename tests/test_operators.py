@@ -235,3 +235,23 @@ def test_conform_casts_and_fills(spark):
 def test_fixed_dimension_keys_unique(fixed):
     keys = [r[0] for r in fixed]
     assert len(keys) == len(set(keys))
+
+
+def test_grouped_percentile_cont_matches_builtin(spark):
+    from tripmart.operators.percentiles import grouped_percentile_cont
+
+    rnd = random.Random(11)
+    rows = [("hot", Decimal(rnd.randint(0, 5000)) / 100) for _ in range(3000)]
+    rows += [(g, Decimal(rnd.randint(0, 900)) / 100) for g in ("a", "b", "c") for _ in range(rnd.randint(1, 40))]
+    rows += [("one", Decimal("7.25")), ("nul", None)]
+    df = spark.createDataFrame(rows, "g string, v decimal(10,2)")
+    got = grouped_percentile_cont(df, ["g"], "v", {"p50": 0.5, "p90": 0.9}, num_partitions=7)
+    want = df.groupBy("g").agg(F.percentile(F.col("v").cast("double"), F.lit(0.5)).alias("w50"),
+                               F.percentile(F.col("v").cast("double"), F.lit(0.9)).alias("w90"))
+    j = {r.g: r for r in got.join(want, "g", "full").collect()}
+    assert set(j) == {"hot", "a", "b", "c", "one", "nul"}
+    assert j["nul"].p50 is None and j["nul"].w50 is None   # no values: absent, NULL after a join
+    for g, r in j.items():
+        if g == "nul":
+            continue
+        assert abs(float(r.p50) - r.w50) < 1e-9 and abs(float(r.p90) - r.w90) < 1e-9, g

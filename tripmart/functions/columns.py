@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 __all__ = [
     "col_of", "to_int", "minutes_between", "date_key", "year_month", "day_of_week",
-    "exact_mean", "exact_mean_scaled", "percent_of", "ratio_percent", "percentile_2dp",
+    "exact_mean", "exact_mean_scaled", "percent_of", "ratio_percent",
     "case_order", "time_block", "nulls_to_none", "dec", "ntz_lit",
 ]
 
@@ -99,18 +99,6 @@ def ratio_percent(num, den, scale: int = 2) -> Column:
     return F.round(num * F.lit(100) / F.nullif(den, F.lit(0)), scale)
 
 
-def percentile_2dp(c, p: float) -> Column:
-    """ROUND(PERCENTILE_CONT(p) WITHIN GROUP (ORDER BY x)::NUMERIC, 2).
-
-    Exact, interpolated percentile over the double value (Postgres casts the
-    argument to double precision). Spark keeps one frequency map per group,
-    combined map-side, so memory follows the distinct values of a group, not
-    its row count. The double is fixed to 6 decimals before the final
-    half-up rounding so a last-bit difference never flips a result.
-    """
-    return F.round(F.percentile(col_of(c).cast("double"), F.lit(p)).cast("decimal(38,6)"), 2)
-
-
 def case_order(c, ordered_values: list[str], else_rank: int | None = None) -> Column:
     """Position of ``c`` in ``ordered_values`` (1-based) for ORDER BY CASE."""
     c = col_of(c)

@@ -11,7 +11,9 @@ Plan notes that hold for all of them:
   are equivalent, and the second prunes the fact's month partitions;
 * averages of decimals are ``round(sum/count)`` in exact decimal maths
   (Spark's ``avg`` of a decimal rounds to 6 places first);
-* ties in top-k lists are broken by the group key so results are stable.
+* ties in top-k lists are broken by the group key so results are stable;
+* percentiles are exact and never gather a whole group in one task
+  (``operators.percentiles``).
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.functions.columns import (case_order, day_of_week, exact_mean, exact_mean_scaled,
-                                        ntz_lit, percent_of, percentile_2dp, ratio_percent,
-                                        time_block)
+                                        ntz_lit, percent_of, ratio_percent, time_block)
+from tripmart.operators.percentiles import grouped_percentile_cont
 from tripmart.plans.gold import Gold
 
 
@@ -295,39 +297,50 @@ def q16_distance_per_month(t: Tables) -> DataFrame:
 
 # ------------------------------------------------------------------ Q17-Q20
 
+def _with_percentiles(stats: DataFrame, rows: DataFrame, keys: list[str], value: str,
+                      pcts: dict[str, float]) -> DataFrame:
+    """Join exact PERCENTILE_CONT values (rounded to 2) onto per-group stats."""
+    pct = grouped_percentile_cont(rows, keys, value, pcts)
+    out = stats.join(pct, keys, "left")
+    return out.withColumns({name: F.round(F.col(name), 2) for name in pcts})
+
+
 def q17_speed_by_borough(t: Tables) -> DataFrame:
     p = t.p
     f = _fact_zone_year(t).where(
         F.col("speed_mph").isNotNull() & F.col("speed_mph").between(0, p.q17_max_speed)
         & (F.col("trip_time_minutes") > 0) & (F.col("trip_distance") > 0))
-    return (f.groupBy("borough").agg(
+    stats = (f.groupBy("borough").agg(
                 exact_mean("speed_mph").alias("avg_speed_mph"),
-                percentile_2dp("speed_mph", 0.5).alias("median_speed_mph"),
                 F.count(F.lit(1)).alias("trip_count"),
                 F.round(F.min("speed_mph"), 2).alias("min_speed_mph"),
                 F.round(F.max("speed_mph"), 2).alias("max_speed_mph"))
-            .where(F.col("trip_count") >= p.q17_min_trips)
+             .where(F.col("trip_count") >= p.q17_min_trips))
+    return (_with_percentiles(stats, f, ["borough"], "speed_mph", {"median_speed_mph": 0.5})
             .orderBy(case_order("borough", schemas.BOROUGH_ORDER, len(schemas.BOROUGH_ORDER) + 1),
-                     "borough"))
+                     "borough")
+            .select("borough", "avg_speed_mph", "median_speed_mph", "trip_count",
+                    "min_speed_mph", "max_speed_mph"))
 
 
 def q18_duration_percentiles_by_borough(t: Tables) -> DataFrame:
     f = _fact_zone_year(t).where(F.col("trip_time_minutes") > 0)
-    return (f.groupBy("borough").agg(
-                F.count(F.lit(1)).alias("trip_count"),
-                percentile_2dp("trip_time_minutes", 0.5).alias("p50_duration_min"),
-                percentile_2dp("trip_time_minutes", 0.9).alias("p90_duration_min"))
-            .orderBy(F.desc("p90_duration_min"), "borough"))
+    stats = f.groupBy("borough").agg(F.count(F.lit(1)).alias("trip_count"))
+    return (_with_percentiles(stats, f, ["borough"], "trip_time_minutes",
+                              {"p50_duration_min": 0.5, "p90_duration_min": 0.9})
+            .orderBy(F.desc("p90_duration_min"), "borough")
+            .select("borough", "trip_count", "p50_duration_min", "p90_duration_min"))
 
 
 def q19_top_zones_by_p90_duration(t: Tables) -> DataFrame:
     f = _fact_zone_year(t).where(F.col("trip_time_minutes") > 0)
-    return (f.groupBy("zone_name", "borough", "zone_key").agg(
+    keys = ["zone_name", "borough", "zone_key"]
+    stats = (f.groupBy(*keys).agg(
                 F.count(F.lit(1)).alias("trip_count"),
-                percentile_2dp("trip_time_minutes", 0.9).alias("p90_duration_min"),
                 exact_mean("trip_time_minutes").alias("avg_duration_min"),
                 F.round(F.max("trip_time_minutes"), 2).alias("max_duration_min"))
-            .where(F.col("trip_count") >= t.p.q19_min_trips)
+             .where(F.col("trip_count") >= t.p.q19_min_trips))
+    return (_with_percentiles(stats, f, keys, "trip_time_minutes", {"p90_duration_min": 0.9})
             .orderBy(F.desc("p90_duration_min"), "zone_key").limit(t.p.top_n)
             .select("zone_name", "borough", "trip_count", "p90_duration_min",
                     "avg_duration_min", "max_duration_min"))
