@@ -132,3 +132,21 @@ def test_ingest_backfill_and_gold_build(spark, scratch):
     assert set(fact.columns) == set(schemas.FACT_COLUMNS)
     silver, silver_tests = jobs.build_silver(spark, lake, TESTDATA)
     assert {r.test_name for r in silver_tests.collect()} == {"not_null", "relationships", "accepted_values"}
+
+
+def test_generic_csv_and_partitioned_calendar(spark, scratch):
+    from tripmart.sources.files import read_csv
+
+    path = f"{scratch}/people.csv"
+    with open(path, "w") as f:
+        f.write("Age,Fare,Name\n22,7.25,a\n,71.28,b\n")
+    df = read_csv(spark, path)
+    assert dict(df.dtypes) == {"Age": "int", "Fare": "double", "Name": "string"}
+    typed = read_csv(spark, path, "Age double, Fare double, Name string")
+    assert typed.where("Age IS NULL").count() == 1
+    from tripmart.plans.gold import dim_date
+    from tripmart.params import Params
+    d = dim_date(spark, Params()).df
+    layout.write_list_partitioned(d, f"{scratch}/dim_date", "year_month")
+    back = spark.read.parquet(f"{scratch}/dim_date")
+    assert back.count() == 1461 and back.select("year_month").distinct().count() == 48

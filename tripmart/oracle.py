@@ -431,6 +431,7 @@ ORDER BY trip_count DESC, pickup_borough, dropoff_borough LIMIT {p.top_n}""",
 SELECT {fact_cols} FROM t_fact_keyed ORDER BY {fact_cols} LIMIT 5""", fact_dec)
 
     # Layers.
+    q["landing_harmonised"] = ("SELECT * FROM t_landing", [])
     q["bronze_trips"] = (f"SELECT {', '.join(BRONZE_COLS)} FROM t_bronze",
                          ["trip_distance", *MONEY, "trip_time_minutes"])
     q["bronze_zones"] = ("SELECT location_id, borough, zone_name, service_zone FROM t_zones", [])

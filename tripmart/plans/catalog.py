@@ -57,6 +57,7 @@ REGISTRY: dict[str, Fn] = {
     **{name: _q(fn) for name, fn in Q.QUERIES.items()},
     "q21_column_metadata": lambda spark, sf: Q.q21_column_metadata(_keyed_tables(spark, sf)),
     "q22_fact_sample": lambda spark, sf: Q.q22_fact_sample(_keyed_tables(spark, sf)),
+    "landing_harmonised": testdata.harmonised_landing,
     "bronze_trips": testdata_bronze,
     "bronze_zones": lambda spark, sf: testdata_zones(spark, sf).df,
     "silver_trips_zones": lambda spark, sf: silver_trips(

@@ -144,19 +144,39 @@ def build_silver(spark: SparkSession, lake: Lake, p: Params) -> tuple[DataFrame,
     return silver, silver_checks(silver, zones, p.max_broadcast_rows)
 
 
-def build_gold_tables(spark: SparkSession, lake: Lake, p: Params) -> DataFrame:
-    """Write all gold tables, then test them; returns the test results."""
+def build_gold_tables(spark: SparkSession, lake: Lake, p: Params,
+                      partition_dates: bool = False) -> DataFrame:
+    """Write all gold tables, then test them; returns the test results.
+
+    ``partition_dates`` lays the calendar out by month (``year_month``); it is
+    off by default: a few thousand rows do not need many files.
+    """
     zones = zones_dim(spark, lake)
     g = build_gold(spark, load_bronze(spark, lake), zones, p)
     layout.write_list_partitioned(g.dim_service_type.df, lake.gold("dim_service_type"))
     layout.write_list_partitioned(g.dim_payment_type.df, lake.gold("dim_payment_type"))
     layout.write_list_partitioned(g.dim_vendors.df, lake.gold("dim_vendors"))
-    layout.overwrite_table(g.dim_date.df, lake.gold("dim_date"))
+    if partition_dates:
+        layout.write_list_partitioned(g.dim_date.df, lake.gold("dim_date"), "year_month")
+    else:
+        layout.overwrite_table(g.dim_date.df, lake.gold("dim_date"))
     layout.write_hash_clustered(g.dim_zones.df, lake.gold("dim_zones"), "zone_key", 4)
     layout.write_fact(with_trip_key(g.fact), lake.gold("fct_trips"))
     return gold_checks(load_gold(spark, lake, p))
 
 
+def run_all(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
+            zones_csv: str | None = None, zones: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The whole flow in dependency order: zones, backfill of pending slices,
+    silver and its tests, then gold and its tests. Returns the test tables."""
+    ingest_zones(spark, lake, zones_csv, zones)
+    backfill(spark, lake, landing_dir, p)
+    _, silver_tests = build_silver(spark, lake, p)
+    silver_results = silver_tests.collect()      # small: one row per declared test
+    gold_tests = build_gold_tables(spark, lake, p)
+    return {"silver": spark.createDataFrame(silver_results, silver_tests.schema), "gold": gold_tests}
+
+
 def load_gold(spark: SparkSession, lake: Lake, p: Params) -> Gold:
     """Gold tables read back from the lake, dimensions counted once."""
     def dim(name, cols):

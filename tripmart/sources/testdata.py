@@ -142,6 +142,21 @@ def stage_landing_files(spark: SparkSession, sf_dir: str, landing_dir: str) -> N
          .parquet(f"{landing_dir.rstrip('/')}/service_type={service}"))
 
 
+def harmonised_landing(spark: SparkSession, sf_dir: str,
+                       ingest_ts: dt.datetime = DEFAULT_INGEST_TS) -> DataFrame:
+    """Landing rows rebuilt from the per-service file layouts: each service's
+    rows are harmonised (P1-P3), stamped and cast to the landing schema."""
+    from tripmart.operators.harmonise import conform, harmonise
+
+    landing = landing_trips(spark, sf_dir, ingest_ts)
+    parts = []
+    for service in ("yellow", "green"):
+        files = harmonise(_file_rows(landing, service), service)
+        parts.append(conform(files.withColumns({"service_type": F.lit(service),
+                                                "ingest_ts": ntz_lit(ingest_ts)})))
+    return parts[0].unionByName(parts[1])
+
+
 def _file_rows(landing: DataFrame, service: str) -> DataFrame:
     """Rows of one service in its file layout, keeping source_month for the folder."""
     rows = landing.where(F.col("service_type") == service).drop("ingest_ts", "service_type")
