@@ -83,9 +83,8 @@ def ingest_trips(spark: SparkSession, lake: Lake, files: list[str],
     """
     ledger = Ledger(spark, lake.events)
     slices = sorted({parse_trip_file(f)[::-1] for f in files})   # (month, service)
-    ledger.append(slices, "started")
+    ledger.append(slices, ["started", "processing"])
     try:
-        ledger.append(slices, "processing")
         landing = read_trip_files(spark, files, ingest_ts)
         layout.write_slices(landing, lake.raw_trips)
         raw = layout.read_slices(spark, lake.raw_trips, slices=slices)

@@ -9,9 +9,10 @@
   hash-clustered into 4 files on ``zone_key`` (K7);
 * full replacement is a static overwrite (K3); CSV export keeps a header (K10).
 
-Partitioned writes go through a ``rebalance`` hint: AQE splits a hot
-partition value over several tasks and merges small ones, so one huge month
-neither lands in a single task nor explodes into tiny files.
+The fact write goes through a ``rebalance`` hint: its rows arrive hashed on
+the trip key, so AQE regroups them by month, splitting a hot month over
+several tasks and merging small ones (no single huge task, no file
+explosion). Slice writes need no shuffle: their input is slice-aligned.
 """
 
 from __future__ import annotations
@@ -26,9 +27,16 @@ def _rebalanced(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def write_slices(df: DataFrame, path: str, keys=SLICE_KEYS) -> None:
-    """Replace exactly the slices present in ``df`` (idempotent)."""
-    (_rebalanced(df, *keys).write.mode("overwrite")
+def write_slices(df: DataFrame, path: str, keys=SLICE_KEYS, rebalance: bool = False) -> None:
+    """Replace exactly the slices present in ``df`` (idempotent).
+
+    Monthly files (and the raw table) hold one slice per file, so each input
+    split already writes into a single slice folder with a well-sized file:
+    no shuffle is needed. Pass ``rebalance=True`` for input whose rows are
+    spread over many slices per task.
+    """
+    out = _rebalanced(df, *keys) if rebalance else df
+    (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(path))
 

@@ -74,13 +74,15 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def append(self, slices: list[tuple[str, str]], event: str, rows: dict | None = None,
+    def append(self, slices: list[tuple[str, str]], event, rows: dict | None = None,
                error: str | None = None, at: dt.datetime | None = None) -> None:
+        """Append one event (or several, in order, as one write) per slice."""
         if not slices:
             return
+        events = [event] if isinstance(event, str) else list(event)
         ts = at or dt.datetime.now()
         msg = error[:200] if error else None
-        data = [(m, s, event, ts, (rows or {}).get((m, s)), msg) for m, s in slices]
+        data = [(m, s, e, ts, (rows or {}).get((m, s)), msg) for e in events for m, s in slices]
         (self.spark.createDataFrame(data, schemas.CHECKPOINT_EVENTS)
          .coalesce(1).write.mode("append").parquet(self.path))
 
