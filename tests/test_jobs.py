@@ -75,6 +75,9 @@ def test_ledger_state_machine(spark, scratch):
     assert len(pend) == 23 and s1 in pend and s2 not in pend
     cov = {(r.year_month, r.service_type): r.status for r in ledger.coverage(grid, lg.state()).collect()}
     assert cov[s2] == "completed" and cov[s1] == "failed" and cov[("2024-03", "green")] == "pending"
+    before = sorted(tuple(r) for r in lg.state().collect())
+    assert lg.compact() == 8
+    assert sorted(tuple(r) for r in lg.state().collect()) == before
 
 
 def test_zone_csv_na_tokens(spark, scratch):

@@ -96,3 +96,17 @@ class Ledger:
 
     def state(self) -> DataFrame:
         return state(self.events())
+
+    def compact(self, staging: str | None = None) -> int:
+        """Rewrite the log as one file (every append adds a small file).
+
+        The events are written to ``staging`` first and the log is replaced
+        from there, so a crash never leaves a half-written log. Returns the
+        event count.
+        """
+        staging = staging or self.path.rstrip("/") + "_compact"
+        events = self.events()
+        events.coalesce(1).write.mode("overwrite").parquet(staging)
+        copy = self.spark.read.schema(schemas.CHECKPOINT_EVENTS).parquet(staging)
+        copy.coalesce(1).write.mode("overwrite").parquet(self.path)
+        return self.events().count()
