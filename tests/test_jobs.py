@@ -102,29 +102,27 @@ def test_export_csv_and_materialise(spark, scratch):
 
 
 def test_ingest_backfill_and_gold_build(spark, scratch):
-    """Whole batch flow over the sf0.01 tables: stage files, backfill twice
-    (the second run finds nothing pending), build and check gold."""
+    """Whole flow over the sf0.01 tables with run_all, then a second backfill
+    (nothing pending that has data) and a re-ingest of one slice."""
     landing, lake = f"{scratch}/landing", jobs.Lake(f"{scratch}/lake")
     testdata.stage_landing_files(spark, SF001, landing)
-    jobs.ingest_zones(spark, lake, zones=testdata.zone_lookup(spark, SF001))
-    todo = jobs.backfill(spark, lake, landing, TESTDATA)
-    assert todo.count() == 9 * 12 * 2
+    res = jobs.run_all(spark, lake, landing, TESTDATA, zones=testdata.zone_lookup(spark, SF001))
     n_raw = spark.read.parquet(lake.raw_trips).count()
     assert n_raw == testdata.landing_trips(spark, SF001).count()
+    st = Ledger(spark, lake.events).state()
+    assert st.count() == 166 and st.where("status <> 'completed'").count() == 0
+    assert st.agg(F.sum("rows_ingested")).first()[0] == n_raw
+
     events_before = Ledger(spark, lake.events).events().count()
     assert jobs.backfill(spark, lake, landing, TESTDATA).count() == 50  # grid slices without data
     assert Ledger(spark, lake.events).events().count() == events_before  # nothing re-ingested
-    st = Ledger(spark, lake.events).state()
-    assert st.where("status <> 'completed'").count() == 0
-    assert st.agg(F.sum("rows_ingested")).first()[0] == n_raw
 
     # Re-ingesting one slice replaces it (no duplicates).
     one = [f for f in jobs.landing_files(spark, landing) if "source_month=1996-03" in f]
     jobs.ingest_trips(spark, lake, one)
     assert spark.read.parquet(lake.raw_trips).count() == n_raw
 
-    checks = {(r.table_name, r.column_name, r.test_name): r.violations
-              for r in jobs.build_gold_tables(spark, lake, TESTDATA).collect()}
+    checks = {(r.table_name, r.column_name, r.test_name): r.violations for r in res["gold"].collect()}
     assert len(checks) == 50
     # Ship dates run past the calendar's end, so dropoff keys have orphans.
     assert checks[("fct_trips", "dropoff_date_key", "relationships")] > 0
@@ -133,8 +131,7 @@ def test_ingest_backfill_and_gold_build(spark, scratch):
         "pickup_date_key > 20001231").count()
     assert checks[("fct_trips", "trip_key", "not_null")] == 0
     assert set(fact.columns) == set(schemas.FACT_COLUMNS)
-    silver, silver_tests = jobs.build_silver(spark, lake, TESTDATA)
-    assert {r.test_name for r in silver_tests.collect()} == {"not_null", "relationships", "accepted_values"}
+    assert {r.test_name for r in res["silver"].collect()} == {"not_null", "relationships", "accepted_values"}
 
 
 def test_generic_csv_and_partitioned_calendar(spark, scratch):

@@ -456,21 +456,20 @@ def job_bodies(p: Params = TESTDATA) -> dict[str, tuple[str, list[str]]]:
     med = ", ".join(
         f"list_sort(list({c}) FILTER (WHERE {c} IS NOT NULL))[CAST(floor(count({c}) / 2) AS BIGINT) + 1] AS m_{c}"
         for c in cols)
-    fill = ", ".join(f"coalesce(l.{c}, m.m_{c}) AS {c}" for c in cols)
-    services = ", ".join(f"('{s}')" for s in schemas.GRID_SERVICES)
+    fill = ", ".join(f"coalesce(l.{c}, (SELECT m_{c} FROM m)) AS {c}" for c in cols)
+    services = ", ".join(f"'{s}'" for s in schemas.GRID_SERVICES)
     grid = f"""
 , grid AS (
-  SELECT strftime(g.m, '%Y-%m') AS year_month, s.service_type
+  SELECT strftime(g.m, '%Y-%m') AS year_month, unnest([{services}]) AS service_type
   FROM (SELECT generate_series AS m FROM generate_series(DATE '{p.grid_first_year}-01-01',
-                                                          DATE '{p.grid_last_year}-12-01', INTERVAL 1 MONTH)) g
-  CROSS JOIN (VALUES {services}) AS s(service_type)),
+                                                          DATE '{p.grid_last_year}-12-01', INTERVAL 1 MONTH)) g),
 landed AS (
   SELECT source_month AS year_month, service_type, count(*) AS rows_ingested
   FROM t_landing GROUP BY source_month, service_type)"""
     return {
         "i1_impute_upper_median": (f"""
 , m AS (SELECT {med} FROM t_landing)
-SELECT {fill} FROM t_landing l CROSS JOIN m""", []),
+SELECT {fill} FROM t_landing l""", []),
         "b2_pending_slices": (grid + """
 SELECT g.year_month, g.service_type FROM grid g
 WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.year_month = g.year_month AND l.service_type = g.service_type)""",

@@ -72,8 +72,7 @@ TIME_BLOCKS = [
 ]
 TIME_BLOCK_ELSE = "Late Night (0-5)"
 
-# Backfill grid: years x months x services.
-GRID_YEARS = (2022, 2025)
+# Backfill grid services (years are parameters: Params.grid_first_year/last_year).
 GRID_SERVICES = ["yellow", "green"]
 
 # ---------------------------------------------------------------------------

@@ -10,6 +10,7 @@ The number of plan leaves follows the number of distinct schemas, not files.
 
 from __future__ import annotations
 
+import logging
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.functions.columns import nulls_to_none, ntz_lit
-from tripmart.operators.harmonise import conform, harmonise
+from tripmart.operators.harmonise import conform, harmonise, unknown_columns
+
+log = logging.getLogger("tripmart.sources")
 
 TRIP_FILE_RE = r"(yellow|green)_tripdata_(\d{4}-\d{2})\.parquet"
 # Landing folders may also be laid out Hive-style: service_type=X/source_month=Y/part-*.
@@ -96,8 +99,12 @@ def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> Da
 
     parts = []
     for (service, _), files in sorted(groups.items()):
-        df = spark.read.parquet(*files)
-        df = harmonise(df, service).withColumns({
+        df = harmonise(spark.read.parquet(*files), service)
+        extra = unknown_columns(df)
+        if extra:
+            log.warning("dropping columns outside the landing schema from %d %s file(s): %s",
+                        len(files), service, extra)
+        df = df.withColumns({
             "ingest_ts": F.localtimestamp() if ingest_ts is None else ntz_lit(ingest_ts),
             "source_month": _path_part(2),
             "service_type": _path_part(1),

@@ -52,20 +52,13 @@ def calendar_days(start: dt.date, end: dt.date) -> int:
 
 def slice_grid(spark: SparkSession, first_year: int, last_year: int,
                services: list[str]) -> DataFrame:
-    """(year_month, service_type) for every month of the years x services."""
-    months = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("y")) \
-        .crossJoin(spark.range(1, 13).select(F.col("id").cast("int").alias("m")))
-    svc = spark.createDataFrame([(s,) for s in services], "service_type string")
-    return months.crossJoin(svc).select(
-        F.format_string("%04d-%02d", "y", "m").alias("year_month"), "service_type")
-
-
-def month_grid_between(spark: SparkSession, first_month: str, last_month: str,
-                       services: list[str]) -> DataFrame:
-    """Grid of every month between two 'yyyy-MM' months x services."""
-    months = spark.range(1).select(F.explode(F.sequence(
-        F.to_date(F.lit(first_month + "-01")), F.to_date(F.lit(last_month + "-01")),
-        F.expr("INTERVAL 1 MONTH"))).alias("d"))
-    svc = spark.createDataFrame([(s,) for s in services], "service_type string")
-    return months.crossJoin(svc).select(F.date_format("d", "yyyy-MM").alias("year_month"),
-                                        "service_type")
+    """(year_month, service_type) for every month of the years x services.
+
+    Generated with ``sequence`` and ``explode`` (years x 12 x services rows).
+    """
+    months = F.sequence(F.lit(dt.date(first_year, 1, 1)), F.lit(dt.date(last_year, 12, 1)),
+                        F.expr("INTERVAL 1 MONTH"))
+    return (spark.range(1)
+            .select(F.explode(months).alias("d"))
+            .select(F.date_format("d", "yyyy-MM").alias("year_month"),
+                    F.explode(F.array(*[F.lit(s) for s in services])).alias("service_type")))

@@ -101,16 +101,6 @@ def landing_trips(spark: SparkSession, sf_dir: str,
     )
 
 
-def trip_file_frames(landing: DataFrame) -> dict[str, DataFrame]:
-    """Per-service frames in the raw file layout of each service.
-
-    Yellow files name their timestamps ``tpep_*``, carry ``Airport_fee`` and
-    lack ``trip_type``/``ehail_fee``; green files use ``lpep_*``. Lineage
-    columns are not part of a file.
-    """
-    return {s: _file_rows(landing, s).drop("source_month") for s in ("yellow", "green")}
-
-
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup rows as strings, as a CSV reader would hand them over."""
     n = _read(spark, sf_dir, "nation")
