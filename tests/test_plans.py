@@ -1,6 +1,7 @@
 """Plan assertions over tables written by the jobs: pruning, pushdown, broadcasts."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripmart.params import TESTDATA
 from tripmart.plans import jobs
@@ -62,3 +63,29 @@ def test_windows_run_on_aggregates(tables):
     plan = Q.q05_top_boroughs_per_month(tables)._jdf.queryExecution().optimizedPlan().toString()
     window_at = plan.find("Window")
     assert window_at >= 0 and plan.find("Aggregate", window_at) > window_at
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_trip_key_has_no_global_window_over_fact(spark, tables):
+    """The only unpartitioned window is over the per-partition size table."""
+    from tripmart.plans.gold import with_trip_key
+
+    keyed = with_trip_key(tables.gold.fact.withColumns(
+        {"pickup_ts": F.col("pickup_date").cast("timestamp_ntz"),
+         "dropoff_ts": F.col("pickup_date").cast("timestamp_ntz")}).drop("trip_key"), 4)
+    plan = _optimized(keyed)
+    for line in plan.splitlines():
+        if "Window [" in line and "dense_rank" in line:
+            raise AssertionError("dense_rank window over fact rows: " + line)
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "_off" in windows[0]
+
+
+@pytest.mark.parametrize("name", ["q17_speed_by_borough", "q18_duration_percentiles_by_borough",
+                                  "q19_top_zones_by_p90_duration"])
+def test_percentiles_avoid_single_task_group_merge(tables, name):
+    plan = _plan(Q.QUERIES[name](tables))
+    assert "percentile(" not in plan.lower()
