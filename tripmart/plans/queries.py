@@ -323,6 +323,32 @@ def q17_speed_by_borough(t: Tables) -> DataFrame:
                     "min_speed_mph", "max_speed_mph"))
 
 
+def q17b_speed_by_borough_time_block(t: Tables) -> DataFrame:
+    """Q17 split by time-of-day block of the pickup (the split its title
+    promises). Needs the fact's pickup timestamp, which the lazily built
+    fact carries; the published fact layout does not store it."""
+    p = t.p
+    if "pickup_ts" not in t.gold.fact.columns:
+        raise ValueError("q17b needs a fact with pickup_ts (build it with build_gold)")
+    f = (_fact_zone_year(t).where(
+            F.col("speed_mph").isNotNull() & F.col("speed_mph").between(0, p.q17_max_speed)
+            & (F.col("trip_time_minutes") > 0) & (F.col("trip_distance") > 0))
+         .withColumn("time_block", time_block(F.hour("pickup_ts"), schemas.TIME_BLOCKS,
+                                              schemas.TIME_BLOCK_ELSE)))
+    keys = ["borough", "time_block"]
+    stats = (f.groupBy(*keys).agg(
+                exact_mean("speed_mph").alias("avg_speed_mph"),
+                F.count(F.lit(1)).alias("trip_count"),
+                F.round(F.min("speed_mph"), 2).alias("min_speed_mph"),
+                F.round(F.max("speed_mph"), 2).alias("max_speed_mph"))
+             .where(F.col("trip_count") >= p.q17_min_trips))
+    return (_with_percentiles(stats, f, keys, "speed_mph", {"median_speed_mph": 0.5})
+            .orderBy(case_order("borough", schemas.BOROUGH_ORDER, len(schemas.BOROUGH_ORDER) + 1),
+                     "borough", "time_block")
+            .select("borough", "time_block", "avg_speed_mph", "median_speed_mph", "trip_count",
+                    "min_speed_mph", "max_speed_mph"))
+
+
 def q18_duration_percentiles_by_borough(t: Tables) -> DataFrame:
     f = _fact_zone_year(t).where(F.col("trip_time_minutes") > 0)
     stats = f.groupBy("borough").agg(F.count(F.lit(1)).alias("trip_count"))
@@ -402,6 +428,9 @@ def q22_fact_sample(t: Tables, n: int = 5) -> DataFrame:
     return fact.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
 
 
+# Queries that need the fact's pickup timestamp (not in the published layout).
+NEEDS_PICKUP_TS = {"q17b_speed_by_borough_time_block"}
+
 QUERIES = {
     "q01_trips_per_month": q01_trips_per_month,
     "q02_trips_per_month_service": q02_trips_per_month_service,
@@ -422,6 +451,7 @@ QUERIES = {
     "q15_duration_per_month": q15_duration_per_month,
     "q16_distance_per_month": q16_distance_per_month,
     "q17_speed_by_borough": q17_speed_by_borough,
+    "q17b_speed_by_borough_time_block": q17b_speed_by_borough_time_block,
     "q18_duration_percentiles_by_borough": q18_duration_percentiles_by_borough,
     "q19_top_zones_by_p90_duration": q19_top_zones_by_p90_duration,
     "q20_top_borough_routes": q20_top_borough_routes,
