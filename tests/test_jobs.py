@@ -31,8 +31,11 @@ def _yellow_file(spark, path, pc_type="double", rows=2, month=(2024, 1)):
 
 
 def test_type_drift_read_per_footer_group(spark, scratch):
+    from tripmart.sources.files import schema_groups
+
     a = _yellow_file(spark, f"{scratch}/yellow_tripdata_2024-01.parquet", "bigint", month=(2024, 1))
     b = _yellow_file(spark, f"{scratch}/yellow_tripdata_2024-02.parquet", "double", 3, month=(2024, 2))
+    assert len(schema_groups(spark, "yellow", a + b)) == 2
     out = read_trip_files(spark, a + b)
     rows = out.groupBy("source_month", "service_type").count().collect()
     assert {(r.source_month, r.service_type, r["count"]) for r in rows} == {
@@ -150,3 +153,17 @@ def test_generic_csv_and_partitioned_calendar(spark, scratch):
     layout.write_list_partitioned(d, f"{scratch}/dim_date", "year_month")
     back = spark.read.parquet(f"{scratch}/dim_date")
     assert back.count() == 1461 and back.select("year_month").distinct().count() == 48
+
+
+def test_added_column_merges_into_one_read(spark, scratch):
+    from tripmart.sources.files import schema_groups
+
+    a = _yellow_file(spark, f"{scratch}/yellow_tripdata_2024-01.parquet", month=(2024, 1))
+    b_path = f"{scratch}/yellow_tripdata_2024-02.parquet"
+    (spark.read.parquet(*a).withColumn("congestion_surcharge", F.lit(2.5))
+     .coalesce(1).write.mode("overwrite").parquet(b_path))
+    b = [os.path.join(b_path, f) for f in os.listdir(b_path) if f.endswith(".parquet")]
+    groups = schema_groups(spark, "yellow", a + b)
+    assert len(groups) == 1 and groups[0][0] == a + b and "congestion_surcharge" in groups[0][1].names
+    out = read_trip_files(spark, a + b)
+    assert out.count() == 4 and set(r.source_month for r in out.collect()) == {"2024-01", "2024-02"}

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE_KEYS = ("source_month", "service_type")
 
@@ -45,21 +46,21 @@ def slice_path(path: str, slice_: tuple[str, str], keys=SLICE_KEYS) -> str:
     return path.rstrip("/") + "/" + "/".join(f"{k}={v}" for k, v in zip(keys, slice_))
 
 
-def delete_paths(spark: SparkSession, paths: list[str]) -> None:
-    """Delete folders through the Hadoop FileSystem of each path."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        if fs.exists(hp):
-            fs.delete(hp, True)
-
-
 def drop_slices(spark: SparkSession, path: str, slices: list[tuple[str, str]], keys=SLICE_KEYS) -> None:
-    """Remove slices outright: a dynamic overwrite with zero rows for a slice
-    leaves its old files in place."""
-    delete_paths(spark, [slice_path(path, s, keys) for s in slices])
+    """Empty the given slices: a dynamic overwrite with zero rows for a slice
+    leaves its old files in place, so each slice folder is overwritten with an
+    empty frame of the table's data columns."""
+    if not slices:
+        return
+    try:
+        table_schema = spark.read.parquet(path).schema
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return
+        raise
+    empty = spark.createDataFrame([], T.StructType([f for f in table_schema if f.name not in keys]))
+    for s in slices:
+        empty.write.mode("overwrite").parquet(slice_path(path, s, keys))
 
 
 def read_slices(spark: SparkSession, path: str, schema=None, slices=None,

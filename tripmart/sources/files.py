@@ -3,18 +3,21 @@
 Monthly trip files are named ``{service}_tripdata_{yyyy-MM}.parquet``. Their
 column types drift from month to month (a count stored as long one month and
 double the next), and one multi-file read over drifting footers fails. Files
-are therefore grouped by (service, footer schema); each group is one read,
-harmonised, cast to the declared landing schema, and the groups are unioned.
-The number of plan leaves follows the number of distinct schemas, not files.
+are therefore read per service, in as few groups as their footers allow (one
+when they merge); each group is one read, harmonised, cast to the declared
+landing schema, and the groups are unioned. The number of plan leaves follows
+the number of distinct schemas, not files.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.functions.columns import nulls_to_none, ntz_lit
@@ -25,7 +28,7 @@ log = logging.getLogger("tripmart.sources")
 TRIP_FILE_RE = r"(yellow|green)_tripdata_(\d{4}-\d{2})\.parquet"
 # Landing folders may also be laid out Hive-style: service_type=X/source_month=Y/part-*.
 HIVE_RE = r"service_type=(yellow|green)/source_month=(\d{4}-\d{2})/"
-FOOTER_THREADS = 32
+FOOTER_THREADS = 8
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> list[str]:
@@ -55,61 +58,64 @@ def _path_part(group: int):
 
 
 def footer_schemas(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Parquet footer schema of each file, as text.
-
-    Footers are read through the Parquet and Hadoop FileSystem classes that
-    Spark ships (so any cluster file system works), a few files at a time.
-    Their number follows the number of landing files, not the data size.
-    """
+    """Schema (JSON) of each file, read a few files at a time. Their number
+    follows the number of landing files, not the data size."""
     from concurrent.futures import ThreadPoolExecutor
 
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    # Resolve the classes once: each dotted lookup is a gateway round trip.
-    hpath = jvm.org.apache.hadoop.fs.Path
-    input_file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile
-    file_reader = jvm.org.apache.parquet.hadoop.ParquetFileReader
-
     def one(p):
-        try:
-            reader = file_reader.open(input_file.fromPath(hpath(p), conf))
-            try:
-                return p, reader.getFooter().getFileMetaData().getSchema().toString()
-            finally:
-                reader.close()
-        except Exception:  # fall back to Spark's own schema inference
-            return p, spark.read.parquet(p).schema.json()
+        return p, spark.read.parquet(p).schema.json()
 
     with ThreadPoolExecutor(FOOTER_THREADS) as pool:
         return dict(pool.map(one, paths))
 
 
+def schema_groups(spark: SparkSession, service: str, files: list[str]):
+    """Files of one service split into groups that one read can take.
+
+    Returns ``(files, schema)`` pairs. Fast path: a single ``mergeSchema`` read (Spark merges the footers in a
+    distributed job); columns added in later months simply come back NULL
+    for older files. If the footers cannot be merged (a column changed type,
+    or two spellings of a name), files are grouped by their exact schema.
+    """
+    try:
+        return [(files, spark.read.option("mergeSchema", "true").parquet(*files).schema)]
+    except Exception as e:
+        if "MERGE" not in str(e).upper() and "DUPLICATE" not in str(e).upper() \
+                and "incompatible" not in str(e):
+            raise
+    groups: dict[str, list[str]] = defaultdict(list)
+    for p, schema in footer_schemas(spark, files).items():
+        groups[schema].append(p)
+    return [(g, T.StructType.fromJson(json.loads(sc))) for sc, g in groups.items()]
+
+
 def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> DataFrame:
     """Read monthly trip files into the landing layout, stamping lineage.
 
     ``source_month`` and ``service_type`` come from each row's file path
     (``_metadata.file_path``), so one read serves many files.
     """
-    groups: dict[tuple[str, str], list[str]] = defaultdict(list)
+    by_service: dict[str, list[str]] = defaultdict(list)
     for p in paths:
-        if parse_trip_file(p) is None:
+        parsed = parse_trip_file(p)
+        if parsed is None:
             raise ValueError(f"not a monthly trip file name: {p}")
-    for p, schema in footer_schemas(spark, paths).items():
-        groups[(parse_trip_file(p)[0], schema)].append(p)
+        by_service[parsed[0]].append(p)
 
     parts = []
-    for (service, _), files in sorted(groups.items()):
-        df = harmonise(spark.read.parquet(*files), service)
-        extra = unknown_columns(df)
-        if extra:
-            log.warning("dropping columns outside the landing schema from %d %s file(s): %s",
-                        len(files), service, extra)
-        df = df.withColumns({
-            "ingest_ts": F.localtimestamp() if ingest_ts is None else ntz_lit(ingest_ts),
-            "source_month": _path_part(2),
-            "service_type": _path_part(1),
-        })
-        parts.append(conform(df, schemas.LANDING))
+    for service, service_files in sorted(by_service.items()):
+        for files, schema in schema_groups(spark, service, service_files):
+            df = harmonise(spark.read.schema(schema).parquet(*files), service)
+            extra = unknown_columns(df)
+            if extra:
+                log.warning("dropping columns outside the landing schema from %d %s file(s): %s",
+                            len(files), service, extra)
+            df = df.withColumns({
+                "ingest_ts": F.localtimestamp() if ingest_ts is None else ntz_lit(ingest_ts),
+                "source_month": _path_part(2),
+                "service_type": _path_part(1),
+            })
+            parts.append(conform(df, schemas.LANDING))
     if not parts:
         return spark.createDataFrame([], schemas.LANDING)
     out = parts[0]
