@@ -5,7 +5,8 @@ Commands
   backfill     --lake L --landing D            ingest every pending slice
   ingest       --lake L FILE...                ingest (or re-ingest) given files
   build-silver --lake L                        silver view + its tests
-  build-gold   --lake L                        gold tables + their tests
+  build-gold   --lake L [--trip-key hash [--months 2024-01,2024-02]]
+                                               gold tables + their tests
   run-all      --lake L --landing D --zones-csv Z
   status       --lake L                        ledger state per slice
   query        --lake L NAME [--out PATH]      run a business query (or 'list')
@@ -47,6 +48,8 @@ def main(argv=None) -> int:
     ap.add_argument("--year", type=int)
     ap.add_argument("--calendar-start")
     ap.add_argument("--calendar-end")
+    ap.add_argument("--trip-key", choices=["rank", "hash"], default="rank")
+    ap.add_argument("--months", help="comma-separated yyyy-MM months to rebuild (hash key only)")
     a = ap.parse_intermixed_args(argv)
 
     from tripmart.plans import jobs
@@ -74,7 +77,8 @@ def main(argv=None) -> int:
     elif cmd == "build-silver":
         show(jobs.build_silver(spark, lake, p)[1])
     elif cmd == "build-gold":
-        show(jobs.build_gold_tables(spark, lake, p))
+        months = a.months.split(",") if a.months else None
+        show(jobs.build_gold_tables(spark, lake, p, trip_key=a.trip_key, months=months))
     elif cmd == "run-all":
         for name, df in jobs.run_all(spark, lake, a.landing, p, zones_csv=a.zones_csv).items():
             print(name)

@@ -176,3 +176,14 @@ def with_trip_key(fact: DataFrame, num_partitions: int | None = None) -> DataFra
 
     keyed = with_dense_rank(fact, schemas.TRIP_KEY_ORDER, "trip_key", num_partitions)
     return keyed.select(*schemas.FACT_COLUMNS)
+
+
+def with_hash_trip_key(fact: DataFrame) -> DataFrame:
+    """Alternative surrogate key: ``xxhash64`` of the ten key columns.
+
+    Row-local (no shuffle, no global pass) and stable across loads, so the
+    fact can be rebuilt month by month. Unlike the dense rank it is not dense
+    and two different trips can collide with probability about n^2 / 2^65.
+    """
+    keyed = fact.withColumn("trip_key", F.xxhash64(*schemas.TRIP_KEY_ORDER))
+    return keyed.select(*schemas.FACT_COLUMNS)

@@ -30,7 +30,7 @@ from tripmart.params import Params
 from tripmart.plans import layout
 from tripmart.plans.bronze import bronze_trips, bronze_zones
 from tripmart.plans.checks import gold_checks, silver_checks
-from tripmart.plans.gold import Gold, build_gold, with_trip_key
+from tripmart.plans.gold import Gold, build_gold, with_hash_trip_key, with_trip_key
 from tripmart.plans.ledger import Ledger, pending
 from tripmart.plans.queries import Tables
 from tripmart.plans.silver import silver_trips
@@ -144,14 +144,23 @@ def build_silver(spark: SparkSession, lake: Lake, p: Params) -> tuple[DataFrame,
 
 
 def build_gold_tables(spark: SparkSession, lake: Lake, p: Params,
-                      partition_dates: bool = False) -> DataFrame:
+                      partition_dates: bool = False, trip_key: str = "rank",
+                      months: list[str] | None = None) -> DataFrame:
     """Write all gold tables, then test them; returns the test results.
 
-    ``partition_dates`` lays the calendar out by month (``year_month``); it is
-    off by default: a few thousand rows do not need many files.
+    ``trip_key``: ``"rank"`` (the reference's dense rank; needs a full
+    rebuild) or ``"hash"`` (row-local ``xxhash64``). With the hash key,
+    ``months`` rebuilds only those fact partitions: bronze is read for those
+    months only (pickup month = file month in the fact) and the write
+    replaces just them. ``partition_dates`` lays the calendar out by month.
     """
+    if months and trip_key != "hash":
+        raise ValueError("an incremental fact build needs trip_key='hash'")
     zones = zones_dim(spark, lake)
-    g = build_gold(spark, load_bronze(spark, lake), zones, p)
+    bronze = load_bronze(spark, lake)
+    if months:
+        bronze = bronze.where(F.col("source_month").isin(list(months)))
+    g = build_gold(spark, bronze, zones, p)
     layout.write_list_partitioned(g.dim_service_type.df, lake.gold("dim_service_type"))
     layout.write_list_partitioned(g.dim_payment_type.df, lake.gold("dim_payment_type"))
     layout.write_list_partitioned(g.dim_vendors.df, lake.gold("dim_vendors"))
@@ -160,7 +169,8 @@ def build_gold_tables(spark: SparkSession, lake: Lake, p: Params,
     else:
         layout.overwrite_table(g.dim_date.df, lake.gold("dim_date"))
     layout.write_hash_clustered(g.dim_zones.df, lake.gold("dim_zones"), "zone_key", 4)
-    layout.write_fact(with_trip_key(g.fact), lake.gold("fct_trips"))
+    keyed = with_trip_key(g.fact) if trip_key == "rank" else with_hash_trip_key(g.fact)
+    layout.write_fact(keyed, lake.gold("fct_trips"), only_present_months=bool(months))
     return gold_checks(load_gold(spark, lake, p))
 
 

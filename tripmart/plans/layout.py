@@ -84,10 +84,13 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Monthly partitions of the fact (static overwrite: the key is global)."""
+def write_fact(fact: DataFrame, path: str, only_present_months: bool = False) -> None:
+    """Monthly partitions of the fact. A full rebuild replaces the table
+    (static overwrite); ``only_present_months`` replaces just the months in
+    ``fact`` (dynamic overwrite, for incremental builds)."""
+    mode = "dynamic" if only_present_months else "static"
     (_rebalanced(fact, "source_month").write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy("source_month").parquet(path))
+     .option("partitionOverwriteMode", mode).partitionBy("source_month").parquet(path))
 
 
 def write_list_partitioned(df: DataFrame, path: str, col: str = "partition_group") -> None:
