@@ -205,9 +205,9 @@ def test_example_model_tests(spark):
     first = spark.createDataFrame([(1,), (None,)], "id int")
     second = first.where("id = 1")
     out = {(r.table_name, r.test_name): r.violations for r in run_tests(
-        {"my_first_dbt_model": first, "my_second_dbt_model": second}, X.EXAMPLE_TESTS).collect()}
-    assert out == {("my_first_dbt_model", "unique"): 0, ("my_first_dbt_model", "not_null"): 1,
-                   ("my_second_dbt_model", "unique"): 0, ("my_second_dbt_model", "not_null"): 0}
+        {"example_first_model": first, "example_second_model": second}, X.EXAMPLE_TESTS).collect()}
+    assert out == {("example_first_model", "unique"): 0, ("example_first_model", "not_null"): 1,
+                   ("example_second_model", "unique"): 0, ("example_second_model", "not_null"): 0}
 
 
 def test_declared_test_counts():

@@ -56,6 +56,6 @@ GOLD_TESTS = [
 
 # The starter model: ids 1 and NULL, both columns tested unique + not_null.
 EXAMPLE_TESTS = [
-    *unique("my_first_dbt_model", "id"), *not_null("my_first_dbt_model", "id"),
-    *unique("my_second_dbt_model", "id"), *not_null("my_second_dbt_model", "id"),
+    *unique("example_first_model", "id"), *not_null("example_first_model", "id"),
+    *unique("example_second_model", "id"), *not_null("example_second_model", "id"),
 ]
