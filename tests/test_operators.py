@@ -255,3 +255,14 @@ def test_grouped_percentile_cont_matches_builtin(spark):
         if g == "nul":
             continue
         assert abs(float(r.p50) - r.w50) < 1e-9 and abs(float(r.p90) - r.w90) < 1e-9, g
+
+
+def test_scale_settings():
+    from tripmart.session import scale_settings
+
+    big = scale_settings(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 65536
+    mid = scale_settings(1024 ** 4, 800)
+    assert mid["spark.sql.shuffle.partitions"] == "4096"
+    small = scale_settings(10 * 1024 ** 2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

@@ -50,14 +50,18 @@ def main(argv=None) -> int:
     ap.add_argument("--calendar-end")
     ap.add_argument("--trip-key", choices=["rank", "hash"], default="rank")
     ap.add_argument("--months", help="comma-separated yyyy-MM months to rebuild (hash key only)")
+    ap.add_argument("--input-bytes", type=int, help="input size, to size partitions")
+    ap.add_argument("--total-cores", type=int, help="executor cores in the cluster")
     a = ap.parse_intermixed_args(argv)
 
     from tripmart.plans import jobs
     from tripmart.plans import queries as Q
     from tripmart.plans.ledger import Ledger
-    from tripmart.session import ensure_checkpoint_dir, get_spark
+    from tripmart.session import ensure_checkpoint_dir, get_spark, scale_settings
 
-    spark = get_spark()
+    extra = (scale_settings(a.input_bytes, a.total_cores)
+             if a.input_bytes and a.total_cores else None)
+    spark = get_spark(extra=extra)
     ensure_checkpoint_dir(spark)
     lake, p = jobs.Lake(a.lake), _params(a)
 

@@ -61,3 +61,26 @@ def ensure_checkpoint_dir(spark: SparkSession, local_dir: str | None = None) ->
     path = local_dir or tempfile.mkdtemp(prefix="tripmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024,
+                   max_partitions: int = 65536) -> dict[str, str]:
+    """Partition settings for a given input size and cluster size.
+
+    Shuffles start with enough partitions for ~``target_partition_bytes`` each
+    (at least two waves of tasks), capped at ``max_partitions`` because the
+    driver tracks mappers x reducers map statuses; beyond the cap partitions
+    grow (sort-based shuffles spill) and AQE still splits skewed ones and
+    coalesces small ones. For 100 TB on 1000 executors x 8 cores: 65,536
+    partitions of about 1.6 GB.
+    """
+    parts = min(max(2 * total_cores, -(-input_bytes // target_partition_bytes)), max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
