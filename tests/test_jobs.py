@@ -182,3 +182,21 @@ def test_added_column_merges_into_one_read(spark, scratch):
     assert len(groups) == 1 and groups[0][0] == a + b and "congestion_surcharge" in groups[0][1].names
     out = read_trip_files(spark, a + b)
     assert out.count() == 4 and set(r.source_month for r in out.collect()) == {"2024-01", "2024-02"}
+
+
+def test_backfill_falls_back_per_slice(spark, scratch):
+    from tripmart.params import Params
+
+    landing, lake = f"{scratch}/landing", jobs.Lake(f"{scratch}/lake")
+    _yellow_file(spark, f"{landing}/yellow_tripdata_2024-01.parquet", month=(2024, 1))
+    _yellow_file(spark, f"{landing}/yellow_tripdata_2024-02.parquet", month=(2024, 2))
+    os.makedirs(f"{landing}/yellow_tripdata_2024-03.parquet")
+    with open(f"{landing}/yellow_tripdata_2024-03.parquet/part-0.parquet", "wb") as f:
+        f.write(b"not a parquet file")
+    p = Params(grid_first_year=2024, grid_last_year=2024)
+    jobs.backfill(spark, lake, landing, p)
+    st = {(r.year_month, r.service_type): r for r in Ledger(spark, lake.events).state().collect()}
+    assert st[("2024-01", "yellow")].status == "completed"
+    assert st[("2024-02", "yellow")].status == "completed"
+    assert st[("2024-03", "yellow")].status == "failed" and st[("2024-03", "yellow")].error_message
+    assert spark.read.parquet(lake.raw_trips).count() == 4

@@ -19,6 +19,7 @@ around it. Nothing is looped per slice.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,8 @@ from tripmart.plans.silver import silver_trips
 from tripmart.sources import generators
 from tripmart.sources.files import list_files, parse_trip_file, read_trip_files, read_zone_csv
 
+log = logging.getLogger("tripmart.jobs")
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -110,17 +113,36 @@ def landing_files(spark: SparkSession, landing_dir: str) -> list[str]:
     return [f for f in list_files(spark, landing_dir) if parse_trip_file(f)]
 
 
-def backfill(spark: SparkSession, lake: Lake, landing_dir: str, p: Params) -> DataFrame:
+def backfill(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
+             per_slice_fallback: bool = True) -> DataFrame:
     """Ingest every grid slice that is not completed, in one run (B2 + B3).
 
-    Returns the pending grid as it was before the run.
+    If the single run fails (say one unreadable file), each pending slice is
+    retried on its own, so one bad slice does not hold back the others; the
+    ledger records which slices completed and which failed. Returns the
+    pending grid as it was before the run.
     """
     grid = generators.slice_grid(spark, p.grid_first_year, p.grid_last_year, schemas.GRID_SERVICES)
     todo = pending(grid, Ledger(spark, lake.events).state())
     todo_set = {(r.year_month, r.service_type) for r in todo.collect()}  # at most the grid size
     files = [f for f in landing_files(spark, landing_dir) if parse_trip_file(f)[::-1] in todo_set]
-    if files:
+    if not files:
+        return todo
+    try:
         ingest_trips(spark, lake, files)
+    except Exception:
+        if not per_slice_fallback:
+            raise
+        by_slice: dict[tuple[str, str], list[str]] = {}
+        for f in files:
+            by_slice.setdefault(parse_trip_file(f)[::-1], []).append(f)
+        failed = []
+        for s, slice_files in sorted(by_slice.items()):
+            try:
+                ingest_trips(spark, lake, slice_files)
+            except Exception:  # recorded in the ledger by ingest_trips
+                failed.append(s)
+        log.warning("backfill: %d of %d slices failed: %s", len(failed), len(by_slice), failed)
     return todo
 
 
