@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     # Partition values such as '2024-01' must come back as strings.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove reliable-checkpoint files once their DataFrame is out of scope.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
