@@ -224,6 +224,17 @@ def test_slice_grid(spark):
     assert g.where("year_month = '2022-01' and service_type = 'green'").count() == 1
 
 
+def test_conform_turns_nan_into_null(spark):
+    df = spark.createDataFrame([(float("nan"), 1.5), (2.0, float("nan"))],
+                               "passenger_count double, trip_distance double")
+    out = conform(df).collect()
+    assert out[0].passenger_count is None and out[0].trip_distance == 1.5
+    assert out[1].trip_distance is None
+    assert bronze_trips(conform(df).withColumn("fare_amount", F.lit(1.0))
+                        .withColumn("tip_amount", F.lit(0.0)).withColumn("tolls_amount", F.lit(0.0))
+                        .withColumn("total_amount", F.lit(1.0))).count() == 2
+
+
 def test_conform_casts_and_fills(spark):
     df = spark.createDataFrame([(1, "2")], "VendorID long, payment_type string")
     out = conform(df)

@@ -30,12 +30,16 @@ def harmonise(df: DataFrame, service_type: str) -> DataFrame:
 
 def conform(df: DataFrame, schema: T.StructType = schemas.LANDING) -> DataFrame:
     """Cast to the declared landing schema; absent columns become NULL,
-    unknown columns are dropped (callers may report them)."""
+    unknown columns are dropped (callers may report them). Landing stores
+    missing values as NULL, so floating NaN becomes NULL too."""
     have = {c.lower(): c for c in df.columns}
+    types = dict((n.lower(), t) for n, t in ((f.name, f.dataType) for f in df.schema.fields))
     cols = []
     for f in schema.fields:
         src = have.get(f.name.lower())
         c = F.col(f"`{src}`") if src else F.lit(None)
+        if src and isinstance(types[src.lower()], (T.DoubleType, T.FloatType)):
+            c = F.when(~F.isnan(c), c)
         cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
