@@ -89,3 +89,17 @@ def test_trip_key_has_no_global_window_over_fact(spark, tables):
 def test_percentiles_avoid_single_task_group_merge(tables, name):
     plan = _plan(Q.QUERIES[name](tables))
     assert "percentile(" not in plan.lower()
+
+
+@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - Q.NEEDS_PICKUP_TS))
+def test_no_udf_no_cartesian(tables, name):
+    plan = _plan(Q.QUERIES[name](tables))
+    for bad in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan, f"{name}: {bad}"
+
+
+def test_gold_checks_plan_has_no_cartesian(tables):
+    from tripmart.plans.checks import gold_checks
+
+    plan = _plan(gold_checks(tables.gold))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
