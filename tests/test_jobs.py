@@ -151,6 +151,15 @@ def test_ingest_backfill_and_gold_build(spark, scratch):
     with pytest.raises(ValueError):
         jobs.build_gold_tables(spark, lake, TESTDATA, months=["1996-03"])
 
+    # Command line over the same lake.
+    from tripmart.__main__ import main
+
+    assert main(["status", "--lake", lake.root]) == 0
+    out = f"{scratch}/q01_csv"
+    assert main(["query", "q01_trips_per_month", "--lake", lake.root, "--year", "1996",
+                 "--calendar-start", "1995-01-01", "--calendar-end", "2000-12-31", "--out", out]) == 0
+    assert spark.read.option("header", True).csv(out).count() == 12
+
 
 def test_generic_csv_and_partitioned_calendar(spark, scratch):
     from tripmart.sources.files import read_csv
