@@ -1,7 +1,8 @@
 """Run registered Spark queries next to their DuckDB oracle and compare.
 
 Usage: python tests/oracle_compare.py [sf_dir] [name ...]
-Compares row count, column names and the multiset of rows (order-free).
+Compares row count, column names and types, and the multiset of rows
+(order-free).
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT"}
+
+
 def duck(sf_dir: str):
     import duckdb
 
@@ -56,6 +61,12 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> tuple[bool, str
     t2 = time.time()
     if sorted(cols) != sorted(dcols):
         return False, f"columns differ: spark={cols} duck={dcols}"
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    dtypes = {d[0]: str(d[1]) for d in cur.description}
+    if stypes != dtypes:
+        diff = {c: (stypes[c], dtypes[c]) for c in cols if stypes[c] != dtypes[c]}
+        return False, f"column types differ (spark, duck): {diff}"
     idx = [dcols.index(c) for c in cols]
     drows = [tuple(_norm(r[i]) for i in idx) for r in drows]
     if len(srows) != len(drows):

@@ -52,6 +52,7 @@ def test_literal_dimensions_and_calendar(spark, con):
     gold = testdata_tables(spark, SF001).gold
     for name, cte in (("dim_service_type", "t_dim_service_type"), ("dim_payment_type", "t_dim_payment_type"),
                       ("dim_vendors", "t_dim_vendors"), ("dim_date", "t_dim_date")):
-        ok, msg = compare(spark, con, name, lambda s, sf, n=name: gold.dims()[n].df,
-                          with_base(f"SELECT * FROM {cte}"), SF001)
+        text = ["date"] if name == "dim_date" else []
+        ok, msg = compare(spark, con, name, lambda s, sf, n=name: E._canon(gold.dims()[n].df),
+                          with_base(f"SELECT * FROM {cte}", text_cols=text), SF001)
         assert ok, (name, msg)
