@@ -11,8 +11,9 @@ Commands
   status       --lake L                        ledger state per slice
   query        --lake L NAME [--out PATH]      run a business query (or 'list')
 
-Query parameters default to the reference's (year 2024, calendar 2022-2025,
-HAVING 1000/10/100); override with --year, --calendar-start/--calendar-end.
+Parameters default to the reference's (year 2024, calendar 2022-2025,
+backfill grid 2022-2025, HAVING 1000/10/100); override with --year,
+--calendar-start/--calendar-end, --grid-first-year/--grid-last-year.
 The session's own settings (master, spark.checkpoint.dir, ...) are used as
 given by spark-submit.
 """
@@ -34,6 +35,10 @@ def _params(a):
         kw["calendar_start"] = dt.date.fromisoformat(a.calendar_start)
     if a.calendar_end:
         kw["calendar_end"] = dt.date.fromisoformat(a.calendar_end)
+    if a.grid_first_year:
+        kw["grid_first_year"] = a.grid_first_year
+    if a.grid_last_year:
+        kw["grid_last_year"] = a.grid_last_year
     return REFERENCE.with_(**kw)
 
 
@@ -48,6 +53,8 @@ def main(argv=None) -> int:
     ap.add_argument("--year", type=int)
     ap.add_argument("--calendar-start")
     ap.add_argument("--calendar-end")
+    ap.add_argument("--grid-first-year", type=int, help="backfill grid start (default 2022)")
+    ap.add_argument("--grid-last-year", type=int, help="backfill grid end (default 2025)")
     ap.add_argument("--trip-key", choices=["rank", "hash"], default="rank")
     ap.add_argument("--months", help="comma-separated yyyy-MM months to rebuild (hash key only)")
     ap.add_argument("--input-bytes", type=int, help="input size, to size partitions")
@@ -65,9 +72,10 @@ def main(argv=None) -> int:
     ensure_checkpoint_dir(spark)
     lake, p = jobs.Lake(a.lake), _params(a)
 
-    def show(df):
+    def show(df, name=None):
         if a.out:
-            df.write.mode("overwrite").option("header", True).csv(a.out)
+            out = f"{a.out.rstrip('/')}/{name}" if name else a.out
+            df.write.mode("overwrite").option("header", True).csv(out)
         else:
             df.show(100, truncate=False)
 
@@ -86,7 +94,7 @@ def main(argv=None) -> int:
     elif cmd == "run-all":
         for name, df in jobs.run_all(spark, lake, a.landing, p, zones_csv=a.zones_csv).items():
             print(name)
-            show(df)
+            show(df, name)
     elif cmd == "status":
         show(Ledger(spark, lake.events).state().orderBy("year_month", "service_type"))
     elif cmd == "query":

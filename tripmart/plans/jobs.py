@@ -149,7 +149,14 @@ def backfill(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
 # ------------------------------------------------------------------ silver / gold
 
 def load_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
-    b = spark.read.parquet(lake.bronze_trips)
+    try:
+        b = spark.read.parquet(lake.bronze_trips)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            raise RuntimeError(
+                f"no bronze trips under {lake.bronze_trips}: nothing has been ingested yet "
+                "(are the landing files inside the backfill grid years?)") from e
+        raise
     order = ["VendorID", "pickup_ts", "dropoff_ts", "passenger_count", "trip_distance",
              "pickup_location_id", "dropoff_location_id", "rate_code_id", "payment_type_id",
              "fare_amount", "tip_amount", "tolls_amount", "total_amount", "trip_type", "ingest_ts",
