@@ -419,12 +419,20 @@ def q21_column_metadata(t: Tables) -> DataFrame:
 def q22_fact_sample(t: Tables, n: int = 5) -> DataFrame:
     """First ``n`` fact rows by trip key (ties broken by every column).
 
-    ``ORDER BY .. LIMIT`` plans as a top-k (TakeOrderedAndProject): each task
-    keeps n rows, the driver merges n per task.
+    Two phases, so a sample never reads the whole table: the n-th smallest
+    trip key K comes from a top-n over that one column (each task keeps n
+    values); then only rows with ``trip_key <= K`` (pushed to the Parquet
+    scan, row groups skipped by their statistics) are ordered in full. Rows
+    tied at K are all kept, so the result equals a full ordering.
     """
     fact = gold_table_frames(t)["fct_trips"]
     order = ["trip_key"] if "trip_key" in fact.columns else []
     order += [c for c in fact.columns if c not in order]
+    if "trip_key" in fact.columns:
+        cutoff = (fact.select("trip_key").orderBy("trip_key").limit(n)
+                  .agg(F.max("trip_key").alias("k")).first().k)
+        if cutoff is not None:
+            fact = fact.where(F.col("trip_key") <= F.lit(cutoff))
     return fact.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
 
 
