@@ -5,9 +5,15 @@ from __future__ import annotations
 from tripmart.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tripmart.llm.simhash import op8_simhash_near_dedup
 from tripmart.llm.token_count import op2_token_counts
+from tripmart.llm.toxicity import op1_toxicity
 from tripmart.llm.url_filter import op9_url_filter
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_counts, op7_exact_dedup, op8_simhash_near_dedup, op9_url_filter)}
+    op1_toxicity,
+    op2_token_counts,
+    op7_exact_dedup,
+    op8_simhash_near_dedup,
+    op9_url_filter,
+)}
 
 ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL}
