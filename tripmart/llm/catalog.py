@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tripmart.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from tripmart.llm.packing import op6_packing
 from tripmart.llm.simhash import op8_simhash_near_dedup
 from tripmart.llm.token_count import op2_token_counts
 from tripmart.llm.toxicity import op1_toxicity
@@ -11,6 +12,7 @@ from tripmart.llm.url_filter import op9_url_filter
 QUERIES = {f.__name__: f for f in (
     op1_toxicity,
     op2_token_counts,
+    op6_packing,
     op7_exact_dedup,
     op8_simhash_near_dedup,
     op9_url_filter,
