@@ -6,6 +6,7 @@ from tripmart.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tripmart.llm.packing import op6_packing
 from tripmart.llm.simhash import op8_simhash_near_dedup
 from tripmart.llm.token_count import op2_token_counts
+from tripmart.llm.token_files import op10_token_files
 from tripmart.llm.toxicity import op1_toxicity
 from tripmart.llm.url_filter import op9_url_filter
 
@@ -16,6 +17,7 @@ QUERIES = {f.__name__: f for f in (
     op7_exact_dedup,
     op8_simhash_near_dedup,
     op9_url_filter,
+    op10_token_files,
 )}
 
 ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL}
