@@ -5,6 +5,7 @@ from __future__ import annotations
 from tripmart.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tripmart.llm.packing import op6_packing
 from tripmart.llm.simhash import op8_simhash_near_dedup
+from tripmart.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 from tripmart.llm.token_count import op2_token_counts
 from tripmart.llm.token_files import op10_token_files
 from tripmart.llm.toxicity import op1_toxicity
@@ -13,6 +14,7 @@ from tripmart.llm.url_filter import op9_url_filter
 QUERIES = {f.__name__: f for f in (
     op1_toxicity,
     op2_token_counts,
+    op3_substring_dedup,
     op6_packing,
     op7_exact_dedup,
     op8_simhash_near_dedup,
@@ -20,4 +22,4 @@ QUERIES = {f.__name__: f for f in (
     op10_token_files,
 )}
 
-ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL}
+ORACLES: dict[str, str] = {"op7_exact_dedup": OP7_SQL, "op3_substring_dedup": OP3_SQL}
