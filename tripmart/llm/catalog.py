@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tripmart.llm.decontaminate import op4_decontaminate
 from tripmart.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tripmart.llm.packing import op6_packing
 from tripmart.llm.simhash import op8_simhash_near_dedup
@@ -15,6 +16,7 @@ QUERIES = {f.__name__: f for f in (
     op1_toxicity,
     op2_token_counts,
     op3_substring_dedup,
+    op4_decontaminate,
     op6_packing,
     op7_exact_dedup,
     op8_simhash_near_dedup,
