@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tripmart.llm.decontaminate import op4_decontaminate
 from tripmart.llm.exact_dedup import OP7_SQL, op7_exact_dedup
+from tripmart.llm.line_dedup import op5_line_dedup
 from tripmart.llm.packing import op6_packing
 from tripmart.llm.simhash import op8_simhash_near_dedup
 from tripmart.llm.substring_dedup import OP3_SQL, op3_substring_dedup
@@ -17,6 +18,7 @@ QUERIES = {f.__name__: f for f in (
     op2_token_counts,
     op3_substring_dedup,
     op4_decontaminate,
+    op5_line_dedup,
     op6_packing,
     op7_exact_dedup,
     op8_simhash_near_dedup,
