@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.session import ensure_checkpoint_dir
 
@@ -52,6 +53,34 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]]
     return df.mapInArrow(run, out)
 
 
+#: Marked rows (an id and a hash each) up to this count are broadcast, about 10 MB; more are joined by shuffle.
+BROADCAST_MARKS = 200_000
+
+
+def filter_rows(df: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``mapInArrow`` of a function that only leaves out rows; all columns stay."""
+    return df.mapInArrow(keep, df.schema)
+
+
+def keep_marked(docs: DataFrame, id_col: str, mark: Column, judged: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that ``judged`` (doc_id, mark, kept; one row per row) keeps, with all columns.
+
+    ``mark`` is a function of the row's text that ``judged`` has too. Of rows
+    with the same id and mark one stays if any is kept.
+    """
+    pairs = judged.groupBy("doc_id", "mark").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    odd = materialise(pairs.where("NOT kept OR n > 1")).select(
+        F.col("doc_id").alias("_odd_id"), F.col("mark").alias("_odd_mark"), F.col("kept").alias("_odd_kept"))
+    again = odd.where("_odd_kept")
+    same = F.col(id_col).eqNullSafe(F.col("_odd_id")) & F.col("_mark").eqNullSafe(F.col("_odd_mark"))
+    marked = docs.withColumn("_mark", mark)
+    small = F.broadcast(odd) if odd.count() <= BROADCAST_MARKS else odd
+    kept = marked.join(small, same, "left_anti")
+    if not again.isEmpty():
+        kept = kept.union(marked.join(again, same, "left_semi").dropDuplicates([id_col, "_mark"]))
+    return kept.drop("_mark")
+
+
 def as_bytes(col: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     return col.cast(pa.binary()).to_pylist()

@@ -26,14 +26,16 @@ from __future__ import annotations
 
 import string
 from array import array
+from collections.abc import Iterator
 from functools import reduce
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import U64, map_rows, mix64, table
+from tripmart.llm.common import U64, filter_rows, map_rows, mix64, table
 
 EDITS = 0.2
 REPEATS = 24
@@ -234,14 +236,8 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS,
     item_kind = benchmark.schema[item_col].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, start_word bigint, distance int"
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text"))
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-chars // BLOCK_CHARS))
-
-    def walked(block: int) -> DataFrame:
-        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        known = [(r["item"], r["text"]) for r in own.orderBy("item", "text").collect()]  # about BLOCK_CHARS
 
+    def walked(known: list[tuple]) -> DataFrame:
         def run(batches):
             bench = Benchmark(known, edits)
             for b in batches:
@@ -252,7 +248,34 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS,
 
         return map_rows(narrow, schema, run)
 
-    return reduce(DataFrame.union, [walked(b) for b in range(blocks)])
+    return reduce(DataFrame.union, map(walked, item_blocks(benchmark, item_col, item_text_col)))
+
+
+def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> Iterator[list[tuple]]:
+    """The items, in blocks of about BLOCK_CHARS that are fetched one at a time; at least one block."""
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text"))
+    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-chars // BLOCK_CHARS))
+    for block in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+        yield [(r["item"], r["text"]) for r in own.orderBy("item", "text").collect()]
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, text_col: str = "text",
+                      item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, with all columns, that hold no item."""
+    at = docs.columns.index(text_col)
+
+    def clean(docs: DataFrame, known: list[tuple]) -> DataFrame:
+        def run(batches):
+            bench = Benchmark(known, edits)
+            for b in batches:
+                hit = {k for k, *_ in find_items(b.column(at).to_pylist(), bench)} if bench.items else set()
+                yield b.filter(pa.array([k not in hit for k in range(len(b))], pa.bool_()))
+
+        return filter_rows(docs, run)
+
+    return reduce(clean, item_blocks(benchmark, item_col, item_text_col), docs)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

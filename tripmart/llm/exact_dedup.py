@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import U64, materialise, mix64, table
+from tripmart.llm.common import U64, keep_marked, materialise, mix64, table
 
 BLANKS = " \t\n\x0b\x0c\r"
 KEYS_PER_FILTER = 50_000
@@ -199,9 +199,20 @@ def _unequal_rows(source: DataFrame, digest: Column, groups: DataFrame) -> DataF
         F.xxhash64("norm").alias("other")).distinct()
 
 
+def half_by_hash(id_col: str = "doc_id") -> Column:
+    """The incoming half of a table that is deduplicated as a whole."""
+    return F.pmod(F.xxhash64(id_col), F.lit(2)) == 1
+
+
+def drop_exact(docs: DataFrame, incoming: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, with all columns, that stay."""
+    judged = exact_groups(docs, incoming, id_col, text_col).select("doc_id", F.col("text_sha256").alias("mark"), "kept")
+    return keep_marked(docs, id_col, F.sha2(normal_text(F.col(text_col)), 256), judged)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the documents, by a hash of the id, are the snapshot and the others the incoming batch."""
-    return exact_groups(table(spark, sf_dir, "documents"), F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1)
+    return exact_groups(table(spark, sf_dir, "documents"), half_by_hash())
 
 
 OP7_SQL = r"""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import U64, as_bytes, map_rows, materialise, table
+from tripmart.llm.common import U64, as_bytes, keep_marked, map_rows, materialise, table
 from tripmart.llm.components import component_roots
 
 ONES = U64(0xFFFFFFFFFFFFFFFF)
@@ -50,18 +50,18 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(grams), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
-                 keep: list[str] | None = None) -> DataFrame:
-    """(doc_id, fp) with fp the fingerprint's bits as a signed long; ``keep`` names further columns to carry."""
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, mark, fp): fp holds the fingerprint's bits as a signed long, mark a hash of the text."""
+    text = F.col(text_col).cast("string")
+    narrow = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in as_bytes(b.column(1))], dtype=U64)
-            yield {"doc_id": b.column(0), "fp": pa.array(fps.view(np.int64))}
+            yield {"doc_id": b.column(0), "mark": b.column(2), "fp": pa.array(fps.view(np.int64))}
 
-    return map_rows(narrow, f"doc_id {kind}, fp bigint", run)
+    return map_rows(narrow, f"doc_id {kind}, mark bigint, fp bigint", run)
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -209,14 +209,24 @@ def near_links(values: DataFrame, radius: int = 2, tile: int = 4096) -> DataFram
 
 def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) of every row; component_id is the smallest id reachable."""
+    """(doc_id, mark, fp, root, component_id) of every row: root is the component's smallest fingerprint,
+    component_id the smallest id reachable."""
     marked = materialise(fingerprints(docs, shingle, id_col, text_col))
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
     roots = component_roots(near_links(nodes, radius)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     placed = materialise(nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low"))
     names = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    return marked.join(placed.join(names, "root").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id")
+    return marked.join(placed.join(names, "root").select("fp", "root", "component_id"), "fp").select(
+        "doc_id", "mark", "fp", "root", "component_id")
+
+
+def drop_near(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, with all columns: of each component the smallest id (null last, then the smallest hash)."""
+    found = simhash_components(docs, shingle, radius, id_col, text_col)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
+    first = found.groupBy("root").agg(F.min(place).alias("first"))
+    judged = found.join(first, "root").select("doc_id", "mark", place.eqNullSafe(F.col("first")).alias("kept"))
+    return keep_marked(docs, id_col, F.xxhash64(F.col(text_col).cast("string")), judged)
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import map_rows, materialise, table
+from tripmart.llm.common import filter_rows, map_rows, materialise, table
 
 #: Labelled rows that the lexicon and the curve are fitted on, at most.
 MAX_LABELLED = 20_000
@@ -272,6 +272,19 @@ def toxicity_scores(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESH
     return map_rows(narrow, f"doc_id {kind}, score double, predicted int, n_hits int, n_words int", run)
 
 
+def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, with all columns, that score below ``threshold``."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        matcher = Matcher(lexicon)
+        for b in batches:
+            yield b.filter(pa.array([bool(matcher.lexicon.curve(matcher.level(t)[0]) < threshold)
+                                     for t in b.column(at).to_pylist()], pa.bool_()))
+
+    return filter_rows(docs, run)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity_scores(docs, learn(docs, table(spark, sf_dir, "labels")))
