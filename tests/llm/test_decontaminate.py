@@ -1,0 +1,115 @@
+import random
+
+from tripmart.llm import decontaminate as B
+
+from .conftest import prose
+
+
+def slow_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(before + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        at, kind = rng.randrange(len(words)), rng.random()
+        if kind < 0.6:
+            words[at] = f"new{rng.randrange(99)}"
+        elif kind < 0.8:
+            words.insert(at, f"new{rng.randrange(99)}")
+        elif len(words) > 1:
+            del words[at]
+    return words
+
+
+def brute(texts, items, edits=0.2):
+    out = set()
+    for k, t in enumerate(texts):
+        words = B.words_of(t)
+        for i, item in items:
+            own = B.words_of(item)
+            n, most = len(own), int(edits * len(own))
+            if n and any(slow_distance(own, words[s:s + n]) <= most for s in range(len(words) - n + 1)):
+                out.add((k, i))
+    return out
+
+
+def test_bounded_distance():
+    rng = random.Random(2)
+    for _ in range(800):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(12))] for _ in range(2))
+        most = rng.randrange(6)
+        assert B.edit_distance(a, b, most) == min(slow_distance(a, b), most + 1)
+
+
+def test_words():
+    assert B.words_of("Don't  É-b,\nC") == [b"don", b"t", "é".encode(), b"b", b"c"]
+    assert B.words_of(None) == B.words_of(" .") == []
+
+
+def test_recall_and_no_false_reports():
+    """The target recall is 0.95 of all passages within the bound; what is reported is always within it."""
+    rng = random.Random(9)
+    items = [(i, prose(rng, rng.randint(14, 59), 4000)) for i in range(60)]
+    texts = []
+    for k in range(240):
+        _, item = rng.choice(items)
+        words = item.split()
+        mine = edited(rng, words, rng.randrange(int(0.2 * len(words)) + 2))
+        texts.append(" ".join([prose(rng, rng.randrange(40), 4000), *mine, prose(rng, rng.randrange(40), 4000)]))
+    want = brute(texts, items)
+    found = {(k, i) for k, i, *_ in B.find_items(texts, B.Benchmark(items))}
+    assert found <= want and len(found) >= 0.95 * len(want) and len(want) > 150
+
+
+def test_short_common_items_need_no_triples():
+    items = [(1, "a b c"), (2, "a"), (3, "a b c d e f")]
+    texts = ["x a b c y", "a b x d e f", "b", "a b c d e f"]
+    found = {(k, i) for k, i, *_ in B.find_items(texts, B.Benchmark(items))}
+    assert found == brute(texts, items)
+
+
+def test_edge_rows(spark, docs, edge_texts):
+    same = edge_texts[3][1]
+    bench = spark.createDataFrame([(1, same, 5), (2, None, 5), (3, "", 5), (None, same, 5), (4, "quite another text of some words", 5)],
+                                  "item_id int, text string, doc_id int")
+    hits = B.benchmark_hits(docs(edge_texts), bench).collect()
+    holds = [i for i, t in edge_texts if t and same in t]
+    assert sorted((repr(h.doc_id), repr(h.item_id)) for h in hits) == sorted((repr(i), x) for i in holds for x in ("1", "None"))
+    table = docs(edge_texts)
+    clean = B.drop_contaminated(table, bench)
+    assert clean.columns == table.columns
+    assert sorted(repr(r.doc_id) for r in clean.collect()) == sorted(repr(i) for i, t in edge_texts if not (t and same in t))
+    none = bench.limit(0)
+    assert B.benchmark_hits(docs(edge_texts), none).count() == 0
+    assert B.drop_contaminated(docs(edge_texts), none).count() == len(edge_texts)
+    assert B.benchmark_hits(docs([]), bench).count() == 0
+
+
+def test_blocks_cover_all_items(spark, docs, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK_CHARS", 200)
+    rng = random.Random(3)
+    items = [(i, prose(rng, 20, 900)) for i in range(12)]
+    texts = [(k, f"before it {t} and after") for k, t in items]
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    found = {(h.doc_id, h.item_id) for h in B.benchmark_hits(docs(texts), bench).collect()}
+    assert found == {(k, k) for k, _ in items}
+
+
+def test_whole_table_finds_every_verbatim_item(spark):
+    sf = "/root/testdata/sf0.001"
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    table = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    found = {(h.doc_id, h.item_id) for h in B.op4_decontaminate(spark, sf).collect()}
+    verbatim = {(r.doc_id, i) for r in table for i, t in items if r.text and t in r.text}
+    assert verbatim and verbatim <= found
+    words = {r.doc_id: B.words_of(r.text) for r in table}
+    own = {i: B.words_of(t) for i, t in items}
+    for d, i in found:
+        n = len(own[i])
+        assert any(B.edit_distance(own[i], words[d][s:s + n], int(0.2 * n)) <= int(0.2 * n) for s in range(len(words[d]) - n + 1))

@@ -62,23 +62,31 @@ def filter_rows(df: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterat
     return df.mapInArrow(keep, df.schema)
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no column of ``frames`` has it (names do not tell case)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_marked(docs: DataFrame, id_col: str, mark: Column, judged: DataFrame) -> DataFrame:
     """Rows of ``docs`` that ``judged`` (doc_id, mark, kept; one row per row) keeps, with all columns.
 
     ``mark`` is a function of the row's text that ``judged`` has too. Of rows
     with the same id and mark one stays if any is kept.
     """
+    own, odd_id, odd_mark = (fresh(n, docs) for n in ("_mark", "_odd_id", "_odd_mark"))
     pairs = judged.groupBy("doc_id", "mark").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    odd = materialise(pairs.where("NOT kept OR n > 1")).select(
-        F.col("doc_id").alias("_odd_id"), F.col("mark").alias("_odd_mark"), F.col("kept").alias("_odd_kept"))
-    again = odd.where("_odd_kept")
-    same = F.col(id_col).eqNullSafe(F.col("_odd_id")) & F.col("_mark").eqNullSafe(F.col("_odd_mark"))
-    marked = docs.withColumn("_mark", mark)
-    small = F.broadcast(odd) if odd.count() <= BROADCAST_MARKS else odd
-    kept = marked.join(small, same, "left_anti")
+    odd = materialise(pairs.where("NOT kept OR n > 1"))
+    again = odd.where("kept").select(F.col("doc_id").alias(odd_id), F.col("mark").alias(odd_mark))
+    gone = odd.select(F.col("doc_id").alias(odd_id), F.col("mark").alias(odd_mark))
+    same = F.col(id_col).eqNullSafe(F.col(odd_id)) & F.col(own).eqNullSafe(F.col(odd_mark))
+    marked = docs.withColumn(own, mark)
+    kept = marked.join(F.broadcast(gone) if gone.count() <= BROADCAST_MARKS else gone, same, "left_anti")
     if not again.isEmpty():
-        kept = kept.union(marked.join(again, same, "left_semi").dropDuplicates([id_col, "_mark"]))
-    return kept.drop("_mark")
+        kept = kept.union(marked.join(again, same, "left_semi").dropDuplicates([id_col, own]))
+    return kept.drop(own)
 
 
 def as_bytes(col: pa.Array) -> list[bytes | None]:

@@ -91,15 +91,16 @@ def dedup_lines(docs: DataFrame, edits: int = 1, least_words: int = 5, id_col: s
 
     rows = written(map_rows(source, f"doc_id {kind}, n_lines bigint, sha binary, "
                             "lines array<struct<line:int,key:binary,halves:array<bigint>>>", scan), "lines")
-    every = rows.select("doc_id", F.explode("lines").alias("l")).select("doc_id", "l.line", "l.key", "l.halves")
+    every = rows.select("doc_id", "sha", F.explode("lines").alias("l")).select(
+        "doc_id", "sha", "l.line", "l.key", "l.halves")
     lines = materialise(every.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first"),
                                                  F.max("halves").alias("halves")))
     near = _near_lines(source, lines, kind, least_words) if edits else None
     first = lines.select("key", "first")
     judged = first.join(near, "key", "left") if near is not None else first.withColumn("near", F.lit(None).cast("boolean"))
-    removed = every.select("doc_id", "line", "key").join(judged, "key").where(
+    removed = every.select("doc_id", "sha", "line", "key").join(judged, "key").where(
         F.coalesce("near", F.lit(False)) | (F.struct("doc_id", "line") > F.col("first")))
-    per_doc = materialise(removed.groupBy("doc_id").agg(F.collect_set("line").alias("removed")))
+    per_doc = materialise(removed.groupBy("doc_id", "sha").agg(F.collect_set("line").alias("removed")))
     cut = _cut(source, per_doc, kind).groupBy("doc_id", "sha").agg(
         F.first("n_removed").alias("n_removed"), F.first("kept").alias("kept"), F.first("kept_sha").alias("kept_sha"))
     return rows.select("doc_id", "n_lines", "sha").join(cut, ["doc_id", "sha"], "left").select(
@@ -109,6 +110,8 @@ def dedup_lines(docs: DataFrame, edits: int = 1, least_words: int = 5, id_col: s
 
 def _near_lines(source: DataFrame, lines: DataFrame, kind: str, least_words: int) -> DataFrame:
     """(key, near = true) of the distinct lines that an earlier one is within one edit of."""
+    import xxhash
+
     halves = lines.where("halves IS NOT NULL").select("key", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     likely = halves.join(shared, "half").select("key", "first").distinct()
@@ -119,15 +122,16 @@ def _near_lines(source: DataFrame, lines: DataFrame, kind: str, least_words: int
         for b in batches:
             for doc_id, text, own in zip(*(c.to_pylist() for c in b.columns)):
                 found = text.split("\n")
-                # a row that repeats the id with another text may lack the line
-                own = [(w["line"], w["key"], " ".join(map(bytes.decode, found[w["line"]].encode().split())))
+                own = [(w["line"], w["key"], b" ".join(found[w["line"]].encode().split()))
                        for w in own if w["line"] < len(found)]
+                # a row that repeats the id with another text may have another line there
+                own = [(line, key, words.decode()) for line, key, words in own if xxhash.xxh3_128_digest(words) == key]
                 yield {"doc_id": [doc_id] * len(own), "line": [x for x, _, _ in own], "key": [x for _, x, _ in own],
                        "words": [x for _, _, x in own]}
 
     fetched = map_rows(_with_text(source, wanted).select("doc_id", "text", "wanted"),
                        f"doc_id {kind}, line int, key binary, words string", texts)
-    known = written(fetched.where("words <> ''").dropDuplicates(["key"]), "near-lines")
+    known = written(fetched.dropDuplicates(["key"]), "near-lines")
 
     def emit(batches):
         for b in batches:
@@ -164,18 +168,16 @@ def _cut(source: DataFrame, per_doc: DataFrame, kind: str) -> DataFrame:
     def run(batches):
         for b in batches:
             out = []
-            for doc_id, text, gone in zip(*(c.to_pylist() for c in b.columns)):
-                if text is None:
-                    continue
-                lines, gone = text.split("\n"), set(gone)
-                kept = "\n".join([x for k, x in enumerate(lines) if k not in gone or not x.encode().split()])
-                out.append((doc_id, hashlib.sha256(text.encode()).digest(),
-                            sum(1 for k in gone if k < len(lines) and lines[k].encode().split()), kept,
-                            hashlib.sha256(kept.encode()).hexdigest()))
+            for doc_id, text, sha, gone in zip(*(c.to_pylist() for c in b.columns)):
+                if text is None or hashlib.sha256(text.encode()).digest() != sha:
+                    continue  # another row of that id
+                gone = set(gone)
+                kept = "\n".join([x for k, x in enumerate(text.split("\n")) if k not in gone])
+                out.append((doc_id, sha, len(gone), kept, hashlib.sha256(kept.encode()).hexdigest()))
             if out:
                 yield dict(zip(("doc_id", "sha", "n_removed", "kept", "kept_sha"), map(list, zip(*out))))
 
-    return map_rows(_with_text(source, per_doc).select("doc_id", "text", "removed"),
+    return map_rows(_with_text(source, per_doc).select("doc_id", "text", "sha", "removed"),
                     f"doc_id {kind}, sha binary, n_removed bigint, kept string, kept_sha string", run)
 
 
