@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -176,8 +176,8 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int = CAPA
     while True:
         n += 1
         parts, last = -(-parts // FAN_IN), parts <= FAN_IN
-        left = level.where("ids IS NOT NULL").withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
-        level = written(left.groupBy("part").applyInPandas(
+        left = level.where("ids IS NOT NULL").withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).select(*NAMES)
+        level = written(left.groupBy("part").applyInArrow(
             _merge(n, last, width, capacity, windows, least), schema), "packed")
         packed = packed.union(level.where("ids IS NULL"))
         if last:
@@ -186,17 +186,16 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int = CAPA
 
 def _merge(level: int, last: bool, width: str, capacity: int, windows: int, least: int):
     """Pack the leftover windows of a group of tasks; the last group also closes its own."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        part = int(pdf["part"].iloc[0])
-        packer, out = Packer(capacity, windows, least), Rows(level, part)
-        pdf = pdf.sort_values(["doc_id", "start"], kind="stable")
-        for doc_id, start, ids, tokens in zip(pdf["doc_id"], pdf["start"], pdf["ids"], pdf["doc_tokens"]):
+    def run(rows: pa.Table) -> pa.Table:
+        out = Rows(level, rows["part"][0].as_py())
+        packer = Packer(capacity, windows, least)
+        rows = rows.sort_by([("doc_id", "ascending"), ("start", "ascending")])
+        for doc_id, start, ids, tokens in zip(*(rows[c].to_pylist() for c in ("doc_id", "start", "ids", "doc_tokens"))):
             for done in packer.add(Piece(doc_id, start, np.frombuffer(ids, dtype=width), tokens)):
                 out.sequence(done)
         for k, window in enumerate(packer.tail() if last else packer.leftovers()):
             out.sequence(window, None if last else k)
-        return pd.DataFrame(out.rows, columns=NAMES).astype(
-            {"sequence_id": "Int64", "window": "Int64"})
+        return pa.table(out.take(), schema=rows.schema)
 
     return run
 
