@@ -91,7 +91,7 @@ def test_percentiles_avoid_single_task_group_merge(tables, name):
     assert "percentile(" not in plan.lower()
 
 
-@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - Q.NEEDS_PICKUP_TS))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_no_udf_no_cartesian(tables, name):
     plan = _plan(Q.QUERIES[name](tables))
     for bad in ("EvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -4,12 +4,19 @@ Commands
   ingest-zones --lake L --zones-csv Z          replace the zone lookup
   backfill     --lake L --landing D            ingest every pending slice
   ingest       --lake L FILE...                ingest (or re-ingest) given files
+  ingest       --lake L --landing D --service S --month M
+                                               ... or those of one service and month
   build-silver --lake L                        silver view + its tests
   build-gold   --lake L [--trip-key hash [--months 2024-01,2024-02]]
                                                gold tables + their tests
   run-all      --lake L --landing D --zones-csv Z
   status       --lake L                        ledger state per slice
   query        --lake L NAME [--out PATH]      run a business query (or 'list')
+  sql          --lake L "SELECT ..."           SQL text over views of all layers
+
+Results are printed whole, tab-separated, or written as CSV with --out.
+build-silver, build-gold and run-all exit with 1 when a declared test finds
+violations; gold tables are then not published.
 
 Parameters default to the reference's (year 2024, calendar 2022-2025,
 backfill grid 2022-2025, HAVING 1000/10/100); override with --year,
@@ -56,6 +63,8 @@ def main(argv=None) -> int:
     ap.add_argument("--grid-first-year", type=int, help="backfill grid start (default 2022)")
     ap.add_argument("--grid-last-year", type=int, help="backfill grid end (default 2025)")
     ap.add_argument("--trip-key", choices=["rank", "hash"], default="rank")
+    ap.add_argument("--service", choices=["yellow", "green"])
+    ap.add_argument("--month", help="yyyy-MM")
     ap.add_argument("--months", help="comma-separated yyyy-MM months to rebuild (hash key only)")
     ap.add_argument("--input-bytes", type=int, help="input size, to size partitions")
     ap.add_argument("--total-cores", type=int, help="executor cores in the cluster")
@@ -63,11 +72,11 @@ def main(argv=None) -> int:
 
     from tripmart.plans import jobs
     from tripmart.plans import queries as Q
+    from tripmart.plans.checks import Blocked, violated
     from tripmart.plans.ledger import Ledger
     from tripmart.session import ensure_checkpoint_dir, get_spark, scale_settings
 
-    extra = (scale_settings(a.input_bytes, a.total_cores)
-             if a.input_bytes and a.total_cores else None)
+    extra = scale_settings(a.input_bytes or 0, a.total_cores or 1) if a.input_bytes or a.total_cores else None
     spark = get_spark(extra=extra)
     ensure_checkpoint_dir(spark)
     lake, p = jobs.Lake(a.lake), _params(a)
@@ -77,7 +86,9 @@ def main(argv=None) -> int:
             out = f"{a.out.rstrip('/')}/{name}" if name else a.out
             df.write.mode("overwrite").option("header", True).csv(out)
         else:
-            df.show(100, truncate=False)
+            print("\t".join(df.columns))
+            for row in df.toLocalIterator():
+                print("\t".join("" if v is None else str(v) for v in row))
 
     cmd = a.command
     if cmd == "ingest-zones":
@@ -85,16 +96,28 @@ def main(argv=None) -> int:
     elif cmd == "backfill":
         show(jobs.backfill(spark, lake, a.landing, p))
     elif cmd == "ingest":
-        print(jobs.ingest_trips(spark, lake, a.args))
+        if a.args:
+            print(jobs.ingest_trips(spark, lake, a.args))
+        else:
+            print(jobs.ingest_slice(spark, lake, a.landing, a.service, a.month))
     elif cmd == "build-silver":
-        show(jobs.build_silver(spark, lake, p)[1])
-    elif cmd == "build-gold":
+        tests = jobs.build_silver(spark, lake, p)[1]
+        show(tests)
+        return int(violated(tests.collect(), p.tolerated))
+    elif cmd in ("build-gold", "run-all"):
         months = a.months.split(",") if a.months else None
-        show(jobs.build_gold_tables(spark, lake, p, trip_key=a.trip_key, months=months))
-    elif cmd == "run-all":
-        for name, df in jobs.run_all(spark, lake, a.landing, p, zones_csv=a.zones_csv).items():
+        try:
+            done = (jobs.run_all(spark, lake, a.landing, p, zones_csv=a.zones_csv) if cmd == "run-all"
+                    else {"gold": jobs.build_gold_tables(spark, lake, p, trip_key=a.trip_key, months=months)})
+        except Blocked as e:
+            print(f"not published: {e}", file=sys.stderr)
+            return 1
+        for name, df in done.items():
             print(name)
             show(df, name)
+    elif cmd == "sql":
+        lake.register(spark, p)
+        show(spark.sql(a.args[0]))
     elif cmd == "status":
         show(Ledger(spark, lake.events).state().orderBy("year_month", "service_type"))
     elif cmd == "query":

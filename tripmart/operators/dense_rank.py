@@ -13,13 +13,18 @@ move the whole table into one task. Two passes instead:
    offset per partition is the running total of the partition sizes. That
    offsets table has one row per range partition, so broadcasting it is
    bounded by the partition count, not by the data;
-4. join the ranks back on the key columns.
+4. join the ranks back on the key columns, NULL-safe.
 
-Keys must be non-NULL (the fact guarantees it); NULLs would not join back.
+Distinct keys come first so that a key that a third of all rows share is one
+row in the range partitions; the join back is split by AQE when it is skewed.
+The number of partitions is that of the session's shuffles, which AQE adapts.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +36,10 @@ def dense_rank_keys(df: DataFrame, order_cols: list[str], rank_col: str = "rank"
     """Distinct ``order_cols`` tuples with their 1-based dense rank."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = df.select(*order_cols).distinct()
-    ranged = (keys.repartitionByRange(n, *[F.col(c).asc_nulls_last() for c in order_cols])
-                  .sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in order_cols])
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
+    parts = [num_partitions] if num_partitions else []
+    ranged = (keys.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
                   .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = ranged.checkpoint(eager=True)
     ranged = ranged.withColumns({
@@ -55,5 +60,8 @@ def dense_rank_keys(df: DataFrame, order_cols: list[str], rank_col: str = "rank"
 
 def with_dense_rank(df: DataFrame, order_cols: list[str], rank_col: str = "rank",
                     num_partitions: int | None = None) -> DataFrame:
+    """``df`` with the dense rank of its ``order_cols``, NULLs last."""
     ranks = dense_rank_keys(df, order_cols, rank_col, num_partitions)
-    return df.join(ranks, on=order_cols, how="inner")
+    ranks = ranks.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(order_cols)})
+    same = reduce(and_, (df[c].eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(order_cols)))
+    return df.join(ranks, same).select(*df.columns, rank_col)

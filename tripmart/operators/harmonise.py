@@ -28,10 +28,11 @@ def harmonise(df: DataFrame, service_type: str) -> DataFrame:
     return df.withColumns(missing) if missing else df
 
 
-def conform(df: DataFrame, schema: T.StructType = schemas.LANDING) -> DataFrame:
-    """Cast to the declared landing schema; absent columns become NULL,
-    unknown columns are dropped (callers may report them). Landing stores
-    missing values as NULL, so floating NaN becomes NULL too."""
+def conform(df: DataFrame, schema: T.StructType = schemas.LANDING, keep_extra: bool = False) -> DataFrame:
+    """Cast to the declared landing schema; absent columns become NULL.
+    Columns outside it follow as they are with ``keep_extra``, else they are
+    left out. Landing stores missing values as NULL, so floating NaN becomes
+    NULL too."""
     have = {c.lower(): c for c in df.columns}
     types = dict((n.lower(), t) for n, t in ((f.name, f.dataType) for f in df.schema.fields))
     cols = []
@@ -41,6 +42,11 @@ def conform(df: DataFrame, schema: T.StructType = schemas.LANDING) -> DataFrame:
         if src and isinstance(types[src.lower()], (T.DoubleType, T.FloatType)):
             c = F.when(~F.isnan(c), c)
         cols.append(c.cast(f.dataType).alias(f.name))
+    for name in unknown_columns(df, schema) if keep_extra else []:
+        c = F.col(f"`{name}`")
+        if isinstance(types[name.lower()], (T.DoubleType, T.FloatType)):
+            c = F.when(~F.isnan(c), c)
+        cols.append(c.alias(name))
     return df.select(*cols)
 
 

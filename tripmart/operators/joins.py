@@ -10,19 +10,15 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Dim:
-    """A dimension plus an upper bound on its row count.
+    """A dimension plus an upper bound on its row count, if one is known.
 
-    ``max_rows`` is proven by construction (literal rows, calendar days) or
-    counted once when the dimension is built from an external file.
+    ``max_rows`` is proven by construction (literal rows, calendar days).
+    Dimensions read from files have none: Catalyst and AQE choose the join by
+    their measured bytes.
     """
     df: DataFrame
-    max_rows: int
+    max_rows: int | None = None
 
     def side(self, limit: int) -> DataFrame:
         """The dimension, marked for broadcast only when its bound fits."""
-        return F.broadcast(self.df) if self.max_rows <= limit else self.df
-
-
-def counted(df: DataFrame) -> Dim:
-    """Wrap an external dimension, counting it once (one small job)."""
-    return Dim(df, df.count())
+        return F.broadcast(self.df) if self.max_rows is not None and self.max_rows <= limit else self.df

@@ -28,20 +28,17 @@ from pyspark.sql import types as T
 from tripmart.session import ensure_checkpoint_dir
 
 
-def grouped_percentile_cont(df: DataFrame, group_cols: list[str], value_col: str,
-                            percentiles: dict[str, float],
-                            num_partitions: int | None = None) -> DataFrame:
-    """``group_cols`` + one column per entry of ``percentiles`` (name -> p)."""
+def ranked_values(df: DataFrame, group_cols: list[str], value_col: str,
+                  num_partitions: int | None = None) -> DataFrame:
+    """``group_cols``, ``_v``, ``_n`` and the ranks ``_start`` (inclusive) to ``_end`` (exclusive) of every
+    distinct non-NULL value in its group of ``_total`` values. A NULL group is a group."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(value_col)
-    vtype = df.schema[value_col].dataType
-    exact = isinstance(vtype, T.DecimalType)
-
     vc = (df.where(v.isNotNull()).groupBy(*group_cols, v.alias("_v"))
             .agg(F.count(F.lit(1)).alias("_n")))
-    ranged = (vc.repartitionByRange(parts, *group_cols, "_v")
+    parts = [num_partitions] if num_partitions else []
+    ranged = (vc.repartitionByRange(*parts, *group_cols, "_v")
                 .withColumn("_pid", F.spark_partition_id())
                 .checkpoint(eager=True))
 
@@ -60,13 +57,27 @@ def grouped_percentile_cont(df: DataFrame, group_cols: list[str], value_col: str
         Window.unboundedPreceding, Window.currentRow)
     cond = F.col("_pid") == F.col("_opid")
     for c, o in zip(group_cols, og):
-        cond = cond & (F.col(c) == F.col(o))
-    ranked = (ranged.withColumn("_cum", F.sum("_n").over(local))
-                    .join(offsets, cond)
-                    .withColumn("_end", F.col("_off") + F.col("_cum"))      # exclusive
-                    .withColumn("_start", F.col("_end") - F.col("_n")))     # inclusive
+        cond = cond & F.col(c).eqNullSafe(F.col(o))
+    end = F.col("_off") + F.col("_cum")
+    return (ranged.withColumn("_cum", F.sum("_n").over(local)).join(offsets, cond)
+            .select(*group_cols, "_v", "_n", (end - F.col("_n")).alias("_start"), end.alias("_end"), "_total"))
+
+
+def grouped_percentile_cont(df: DataFrame, group_cols: list[str], value_col: str,
+                            percentiles: dict[str, float],
+                            num_partitions: int | None = None) -> DataFrame:
+    """``group_cols`` + one column per entry of ``percentiles`` (name -> p), and from the same value
+    counts ``_count``, ``_sum``, ``_min`` and ``_max`` of the values, so a report needs one pass."""
+    vtype = df.schema[value_col].dataType
+    exact = isinstance(vtype, T.DecimalType)
+    ranked = ranked_values(df, group_cols, value_col, num_partitions)
 
-    picks, outs = [], []
+    # The type that summing the values themselves would give.
+    total = F.sum(F.col("_v") * F.col("_n").cast("decimal(20,0)") if exact else F.col("_v") * F.col("_n"))
+    if exact:
+        total = total.cast(T.DecimalType(min(38, vtype.precision + 10), vtype.scale))
+    picks = [F.sum("_n").alias("_count"), total.alias("_sum"), F.min("_v").alias("_min"), F.max("_v").alias("_max")]
+    outs = ["_count", "_sum", "_min", "_max"]
     for i, (name, p) in enumerate(percentiles.items()):
         h = F.lit(Decimal(str(p))) * (F.col("_total") - 1)
         lo, hi = F.floor(h), F.ceil(h)

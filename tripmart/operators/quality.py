@@ -7,12 +7,13 @@ Failure counts follow the usual semantics of these tests:
 * ``accepted_values``: distinct non-NULL values outside the list;
 * ``relationships``: non-NULL child rows whose value is missing in the parent.
 
-Per table, every ``not_null`` and ``relationships`` test runs in one scan:
-parent key sets are joined as broadcasts (behind their row bound) to flag
-orphans, then a single aggregate counts everything. ``unique`` and
-``accepted_values`` are one grouped aggregate each. All results are unioned
-into one small DataFrame ``(table_name, column_name, test_name, violations,
-passed)``; nothing is collected.
+Per table, all tests but ``unique`` run in one scan: parent key sets are
+joined to flag orphans, each row lists the tests it violates (with the value
+for ``accepted_values``, whose violations are distinct values), and the lists
+are counted. A clean row lists nothing, so little is shuffled. ``unique`` is
+one grouped aggregate each. All results are unioned into one small DataFrame
+``(table_name, column_name, test_name, violations, passed)``; nothing is
+collected.
 """
 
 from __future__ import annotations
@@ -63,38 +64,38 @@ def run_tests(tables: dict[str, DataFrame], tests: list[ColumnTest],
     for table in dict.fromkeys(t.table for t in tests):
         df = tables[table]
         mine = [t for t in tests if t.table == table]
-        scan = [t for t in mine if t.test in ("not_null", "relationships")]
+        scan = [t for t in mine if t.test != "unique"]
         if scan:
-            flagged = df
-            aggs = []
+            flagged, found = df, []
             for i, t in enumerate(scan):
                 c = F.col(t.column)
+                value = F.lit(None).cast("string")
                 if t.test == "not_null":
-                    aggs.append(F.count_if(c.isNull()).alias(f"_v{i}"))
-                    continue
-                parent = parents.get(t.to) or Dim(tables[t.to], broadcast_limit + 1)
-                keys = parent.df.select(F.col(t.field).alias(f"_k{i}")).where(F.col(f"_k{i}").isNotNull())
-                keys = keys.distinct()
-                keys = F.broadcast(keys) if parent.max_rows <= broadcast_limit else keys
-                flagged = flagged.join(keys, c == F.col(f"_k{i}"), "left")
-                aggs.append(F.count_if(c.isNotNull() & F.col(f"_k{i}").isNull()).alias(f"_v{i}"))
-            # One aggregate row, unpivoted with stack(): the table is scanned once.
-            counts = flagged.agg(*aggs)
-            q = lambda s: "'" + s.replace("'", "''") + "'"
-            args = ", ".join(f"{q(t.table)}, {q(t.column)}, {q(t.test)}, _v{i}" for i, t in enumerate(scan))
-            parts.append(counts.select(F.expr(
-                f"stack({len(scan)}, {args}) AS (table_name, column_name, test_name, violations)"))
-                .withColumn("violations", F.col("violations").cast("bigint")))
+                    bad = c.isNull()
+                elif t.test == "accepted_values":
+                    bad, value = c.isNotNull() & ~c.isin(list(t.values)), c.cast("string")
+                else:
+                    parent = parents.get(t.to) or Dim(tables[t.to])
+                    keys = parent.df.select(F.col(t.field).alias(f"_k{i}")).where(F.col(f"_k{i}").isNotNull()).distinct()
+                    keys = Dim(keys, parent.max_rows).side(broadcast_limit)
+                    flagged = flagged.join(keys, c == F.col(f"_k{i}"), "left")
+                    bad = c.isNotNull() & F.col(f"_k{i}").isNull()
+                found.append(F.when(bad, F.struct(F.lit(i).alias("test"), value.alias("value"))))
+            hits = flagged.select(F.explode(F.array_compact(F.array(*found))).alias("hit")).select("hit.test", "hit.value")
+            by_value = hits.groupBy("test", "value").agg(F.count(F.lit(1)).alias("n"))
+            counts = by_value.groupBy("test").agg(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(1)).alias("n"))
+            declared = df.sparkSession.createDataFrame(
+                [(i, t.table, t.column, t.test) for i, t in enumerate(scan)],
+                "test int, table_name string, column_name string, test_name string")
+            parts.append(F.broadcast(declared).join(counts, "test", "left").select(
+                "table_name", "column_name", "test_name",
+                F.coalesce("n", F.lit(0)).cast("bigint").alias("violations")))
         for t in mine:
             c = F.col(t.column)
             if t.test == "unique":
                 dup = (df.where(c.isNotNull()).groupBy(c).count().where(F.col("count") > 1)
                          .agg(F.count(F.lit(1)).alias("violations")))
                 parts.append(labelled(dup, t))
-            elif t.test == "accepted_values":
-                bad = (df.where(c.isNotNull() & ~c.isin(list(t.values))).groupBy(c).count()
-                         .agg(F.count(F.lit(1)).alias("violations")))
-                parts.append(labelled(bad, t))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

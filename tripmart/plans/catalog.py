@@ -26,12 +26,23 @@ IMPUTE_COLUMNS = ["passenger_count", "trip_distance", "fare_amount", "tip_amount
                   "tolls_amount", "total_amount"]
 
 
+def _ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ingestion log with every event: one entry per order, for the slice of its month."""
+    o = testdata._read(spark, sf_dir, "orders")
+    first = F.substring("o_orderpriority", 1, 1)
+    event = F.when(first.isin("1", "5"), "started").when(first == "2", "processing").when(first == "3", "failed") \
+        .otherwise("completed")
+    return o.select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("year_month"),
+        F.when(F.col("o_custkey") % 7 == 0, "green").otherwise("yellow").alias("service_type"),
+        event.alias("event"),
+        F.expr("timestampadd(MICROSECOND, o_orderkey, o_orderdate)").cast("timestamp_ntz").alias("event_ts"),
+        F.when(event == "completed", F.col("o_orderkey") % 100_000).cast("bigint").alias("rows_ingested"),
+        F.when(event == "failed", F.concat(F.lit("order "), F.col("o_orderkey"))).alias("error_message"))
+
+
 def _landed_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger-shaped state of the slices present in the landing data."""
-    landing = testdata.landing_trips(spark, sf_dir)
-    return (landing.groupBy(F.col("source_month").alias("year_month"), "service_type")
-            .agg(F.count(F.lit(1)).alias("rows_ingested"))
-            .withColumn("status", F.lit("completed")))
+    return ledger.state(_ledger_events(spark, sf_dir))
 
 
 def _grid(spark: SparkSession) -> DataFrame:
@@ -74,5 +85,6 @@ REGISTRY: dict[str, Fn] = {
     "i1_impute_upper_median": lambda spark, sf: fill_upper_median(
         testdata.landing_trips(spark, sf), IMPUTE_COLUMNS),
     "b2_pending_slices": lambda spark, sf: ledger.pending(_grid(spark), _landed_state(spark, sf)),
+    "b4_ledger_state": _landed_state,
     "b7_coverage": lambda spark, sf: ledger.coverage(_grid(spark), _landed_state(spark, sf)),
 }

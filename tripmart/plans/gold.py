@@ -79,13 +79,10 @@ def _cleaned(silver: DataFrame) -> DataFrame:
     z = F.lit(0)
     c = lambda n: F.coalesce(F.col(n), z)
     keep = (
-        F.col("pickup_ts").isNotNull() & F.col("dropoff_ts").isNotNull()
-        & F.col("pickup_location_id").isNotNull() & F.col("dropoff_location_id").isNotNull()
-        & (F.col("pickup_ts") <= F.col("dropoff_ts"))
-        & (c("trip_distance") >= 0) & (c("total_amount") >= 0) & (c("fare_amount") >= 0)
-        & (c("tip_amount") >= 0) & (c("tolls_amount") >= 0) & (c("passenger_count") >= 0)
-        & (c("trip_time_minutes") >= 0)
-        & (c("trip_distance") > 0) & (c("trip_time_minutes") > 0) & (c("total_amount") > 0)
+        F.col("pickup_location_id").isNotNull() & F.col("dropoff_location_id").isNotNull()
+        # positive minutes imply both timestamps, in order
+        & (F.col("trip_time_minutes") > 0) & (F.col("trip_distance") > 0) & (F.col("total_amount") > 0)
+        & (F.least(c("fare_amount"), c("tip_amount"), c("tolls_amount")) >= 0) & (c("passenger_count") >= 0)
         & (year_month("pickup_ts") == F.col("source_month"))
     )
     return silver.where(keep).select(
@@ -170,6 +167,15 @@ def build_gold(spark: SparkSession, bronze: DataFrame, zones_bronze: Dim, p: Par
                 dim_vendors=vendors, params=p)
 
 
+def fact_from_bronze(bronze: DataFrame, gold: Gold) -> DataFrame:
+    """The unkeyed fact with its timestamps, for dimensions that are built already."""
+    lim = gold.params.max_broadcast_rows
+    zones = Dim(gold.dim_zones.df.select(F.col("zone_key").alias("location_id"), "zone_name"), gold.dim_zones.max_rows)
+    from tripmart.plans.silver import silver_trips
+
+    return fact_trips(silver_trips(bronze, zones, lim), gold.dim_zones, gold.dim_vendors, gold.dim_payment_type, lim)
+
+
 def with_trip_key(fact: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Add the dense-rank surrogate key and select the published layout."""
     from tripmart.operators.dense_rank import with_dense_rank
@@ -179,11 +185,12 @@ def with_trip_key(fact: DataFrame, num_partitions: int | None = None) -> DataFra
 
 
 def with_hash_trip_key(fact: DataFrame) -> DataFrame:
-    """Alternative surrogate key: ``xxhash64`` of the ten key columns.
+    """Alternative surrogate key: 128 bits of SHA-256 over the ten key columns, as hex text.
 
     Row-local (no shuffle, no global pass) and stable across loads, so the
-    fact can be rebuilt month by month. Unlike the dense rank it is not dense
-    and two different trips can collide with probability about n^2 / 2^65.
+    fact can be rebuilt month by month. Unlike the dense rank it is not dense;
+    two of n trips collide with probability about n^2 / 2^129.
     """
-    keyed = fact.withColumn("trip_key", F.xxhash64(*schemas.TRIP_KEY_ORDER))
+    parts = F.to_json(F.struct(*schemas.TRIP_KEY_ORDER), {"ignoreNullFields": "false"})
+    keyed = fact.withColumn("trip_key", F.substring(F.sha2(parts, 256), 1, 32))
     return keyed.select(*schemas.FACT_COLUMNS)

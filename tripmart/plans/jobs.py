@@ -20,21 +20,22 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas
-from tripmart.operators.joins import Dim, counted
+from tripmart.operators.joins import Dim
 from tripmart.params import Params
 from tripmart.plans import layout
 from tripmart.plans.bronze import bronze_trips, bronze_zones
-from tripmart.plans.checks import gold_checks, silver_checks
+from tripmart.plans.checks import Blocked, gold_checks, silver_checks, violated
 from tripmart.plans.gold import Gold, build_gold, with_hash_trip_key, with_trip_key
 from tripmart.plans.ledger import Ledger, pending
 from tripmart.plans.queries import Tables
-from tripmart.plans.silver import silver_trips
+from tripmart.plans.silver import SILVER_COLUMNS, silver_trips
 from tripmart.sources import generators
 from tripmart.sources.files import list_files, parse_trip_file, read_trip_files, read_zone_csv
 
@@ -60,6 +61,38 @@ class Lake:
     def gold(self, table: str) -> str:
         return self.p("gold", table)
 
+    def register(self, spark: SparkSession, p: Params, prefix: str = "") -> list[str]:
+        """Temporary views over every layer that has been built, for SQL text; returns their names.
+
+        ``raw_trips`` and ``raw_zones`` (as landed), ``bronze_trips``,
+        ``stg_zones``, ``int_taxi_trips_zones_joined`` (silver), the gold
+        tables, ``ingestion_events`` and ``ingestion_ledger``.
+        """
+        def fact_and_dims():
+            g = load_gold(spark, self, p)
+            return {"fct_trips": g.fact, **{k: d.df for k, d in g.dims().items()}}
+
+        layers = [lambda: {"raw_trips": spark.read.option("mergeSchema", "true").parquet(self.raw_trips)},
+                  lambda: {"raw_zones": spark.read.parquet(self.raw_zones), "stg_zones": zones_dim(spark, self).df},
+                  lambda: {"bronze_trips": load_bronze(spark, self)},
+                  lambda: {"int_taxi_trips_zones_joined": silver_trips(
+                      load_bronze(spark, self), zones_dim(spark, self), p.max_broadcast_rows)},
+                  fact_and_dims,
+                  lambda: {"ingestion_events": Ledger(spark, self.events).events(),
+                           "ingestion_ledger": Ledger(spark, self.events).state()}]
+        names = []
+        for layer in layers:
+            try:
+                views = layer()
+            except Exception as e:
+                if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "nothing has been ingested" in str(e):
+                    continue  # not built yet
+                raise
+            for name, df in views.items():
+                df.createOrReplaceTempView(prefix + name)
+                names.append(prefix + name)
+        return names
+
 
 # ------------------------------------------------------------------ zones
 
@@ -72,15 +105,18 @@ def ingest_zones(spark: SparkSession, lake: Lake, csv_path: str | None = None,
 
 
 def zones_dim(spark: SparkSession, lake: Lake) -> Dim:
-    return counted(bronze_zones(spark.read.schema(schemas.ZONES_CSV).parquet(lake.raw_zones)))
+    return Dim(bronze_zones(spark.read.schema(schemas.ZONES_CSV).parquet(lake.raw_zones)))
 
 
 # ------------------------------------------------------------------ trips
 
 def ingest_trips(spark: SparkSession, lake: Lake, files: list[str],
-                 ingest_ts: dt.datetime | None = None) -> dict[tuple[str, str], int]:
+                 ingest_ts: dt.datetime | None = None, on_error: str = "failed") -> dict[tuple[str, str], int]:
     """Land and type the given monthly files; returns rows per slice.
 
+    ``on_error`` is the event that an exception leaves with every slice:
+    ``failed``, or ``aborted`` when the slices will be tried one by one.
+
     Each touched slice of raw and bronze is replaced, so rerunning a slice
     (after a crash at any point) yields the same tables.
     """
@@ -105,10 +141,25 @@ def ingest_trips(spark: SparkSession, lake: Lake, files: list[str],
         ledger.append(slices, "completed", rows=rows)
         return rows
     except Exception as e:
-        ledger.append(slices, "failed", error=f"{type(e).__name__}: {e}")
+        ledger.append(slices, on_error if _file_error(e) else "failed", error=f"{type(e).__name__}: {e}")
         raise
 
 
+def _file_error(e: Exception) -> bool:
+    """True if a landing file cannot be read, as against a fault of the store, cluster or code."""
+    text = str(e)
+    return any(x in text for x in ("FAILED_READ_FILE", "CANNOT_READ_FILE", "CANNOT_MERGE", "not a Parquet file",
+                                   "is not a parquet", "Could not read footer", "FileNotFoundException"))
+
+
+def ingest_slice(spark: SparkSession, lake: Lake, landing_dir: str, service: str, month: str) -> dict[tuple[str, str], int]:
+    """Ingest, or ingest again, the files of one service and month below ``landing_dir`` (B1)."""
+    files = [f for f in landing_files(spark, landing_dir) if parse_trip_file(f) == (service, month)]
+    if not files:
+        raise FileNotFoundError(f"no {service} file for {month} below {landing_dir}")
+    return ingest_trips(spark, lake, files)
+
+
 def landing_files(spark: SparkSession, landing_dir: str) -> list[str]:
     return [f for f in list_files(spark, landing_dir) if parse_trip_file(f)]
 
@@ -117,10 +168,11 @@ def backfill(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
              per_slice_fallback: bool = True) -> DataFrame:
     """Ingest every grid slice that is not completed, in one run (B2 + B3).
 
-    If the single run fails (say one unreadable file), each pending slice is
-    retried on its own, so one bad slice does not hold back the others; the
-    ledger records which slices completed and which failed. Returns the
-    pending grid as it was before the run.
+    If a file cannot be read, the run is aborted and each pending slice is
+    ingested on its own, so one bad slice does not hold back the others; the
+    ledger records which slices completed and which failed, and the aborted
+    run is no retry of theirs. Other errors are raised. Returns the pending
+    grid as it was before the run.
     """
     grid = generators.slice_grid(spark, p.grid_first_year, p.grid_last_year, schemas.GRID_SERVICES)
     todo = pending(grid, Ledger(spark, lake.events).state())
@@ -129,9 +181,9 @@ def backfill(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
     if not files:
         return todo
     try:
-        ingest_trips(spark, lake, files)
-    except Exception:
-        if not per_slice_fallback:
+        ingest_trips(spark, lake, files, on_error="aborted" if per_slice_fallback else "failed")
+    except Exception as error:
+        if not per_slice_fallback or not _file_error(error):
             raise
         by_slice: dict[tuple[str, str], list[str]] = {}
         for f in files:
@@ -140,7 +192,9 @@ def backfill(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
         for s, slice_files in sorted(by_slice.items()):
             try:
                 ingest_trips(spark, lake, slice_files)
-            except Exception:  # recorded in the ledger by ingest_trips
+            except Exception as e:  # recorded in the ledger by ingest_trips
+                if not _file_error(e):
+                    raise
                 failed.append(s)
         log.warning("backfill: %d of %d slices failed: %s", len(failed), len(by_slice), failed)
     return todo
@@ -157,11 +211,7 @@ def load_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
                 f"no bronze trips under {lake.bronze_trips}: nothing has been ingested yet "
                 "(are the landing files inside the backfill grid years?)") from e
         raise
-    order = ["VendorID", "pickup_ts", "dropoff_ts", "passenger_count", "trip_distance",
-             "pickup_location_id", "dropoff_location_id", "rate_code_id", "payment_type_id",
-             "fare_amount", "tip_amount", "tolls_amount", "total_amount", "trip_type", "ingest_ts",
-             "source_month", "service_type", "trip_time_minutes"]
-    return b.select(*order)
+    return b.select(*SILVER_COLUMNS)
 
 
 def build_silver(spark: SparkSession, lake: Lake, p: Params) -> tuple[DataFrame, DataFrame]:
@@ -175,13 +225,20 @@ def build_silver(spark: SparkSession, lake: Lake, p: Params) -> tuple[DataFrame,
 def build_gold_tables(spark: SparkSession, lake: Lake, p: Params,
                       partition_dates: bool = False, trip_key: str = "rank",
                       months: list[str] | None = None) -> DataFrame:
-    """Write all gold tables, then test them; returns the test results.
+    """Build, test and publish all gold tables; returns the test results.
+
+    Tables are staged and tested before they replace the live ones. The
+    dimensions come first: a violation in one of them raises ``Blocked`` and
+    nothing is published (the fact does not wait for the vendor tests). Then
+    the fact is staged and tested; a violation, of the vendors too, raises
+    ``Blocked`` and nothing is published. ``p.tolerated`` lists tests whose
+    violations are only reported.
 
     ``trip_key``: ``"rank"`` (the reference's dense rank; needs a full
-    rebuild) or ``"hash"`` (row-local ``xxhash64``). With the hash key,
-    ``months`` rebuilds only those fact partitions: bronze is read for those
-    months only (pickup month = file month in the fact) and the write
-    replaces just them. ``partition_dates`` lays the calendar out by month.
+    rebuild) or ``"hash"`` (row-local digest). With the hash key, ``months``
+    rebuilds only those fact partitions: bronze is read for those months only
+    (pickup month = file month in the fact) and publishing replaces just
+    them. ``partition_dates`` lays the calendar out by month.
     """
     if months and trip_key != "hash":
         raise ValueError("an incremental fact build needs trip_key='hash'")
@@ -190,37 +247,58 @@ def build_gold_tables(spark: SparkSession, lake: Lake, p: Params,
     if months:
         bronze = bronze.where(F.col("source_month").isin(list(months)))
     g = build_gold(spark, bronze, zones, p)
-    layout.write_list_partitioned(g.dim_service_type.df, lake.gold("dim_service_type"))
-    layout.write_list_partitioned(g.dim_payment_type.df, lake.gold("dim_payment_type"))
-    layout.write_list_partitioned(g.dim_vendors.df, lake.gold("dim_vendors"))
-    if partition_dates:
-        layout.write_list_partitioned(g.dim_date.df, lake.gold("dim_date"), "year_month")
-    else:
-        layout.overwrite_table(g.dim_date.df, lake.gold("dim_date"))
-    layout.write_hash_clustered(g.dim_zones.df, lake.gold("dim_zones"), "zone_key", 4)
-    keyed = with_trip_key(g.fact) if trip_key == "rank" else with_hash_trip_key(g.fact)
-    layout.write_fact(keyed, lake.gold("fct_trips"), only_present_months=bool(months))
-    return gold_checks(load_gold(spark, lake, p))
+    staged = Lake(lake.p("_staged", uuid.uuid4().hex))
+    try:
+        layout.write_list_partitioned(g.dim_service_type.df, staged.gold("dim_service_type"))
+        layout.write_list_partitioned(g.dim_payment_type.df, staged.gold("dim_payment_type"))
+        layout.write_list_partitioned(g.dim_vendors.df, staged.gold("dim_vendors"))
+        if partition_dates:
+            layout.write_list_partitioned(g.dim_date.df, staged.gold("dim_date"), "year_month")
+        else:
+            layout.overwrite_table(g.dim_date.df, staged.gold("dim_date"))
+        layout.write_hash_clustered(g.dim_zones.df, staged.gold("dim_zones"), "zone_key", 4)
+        tested = load_gold(spark, staged, p, with_fact=False)
+        checks = gold_checks(tested, set(tested.dims()))
+        results = checks.collect()  # one row per declared test
+        if violated(results, p.tolerated, but=("dim_vendors",)):
+            raise Blocked(results)
+        keyed = with_trip_key(g.fact) if trip_key == "rank" else with_hash_trip_key(g.fact)
+        layout.write_fact(keyed, staged.gold("fct_trips"))
+        results += gold_checks(load_gold(spark, staged, p), {"fct_trips"}).collect()
+        if violated(results, p.tolerated):
+            raise Blocked(results)
+        for table in tested.dims():
+            layout.move_table(spark, staged.gold(table), lake.gold(table))
+        if months:
+            layout.write_fact(spark.read.parquet(staged.gold("fct_trips")), lake.gold("fct_trips"), only_present_months=True)
+        else:
+            layout.move_table(spark, staged.gold("fct_trips"), lake.gold("fct_trips"))
+    finally:
+        layout.remove_table(spark, staged.root)
+    return spark.createDataFrame(results, checks.schema)
 
 
 def run_all(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
             zones_csv: str | None = None, zones: DataFrame | None = None) -> dict[str, DataFrame]:
     """The whole flow in dependency order: zones, backfill of pending slices,
-    silver and its tests, then gold and its tests. Returns the test tables."""
+    silver and its tests, then gold and its tests. Returns the test tables;
+    raises ``Blocked`` where violations hold back the next step (B5, B6)."""
     ingest_zones(spark, lake, zones_csv, zones)
     backfill(spark, lake, landing_dir, p)
     _, silver_tests = build_silver(spark, lake, p)
     silver_results = silver_tests.collect()      # small: one row per declared test
+    if violated(silver_results, p.tolerated):
+        raise Blocked(silver_results)
     gold_tests = build_gold_tables(spark, lake, p)
     return {"silver": spark.createDataFrame(silver_results, silver_tests.schema), "gold": gold_tests}
 
 
-def load_gold(spark: SparkSession, lake: Lake, p: Params) -> Gold:
-    """Gold tables read back from the lake, dimensions counted once."""
+def load_gold(spark: SparkSession, lake: Lake, p: Params, with_fact: bool = True) -> Gold:
+    """Gold tables read back from the lake."""
     def dim(name, cols):
-        return counted(spark.read.parquet(lake.gold(name)).select(*cols))
+        return Dim(spark.read.parquet(lake.gold(name)).select(*cols))
 
-    fact = spark.read.parquet(lake.gold("fct_trips")).select(*schemas.FACT_COLUMNS)
+    fact = spark.read.parquet(lake.gold("fct_trips")).select(*schemas.FACT_COLUMNS) if with_fact else None
     return Gold(
         fact=fact,
         dim_date=dim("dim_date", ["date_key", "date", "year", "month", "month_name", "day",

@@ -103,6 +103,22 @@ def write_hash_clustered(df: DataFrame, path: str, col: str, buckets: int = 4) -
     df.repartition(buckets, col).write.mode("overwrite").parquet(path)
 
 
+def move_table(spark: SparkSession, staged: str, live: str) -> None:
+    """Put the table written at ``staged`` in the place of ``live`` (a rename where the store has one)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(live).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(live).getParent())
+    fs.delete(path(live), True)
+    if not fs.rename(path(staged), path(live)):
+        raise RuntimeError(f"{staged} could not be moved to {live}")
+    spark.catalog.refreshByPath(live)
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -8,7 +8,7 @@ every status change is an appended event; the current state is derived:
 * ``started_at`` / ``completed_at``: latest start / completion;
 * ``rows_ingested``: from the latest completion;
 * ``error_message``: from the latest failure, only while failed;
-* ``retry_count``: start events minus one (counted once per attempt);
+* ``retry_count``: start events minus one (counted once per attempt), without aborted ones;
 * ``created_at`` / ``updated_at``: first and last event.
 
 Writers append data first and the ledger event last, so a crash leaves a
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas
 
-EVENT_ORDER = {"started": 1, "processing": 2, "failed": 3, "completed": 4}
+# An aborted attempt is one that another slice's file broke: it is not the slice's failure.
+EVENT_ORDER = {"started": 1, "processing": 2, "aborted": 3, "failed": 4, "completed": 5}
 
 
 def _order_col() -> F.Column:
@@ -44,7 +45,8 @@ def state(events: DataFrame) -> DataFrame:
         F.max(F.when(ev_is("completed"), F.col("event_ts"))).alias("completed_at"),
         F.max_by(F.col("rows_ingested"), F.when(ev_is("completed"), F.col("_ord"))).alias("rows_ingested"),
         F.max_by(F.col("error_message"), F.when(ev_is("failed"), F.col("_ord"))).alias("_last_error"),
-        F.greatest(F.count_if(ev_is("started")) - 1, F.lit(0)).cast("int").alias("retry_count"),
+        F.greatest(F.count_if(ev_is("started")) - F.count_if(ev_is("aborted")) - 1, F.lit(0))
+        .cast("int").alias("retry_count"),
         F.min("event_ts").alias("created_at"),
         F.max("event_ts").alias("updated_at"),
     ).select(
@@ -69,10 +71,30 @@ def coverage(grid: DataFrame, st: DataFrame) -> DataFrame:
 
 
 class Ledger:
-    """Append-only Parquet event log under ``path``."""
+    """Append-only Parquet event log: the newest complete generation folder under ``path``.
+
+    A generation is complete when Spark has committed a write to it (its
+    ``_SUCCESS`` file). Compaction writes the next generation as a whole, so a
+    crash at any point leaves the log as it was. Times are UTC.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _generation(self) -> int:
+        """Number of the newest complete generation; 0 when there is none yet."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(conf)
+        if not fs.exists(root):
+            return 0
+        names = [f.getPath().getName() for f in fs.listStatus(root) if f.isDirectory()]
+        done = [int(n[4:]) for n in names if n.startswith("gen-")
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
+        return max(done, default=0)
+
+    def _folder(self, generation: int) -> str:
+        return f"{self.path}/gen-{generation:06d}"
 
     def append(self, slices: list[tuple[str, str]], event, rows: dict | None = None,
                error: str | None = None, at: dt.datetime | None = None) -> None:
@@ -80,15 +102,14 @@ class Ledger:
         if not slices:
             return
         events = [event] if isinstance(event, str) else list(event)
-        ts = at or dt.datetime.now()
-        msg = error[:200] if error else None
-        data = [(m, s, e, ts, (rows or {}).get((m, s)), msg) for e in events for m, s in slices]
+        ts = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        data = [(m, s, e, ts, (rows or {}).get((m, s)), error) for e in events for m, s in slices]
         (self.spark.createDataFrame(data, schemas.CHECKPOINT_EVENTS)
-         .coalesce(1).write.mode("append").parquet(self.path))
+         .coalesce(1).write.mode("append").parquet(self._folder(self._generation())))
 
     def events(self) -> DataFrame:
         try:
-            return self.spark.read.schema(schemas.CHECKPOINT_EVENTS).parquet(self.path)
+            return self.spark.read.schema(schemas.CHECKPOINT_EVENTS).parquet(self._folder(self._generation()))
         except Exception as e:
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
                 return self.spark.createDataFrame([], schemas.CHECKPOINT_EVENTS)
@@ -97,16 +118,9 @@ class Ledger:
     def state(self) -> DataFrame:
         return state(self.events())
 
-    def compact(self, staging: str | None = None) -> int:
-        """Rewrite the log as one file (every append adds a small file).
-
-        The events are written to ``staging`` first and the log is replaced
-        from there, so a crash never leaves a half-written log. Returns the
-        event count.
-        """
-        staging = staging or self.path.rstrip("/") + "_compact"
-        events = self.events()
-        events.coalesce(1).write.mode("overwrite").parquet(staging)
-        copy = self.spark.read.schema(schemas.CHECKPOINT_EVENTS).parquet(staging)
-        copy.coalesce(1).write.mode("overwrite").parquet(self.path)
+    def compact(self) -> int:
+        """Write all events as one file of a new generation (every append adds a small file);
+        older generations stay until they are deleted by hand. Returns the event count."""
+        after = self._folder(self._generation() + 1)
+        self.events().coalesce(1).write.mode("overwrite").parquet(after)
         return self.events().count()

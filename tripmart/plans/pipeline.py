@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.operators.joins import Dim, counted
+from tripmart.operators.joins import Dim
 from tripmart.params import TESTDATA, Params
 from tripmart.plans.bronze import bronze_trips, bronze_zones
 from tripmart.plans.gold import build_gold
@@ -18,7 +18,7 @@ def testdata_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def testdata_zones(spark: SparkSession, sf_dir: str) -> Dim:
-    return counted(bronze_zones(normalise_zone_strings(testdata.zone_lookup(spark, sf_dir))))
+    return Dim(bronze_zones(normalise_zone_strings(testdata.zone_lookup(spark, sf_dir))))
 
 
 def testdata_tables(spark: SparkSession, sf_dir: str, p: Params = TESTDATA) -> Tables:

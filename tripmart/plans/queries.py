@@ -1,6 +1,7 @@
 """The business queries over the star schema (Q1-Q22 and named variants).
 
-Each query is ``fn(tables) -> DataFrame``, lazy, never collected.
+Each query is ``fn(tables) -> DataFrame``; results are never collected. Plans
+are lazy but for the checkpoint of value counts behind exact percentiles.
 
 Plan notes that hold for all of them:
 
@@ -18,7 +19,7 @@ Plan notes that hold for all of them:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from tripmart import schemas
 from tripmart.functions.columns import (case_order, day_of_week, exact_mean, exact_mean_scaled,
                                         ntz_lit, percent_of, ratio_percent, time_block)
 from tripmart.operators.percentiles import grouped_percentile_cont
-from tripmart.plans.gold import Gold
+from tripmart.plans.gold import Gold, fact_from_bronze
 
 
 @dataclass(frozen=True)
@@ -297,76 +298,60 @@ def q16_distance_per_month(t: Tables) -> DataFrame:
 
 # ------------------------------------------------------------------ Q17-Q20
 
-def _with_percentiles(stats: DataFrame, rows: DataFrame, keys: list[str], value: str,
-                      pcts: dict[str, float]) -> DataFrame:
-    """Join exact PERCENTILE_CONT values (rounded to 2) onto per-group stats."""
-    pct = grouped_percentile_cont(rows, keys, value, pcts)
-    out = stats.join(pct, keys, "left")
-    return out.withColumns({name: F.round(F.col(name), 2) for name in pcts})
+def _value_report(rows: DataFrame, keys: list[str], value: str, pcts: dict[str, float], **names: str) -> DataFrame:
+    """Per group: trip count, exact PERCENTILE_CONT values and, under the given names, mean, min and max
+    of ``value`` (never NULL in ``rows``), all from one pass over its value counts, rounded to 2."""
+    found = grouped_percentile_cont(rows, keys, value, pcts)
+    parts = {"mean": F.col("_sum") / F.col("_count"), "min": F.col("_min"), "max": F.col("_max")}
+    return found.select(*keys, F.col("_count").alias("trip_count"), *[F.round(F.col(p), 2).alias(p) for p in pcts],
+                        *[F.round(parts[k], 2).alias(name) for k, name in names.items()])
+
+
+def _borough_order():
+    return case_order("borough", schemas.BOROUGH_ORDER, len(schemas.BOROUGH_ORDER) + 1)
+
+
+def _plausible_speed(t: Tables, f: DataFrame) -> DataFrame:
+    return f.where(F.col("speed_mph").between(0, t.p.q17_max_speed)
+                   & (F.col("trip_time_minutes") > 0) & (F.col("trip_distance") > 0))
+
+
+def _speed_report(t: Tables, f: DataFrame, keys: list[str]) -> DataFrame:
+    report = _value_report(f, keys, "speed_mph", {"median_speed_mph": 0.5},
+                           mean="avg_speed_mph", min="min_speed_mph", max="max_speed_mph")
+    return (report.where(F.col("trip_count") >= t.p.q17_min_trips).orderBy(_borough_order(), *keys)
+            .select(*keys, "avg_speed_mph", "median_speed_mph", "trip_count", "min_speed_mph", "max_speed_mph"))
 
 
 def q17_speed_by_borough(t: Tables) -> DataFrame:
-    p = t.p
-    f = _fact_zone_year(t).where(
-        F.col("speed_mph").isNotNull() & F.col("speed_mph").between(0, p.q17_max_speed)
-        & (F.col("trip_time_minutes") > 0) & (F.col("trip_distance") > 0))
-    stats = (f.groupBy("borough").agg(
-                exact_mean("speed_mph").alias("avg_speed_mph"),
-                F.count(F.lit(1)).alias("trip_count"),
-                F.round(F.min("speed_mph"), 2).alias("min_speed_mph"),
-                F.round(F.max("speed_mph"), 2).alias("max_speed_mph"))
-             .where(F.col("trip_count") >= p.q17_min_trips))
-    return (_with_percentiles(stats, f, ["borough"], "speed_mph", {"median_speed_mph": 0.5})
-            .orderBy(case_order("borough", schemas.BOROUGH_ORDER, len(schemas.BOROUGH_ORDER) + 1),
-                     "borough")
-            .select("borough", "avg_speed_mph", "median_speed_mph", "trip_count",
-                    "min_speed_mph", "max_speed_mph"))
+    return _speed_report(t, _plausible_speed(t, _fact_zone_year(t)), ["borough"])
 
 
 def q17b_speed_by_borough_time_block(t: Tables) -> DataFrame:
     """Q17 split by time-of-day block of the pickup (the split its title
-    promises). Needs the fact's pickup timestamp, which the lazily built
-    fact carries; the published fact layout does not store it."""
-    p = t.p
+    promises). The published fact has no pickup timestamp, so a written lake
+    rebuilds the unkeyed fact from bronze, pruned to the year's months."""
     if "pickup_ts" not in t.gold.fact.columns:
-        raise ValueError("q17b needs a fact with pickup_ts (build it with build_gold)")
-    f = (_fact_zone_year(t).where(
-            F.col("speed_mph").isNotNull() & F.col("speed_mph").between(0, p.q17_max_speed)
-            & (F.col("trip_time_minutes") > 0) & (F.col("trip_distance") > 0))
-         .withColumn("time_block", time_block(F.hour("pickup_ts"), schemas.TIME_BLOCKS,
-                                              schemas.TIME_BLOCK_ELSE)))
-    keys = ["borough", "time_block"]
-    stats = (f.groupBy(*keys).agg(
-                exact_mean("speed_mph").alias("avg_speed_mph"),
-                F.count(F.lit(1)).alias("trip_count"),
-                F.round(F.min("speed_mph"), 2).alias("min_speed_mph"),
-                F.round(F.max("speed_mph"), 2).alias("max_speed_mph"))
-             .where(F.col("trip_count") >= p.q17_min_trips))
-    return (_with_percentiles(stats, f, keys, "speed_mph", {"median_speed_mph": 0.5})
-            .orderBy(case_order("borough", schemas.BOROUGH_ORDER, len(schemas.BOROUGH_ORDER) + 1),
-                     "borough", "time_block")
-            .select("borough", "time_block", "avg_speed_mph", "median_speed_mph", "trip_count",
-                    "min_speed_mph", "max_speed_mph"))
+        p = t.p
+        bronze = t.bronze.where(F.col("source_month").between(p.month_lo, p.month_hi))
+        t = replace(t, gold=replace(t.gold, fact=fact_from_bronze(bronze, t.gold)))
+    f = _plausible_speed(t, _fact_zone_year(t)).withColumn(
+        "time_block", time_block(F.hour("pickup_ts"), schemas.TIME_BLOCKS, schemas.TIME_BLOCK_ELSE))
+    return _speed_report(t, f, ["borough", "time_block"])
 
 
 def q18_duration_percentiles_by_borough(t: Tables) -> DataFrame:
     f = _fact_zone_year(t).where(F.col("trip_time_minutes") > 0)
-    stats = f.groupBy("borough").agg(F.count(F.lit(1)).alias("trip_count"))
-    return (_with_percentiles(stats, f, ["borough"], "trip_time_minutes",
-                              {"p50_duration_min": 0.5, "p90_duration_min": 0.9})
+    return (_value_report(f, ["borough"], "trip_time_minutes", {"p50_duration_min": 0.5, "p90_duration_min": 0.9})
             .orderBy(F.desc("p90_duration_min"), "borough")
             .select("borough", "trip_count", "p50_duration_min", "p90_duration_min"))
 
 
 def q19_top_zones_by_p90_duration(t: Tables) -> DataFrame:
     f = _fact_zone_year(t).where(F.col("trip_time_minutes") > 0)
-    keys = ["zone_name", "borough", "zone_key"]
-    stats = (f.groupBy(*keys).agg(
-                F.count(F.lit(1)).alias("trip_count"),
-                exact_mean("trip_time_minutes").alias("avg_duration_min"),
-                F.round(F.max("trip_time_minutes"), 2).alias("max_duration_min"))
-             .where(F.col("trip_count") >= t.p.q19_min_trips))
-    return (_with_percentiles(stats, f, keys, "trip_time_minutes", {"p90_duration_min": 0.9})
+    report = _value_report(f, ["zone_name", "borough", "zone_key"], "trip_time_minutes", {"p90_duration_min": 0.9},
+                           mean="avg_duration_min", max="max_duration_min")
+    return (report.where(F.col("trip_count") >= t.p.q19_min_trips)
             .orderBy(F.desc("p90_duration_min"), "zone_key").limit(t.p.top_n)
             .select("zone_name", "borough", "trip_count", "p90_duration_min",
                     "avg_duration_min", "max_duration_min"))
@@ -417,28 +402,13 @@ def q21_column_metadata(t: Tables) -> DataFrame:
 
 
 def q22_fact_sample(t: Tables, n: int = 5) -> DataFrame:
-    """First ``n`` fact rows by trip key (ties broken by every column).
-
-    Two phases, so a sample never reads the whole table: the n-th smallest
-    trip key K comes from a top-n over that one column (each task keeps n
-    values); then only rows with ``trip_key <= K`` (pushed to the Parquet
-    scan, row groups skipped by their statistics) are ordered in full. Rows
-    tied at K are all kept, so the result equals a full ordering.
-    """
+    """First ``n`` fact rows by trip key (ties broken by every column): one top-n pass."""
     fact = gold_table_frames(t)["fct_trips"]
     order = ["trip_key"] if "trip_key" in fact.columns else []
     order += [c for c in fact.columns if c not in order]
-    if "trip_key" in fact.columns:
-        cutoff = (fact.select("trip_key").orderBy("trip_key").limit(n)
-                  .agg(F.max("trip_key").alias("k")).first().k)
-        if cutoff is not None:
-            fact = fact.where(F.col("trip_key") <= F.lit(cutoff))
     return fact.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
 
 
-# Queries that need the fact's pickup timestamp (not in the published layout).
-NEEDS_PICKUP_TS = {"q17b_speed_by_borough_time_block"}
-
 QUERIES = {
     "q01_trips_per_month": q01_trips_per_month,
     "q02_trips_per_month_service": q02_trips_per_month_service,

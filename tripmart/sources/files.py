@@ -12,8 +12,8 @@ the number of distinct schemas, not files.
 from __future__ import annotations
 
 import json
-import logging
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +21,7 @@ from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.functions.columns import nulls_to_none, ntz_lit
-from tripmart.operators.harmonise import conform, harmonise, unknown_columns
-
-log = logging.getLogger("tripmart.sources")
+from tripmart.operators.harmonise import conform, harmonise
 
 TRIP_FILE_RE = r"(yellow|green)_tripdata_(\d{4}-\d{2})\.parquet"
 # Landing folders may also be laid out Hive-style: service_type=X/source_month=Y/part-*.
@@ -92,6 +90,7 @@ def schema_groups(spark: SparkSession, service: str, files: list[str]):
 def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> DataFrame:
     """Read monthly trip files into the landing layout, stamping lineage.
 
+    The declared columns come first; all other columns of the files follow.
     ``source_month`` and ``service_type`` come from each row's file path
     (``_metadata.file_path``), so one read serves many files.
     """
@@ -106,22 +105,32 @@ def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> Da
     for service, service_files in sorted(by_service.items()):
         for files, schema in schema_groups(spark, service, service_files):
             df = harmonise(spark.read.schema(schema).parquet(*files), service)
-            extra = unknown_columns(df)
-            if extra:
-                log.warning("dropping columns outside the landing schema from %d %s file(s): %s",
-                            len(files), service, extra)
             df = df.withColumns({
                 "ingest_ts": F.localtimestamp() if ingest_ts is None else ntz_lit(ingest_ts),
                 "source_month": _path_part(2),
                 "service_type": _path_part(1),
             })
-            parts.append(conform(df, schemas.LANDING))
-    if not parts:
-        return spark.createDataFrame([], schemas.LANDING)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            parts.append(conform(df, schemas.LANDING, keep_extra=True))
+    return union_all(parts) if parts else spark.createDataFrame([], schemas.LANDING)
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union by name over all columns of all parts. A column outside the
+    landing schema whose type differs between parts becomes DOUBLE if all its
+    types are numeric, else STRING."""
+    kinds: dict[str, list[T.DataType]] = defaultdict(list)
+    for p in parts:
+        for f in p.schema.fields:
+            if f.dataType not in kinds[f.name.lower()]:
+                kinds[f.name.lower()].append(f.dataType)
+
+    def common(name: str) -> T.DataType:
+        numeric = all(isinstance(t, T.NumericType) for t in kinds[name.lower()])
+        return T.DoubleType() if numeric else T.StringType()
+
+    parts = [p.withColumns({c: F.col(f"`{c}`").cast(common(c)) for c in p.columns if len(kinds[c.lower()]) > 1})
+             for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
