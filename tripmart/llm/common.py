@@ -62,6 +62,15 @@ def filter_rows(df: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterat
     return df.mapInArrow(keep, df.schema)
 
 
+#: Estimated bytes up to which a frame is broadcast; larger ones are joined by shuffle.
+BROADCAST_BYTES = 16 << 20
+
+
+def small_side(df: DataFrame, row_bytes: int) -> DataFrame:
+    """``df``, marked for broadcast if its counted rows of about ``row_bytes`` fit. Cut its lineage first."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
 def fresh(name: str, *frames: DataFrame) -> str:
     """``name``, lengthened until no column of ``frames`` has it (names do not tell case)."""
     taken = {c.lower() for df in frames for c in df.columns}
