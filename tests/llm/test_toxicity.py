@@ -57,7 +57,7 @@ def test_learns_words_and_exceptions_but_not_copies(spark, docs):
         toxic = i % 3 == 0
         if toxic:
             words[i % 25] = words[(i + 9) % 25] = "zork"
-        elif i % 5 == 0:
+        elif i % 25 == 0:
             words[3:5] = ["zork", "garden"]
         texts.append((i, " ".join(words)))
         labels.append((i, int(toxic)))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -45,21 +48,46 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]]
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cols in fn(batches):
+        for cols in fn(slices(batches)):
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type)
                  for c, f in ((cols[f.name], f) for f in arrow)], schema=arrow)
+        give_back()
 
     return df.mapInArrow(run, out)
 
 
+#: Bytes of a batch that is handled at once in a Python worker; a single longer row is handled alone.
+SLICE_BYTES = 8 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about SLICE_BYTES, so that texts are not all unpacked at once."""
+    for b in batches:
+        step = max(1, b.num_rows * SLICE_BYTES // max(1, b.nbytes))
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system; Python workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Marked rows (an id and a hash each) up to this count are broadcast, about 10 MB; more are joined by shuffle.
 BROADCAST_MARKS = 200_000
 
 
 def filter_rows(df: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """``mapInArrow`` of a function that only leaves out rows; all columns stay."""
-    return df.mapInArrow(keep, df.schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from keep(slices(batches))
+        give_back()
+
+    return df.mapInArrow(run, df.schema)
 
 
 #: Estimated bytes up to which a frame is broadcast; larger ones are joined by shuffle.

@@ -29,7 +29,7 @@ def _byte_letters() -> list[str]:
 class TextEncoder:
     """Ids of texts as little-endian bytes of ``dtype`` (the smallest unsigned type for the vocabulary)."""
 
-    def __init__(self, tokenizer_file: str, max_cached: int = 800_000):
+    def __init__(self, tokenizer_file: str, max_cached: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)

@@ -37,7 +37,7 @@ class PairMerger:
     """Counts tokens of whole texts for a byte-pair vocabulary with space marks and byte fallback."""
     rank: dict[str, float]  # piece -> rank, lower merges first
     adjacent: set[str] = field(default_factory=set)  # two characters side by side in some piece
-    max_cached: int = 700_000
+    max_cached: int = 400_000
     words: dict[str, int] = field(default_factory=dict)
     starts: dict[str, int] = field(default_factory=dict)
     parts: dict[str, int] = field(default_factory=dict)

@@ -22,6 +22,7 @@ Repeated rows give repeated scores; other columns are not looked at.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from dataclasses import dataclass, field
 
@@ -47,6 +48,8 @@ LOOKALIKES = {
     "χ": "x", "γ": "y", "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ß": "ss", "æ": "ae", "œ": "oe", "ɑ": "a",
     "ɡ": "g", "ⅼ": "l", "ℓ": "l",
 }
+#: Signs that end a word or stand alone.
+LONE_SIGNS = re.compile(r"(?<!\w)[!|]+|[!|]+(?!\w)")
 #: Zero-width characters, which hide a word from a plain match.
 HIDDEN = "​‌‍⁠﻿­"
 
@@ -84,7 +87,7 @@ class Folder:
         if not text:
             return ""
         if "!" in text or "|" in text:
-            text = " ".join([w.strip("!|") for w in text.split()])
+            text = LONE_SIGNS.sub(" ", text)
         words = text.translate(self.table).split()
         return f" {' '.join(words)} " if words else ""
 
