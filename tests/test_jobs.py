@@ -73,7 +73,9 @@ def test_ledger_state_machine(spark, scratch):
     st = {(r.year_month, r.service_type): r for r in lg.state().collect()}
     assert st[s1].status == "failed" and st[s1].retry_count == 1 and st[s1].error_message == "again"
     assert st[s2].status == "completed" and st[s2].rows_ingested == 42 and st[s2].error_message is None
-    assert len(st[s1].error_message) <= 200
+    long = "boom" * 100
+    first = lg.events().where("event = 'failed'").orderBy("event_ts").first()
+    assert first.error_message == long  # kept whole
     grid = generators.slice_grid(spark, 2024, 2024, ["yellow", "green"])
     pend = {(r.year_month, r.service_type) for r in ledger.pending(grid, lg.state()).collect()}
     assert len(pend) == 23 and s1 in pend and s2 not in pend
@@ -82,6 +84,14 @@ def test_ledger_state_machine(spark, scratch):
     before = sorted(tuple(r) for r in lg.state().collect())
     assert lg.compact() == 8
     assert sorted(tuple(r) for r in lg.state().collect()) == before
+    # a compaction that was cut short leaves a folder without a commit: the log is as it was
+    os.makedirs(f"{scratch}/events/gen-000002")
+    assert sorted(tuple(r) for r in lg.state().collect()) == before
+    lg.append([s1], "started", at=D(2024, 1, 3))
+    lg.append([s1], "aborted", at=D(2024, 1, 3, 1))
+    assert lg.compact() == 10
+    again = {(r.year_month, r.service_type): r for r in lg.state().collect()}[s1]
+    assert again.retry_count == 1 and again.status == "aborted"  # an aborted attempt is no retry
 
 
 def test_zone_csv_na_tokens(spark, scratch):
@@ -191,6 +201,28 @@ def test_added_column_merges_into_one_read(spark, scratch):
     assert len(groups) == 1 and groups[0][0] == a + b and "congestion_surcharge" in groups[0][1].names
     out = read_trip_files(spark, a + b)
     assert out.count() == 4 and set(r.source_month for r in out.collect()) == {"2024-01", "2024-02"}
+    assert {r.source_month: r.congestion_surcharge for r in out.collect()} == {"2024-01": None, "2024-02": 2.5}
+
+
+def test_raw_keeps_every_source_column(spark, scratch):
+    """Columns outside the declared layout are landed too; a type that changes between files finds a common one."""
+    lake = jobs.Lake(f"{scratch}/lake")
+    plain = _yellow_file(spark, f"{scratch}/plain", month=(2024, 1))
+    extra = spark.read.parquet(*plain).withColumns({
+        "extra": F.lit(1.5), "mta_tax": F.lit(0.5), "congestion_surcharge": F.lit(2.5),
+        "store_and_fwd_flag": F.lit("N"), "improvement_surcharge": F.lit(float("nan"))})
+    files = []
+    for month, df in (("2024-01", extra), ("2024-02", extra.withColumn("mta_tax", F.lit(1)))):
+        path = f"{scratch}/yellow_tripdata_{month}.parquet"
+        df.coalesce(1).write.parquet(path)
+        files += [os.path.join(path, f) for f in os.listdir(path) if f.endswith(".parquet")]
+    jobs.ingest_trips(spark, lake, files)
+    raw = spark.read.option("mergeSchema", "true").parquet(lake.raw_trips)
+    assert {f.name for f in schemas.LANDING} < set(raw.columns)
+    found = {(r.source_month, r.extra, r.mta_tax, r.congestion_surcharge, r.store_and_fwd_flag, r.improvement_surcharge)
+             for r in raw.collect()}
+    assert found == {("2024-01", 1.5, 0.5, 2.5, "N", None), ("2024-02", 1.5, 1.0, 2.5, "N", None)}
+    assert "extra" not in spark.read.parquet(lake.bronze_trips).columns
 
 
 def test_backfill_falls_back_per_slice(spark, scratch):
@@ -209,3 +241,76 @@ def test_backfill_falls_back_per_slice(spark, scratch):
     assert st[("2024-02", "yellow")].status == "completed"
     assert st[("2024-03", "yellow")].status == "failed" and st[("2024-03", "yellow")].error_message
     assert spark.read.parquet(lake.raw_trips).count() == 4
+    assert all(r.retry_count == 0 for r in st.values())  # the aborted common run is not theirs
+
+
+def test_ingest_one_service_and_month(spark, scratch):
+    landing, lake = f"{scratch}/landing", jobs.Lake(f"{scratch}/lake")
+    for m in (1, 2):
+        _yellow_file(spark, f"{landing}/yellow_tripdata_2024-0{m}.parquet", rows=m, month=(2024, m))
+    assert jobs.ingest_slice(spark, lake, landing, "yellow", "2024-02") == {("2024-02", "yellow"): 2}
+    with pytest.raises(FileNotFoundError):
+        jobs.ingest_slice(spark, lake, landing, "green", "2024-02")
+
+
+def test_violations_hold_back_gold(spark, scratch):
+    """A planted dimension or fact violation leaves the published tables as they were, and shows in the exit code."""
+    from dataclasses import replace
+
+    from tripmart.__main__ import main
+    from tripmart.plans.checks import Blocked
+
+    landing, lake = f"{scratch}/landing", jobs.Lake(f"{scratch}/lake")
+    testdata.stage_landing_files(spark, SF001, landing)
+    zones = testdata.zone_lookup(spark, SF001)
+    jobs.ingest_zones(spark, lake, zones=zones)
+    jobs.backfill(spark, lake, landing, TESTDATA)
+    jobs.build_gold_tables(spark, lake, TESTDATA)
+    before = spark.read.parquet(lake.gold("fct_trips")).count()
+    strict = replace(TESTDATA, tolerated=())
+    with pytest.raises(Blocked) as blocked:  # dropoff dates run past the calendar
+        jobs.build_gold_tables(spark, lake, strict)
+    assert any(r.violations and r.column_name == "dropoff_date_key" for r in blocked.value.results)
+    cli = ["--lake", lake.root, "--year", "1996", "--calendar-start", "1995-01-01"]
+    assert main(["build-gold", *cli, "--calendar-end", "2000-12-31"]) == 1
+    assert main(["build-gold", *cli, "--calendar-end", "2003-12-31"]) == 0
+    jobs.ingest_zones(spark, lake, zones=zones.union(zones.where("LocationID = 3")))  # a zone key twice
+    with pytest.raises(Blocked) as blocked:
+        jobs.build_gold_tables(spark, lake, TESTDATA)
+    assert {r.table_name for r in blocked.value.results if r.violations} == {"dim_zones"}
+    assert not any(r.table_name == "fct_trips" for r in blocked.value.results)  # the fact was not built
+    assert spark.read.parquet(lake.gold("fct_trips")).count() == before
+    assert not os.listdir(f"{lake.root}/_staged")
+
+
+def test_sql_over_the_lake(spark, scratch):
+    """Q1, Q6 and Q17 as SQL text over the registered views equal the DataFrame queries."""
+    from tripmart.plans import queries as Q
+
+    landing, lake = f"{scratch}/landing", jobs.Lake(f"{scratch}/lake")
+    testdata.stage_landing_files(spark, SF001, landing)
+    jobs.run_all(spark, lake, landing, TESTDATA, zones=testdata.zone_lookup(spark, SF001))
+    names = lake.register(spark, TESTDATA, "lake_")
+    assert {"lake_raw_trips", "lake_bronze_trips", "lake_fct_trips", "lake_dim_date", "lake_dim_zones",
+            "lake_ingestion_ledger", "lake_int_taxi_trips_zones_joined"} <= set(names)
+    t = jobs.load_tables(spark, lake, TESTDATA)
+
+    def same(sql, df, cols):
+        rows = lambda x: sorted(tuple(str(v) for v in r) for r in x.select(*cols).collect())
+        assert rows(spark.sql(sql)) == rows(df)
+
+    same("SELECT d.year_month, count(*) AS trip_count FROM lake_fct_trips f JOIN lake_dim_date d "
+         "ON f.pickup_date_key = d.date_key WHERE d.year = 1996 GROUP BY d.year_month",
+         Q.q01_trips_per_month(t), ["year_month", "trip_count"])
+    same("SELECT z.borough, count(*) AS trip_count, CAST(min(speed_mph) AS DECIMAL(18,2)) AS min_speed_mph "
+         "FROM lake_fct_trips f JOIN lake_dim_zones z ON f.pu_zone_key = z.zone_key WHERE year(pickup_date) = 1996 "
+         "AND speed_mph <= 100 AND trip_time_minutes > 0 GROUP BY z.borough HAVING count(*) >= 10",
+         Q.q17_speed_by_borough(t), ["borough", "trip_count", "min_speed_mph"])
+    same("""WITH s AS (SELECT date_format(pickup_ts, 'EEEE') AS day_name, hour(pickup_ts) AS peak_hour, count(*) AS trip_count
+            FROM lake_bronze_trips WHERE year(pickup_ts) = 1996 AND dropoff_ts >= pickup_ts AND passenger_count >= 0
+            AND trip_distance >= 0 AND total_amount >= 0 AND fare_amount >= 0 GROUP BY ALL)
+            SELECT * FROM (SELECT *, rank() OVER (PARTITION BY day_name ORDER BY trip_count DESC) AS r FROM s) WHERE r <= 5""",
+         Q.q06_peak_hours(t), ["day_name", "peak_hour", "trip_count"])
+    # the time-of-day variant rebuilds its timestamps from bronze
+    lazy = Q.q17b_speed_by_borough_time_block(t)
+    assert lazy.count() > 0 and lazy.columns[:2] == ["borough", "time_block"]

@@ -277,3 +277,40 @@ def test_scale_settings():
     assert mid["spark.sql.shuffle.partitions"] == "4096"
     small = scale_settings(10 * 1024 ** 2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_dense_rank_keeps_null_keys(spark):
+    from pyspark.sql import Window
+
+    df = spark.createDataFrame([(1, None, "a"), (None, "x", "b"), (None, None, "c"), (1, "x", "d"), (1, None, "e")],
+                               "k int, v string, id string")
+    got = {r.id: r.rank for r in with_dense_rank(df, ["k", "v"], num_partitions=3).collect()}
+    w = Window.orderBy(F.col("k").asc_nulls_last(), F.col("v").asc_nulls_last())
+    assert got == {r.id: r.rank for r in df.withColumn("rank", F.dense_rank().over(w)).collect()}
+    assert len(got) == 5
+
+
+def test_grouped_percentile_keeps_null_groups(spark):
+    from tripmart.operators.percentiles import grouped_percentile_cont
+
+    df = spark.createDataFrame([(None, Decimal("1.00")), (None, Decimal("4.00")), ("a", Decimal("2.50")), ("a", None)],
+                               "g string, v decimal(10,2)")
+    got = {r.g: r for r in grouped_percentile_cont(df, ["g"], "v", {"p50": 0.5}).collect()}
+    assert set(got) == {None, "a"}
+    assert got[None].p50 == Decimal("2.5") and got[None]["_count"] == 2 and got[None]["_sum"] == Decimal("5.00")
+    assert got["a"].p50 == Decimal("2.5") and (got["a"]["_min"], got["a"]["_max"]) == (Decimal("2.50"), Decimal("2.50"))
+
+
+def test_fixed_values_are_pinned():
+    """The oracle shares these with the package, so they are stated again here."""
+    assert schemas.SERVICE_TYPES == [(1, "Yellow Taxi", "yellow", "yellow"), (2, "Green Taxi", "green", "green")]
+    assert [p[1] for p in schemas.PAYMENT_TYPES] == ["Flex Fare", "Credit Card", "Cash", "No Charge", "Dispute", "Unknown",
+                                                     "Voided Trip"]
+    assert [p[2] for p in schemas.PAYMENT_TYPES] == ["flex", "card", "cash"] + ["other/unknown"] * 4
+    assert [(v[0], v[1], v[3]) for v in schemas.VENDORS] == [(1, 1, "CMT"), (2, 2, "CURB"), (3, 6, "MYLE"), (4, 7, "HELIX"),
+                                                             (5, 99, "OTH")]
+    assert (schemas.DEFAULT_VENDOR_ID, schemas.DEFAULT_PAYMENT_TYPE_ID, schemas.DEFAULT_VENDOR_KEY,
+            schemas.DEFAULT_PAYMENT_TYPE_KEY) == (99, 5, 5, 5)
+    assert schemas.AMOUNT_GUARD == "99999999.99" and len(schemas.PANDAS_NA_TOKENS) == 19
+    assert [(lo, hi) for lo, hi, _ in schemas.TIME_BLOCKS] == [(6, 9), (10, 15), (16, 19), (20, 23)]
+    assert schemas.WEEKDAY_ORDER[0] == "Monday" and schemas.BOROUGH_ORDER[0] == "Manhattan"
