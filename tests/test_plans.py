@@ -33,15 +33,17 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", ["q01_trips_per_month", "q05_top_boroughs_per_month",
-                                  "q12_top_zones_by_revenue", "q17_speed_by_borough",
+                                  "q12_top_zones_by_revenue", "rows of q17",
                                   "q20_top_borough_routes"])
 def test_fact_scan_is_month_pruned(tables, name):
-    plan = _plan(Q.QUERIES[name](tables))
+    if name == "rows of q17":   # its only fact scan lies before the checkpoint of value counts
+        plan = _plan(Q._plausible_speed(tables, Q._fact_zone_year(tables)))
+    else:
+        plan = _plan(Q.QUERIES[name](tables))
     assert "PartitionFilters: [isnotnull(source_month" in plan
     assert "1996-01" in plan and "1996-12" in plan
     assert "BroadcastHashJoin" in plan          # dimensions are broadcast
-    if name != "q17_speed_by_borough":          # q17 also joins two per-group aggregates
-        assert "SortMergeJoin" not in plan
+    assert "SortMergeJoin" not in plan
 
 
 def test_column_pruning(tables):
