@@ -58,7 +58,7 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]]
 
 
 #: Bytes of a batch that is handled at once in a Python worker; a single longer row is handled alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -43,7 +43,7 @@ SAMPLES = 3
 #: Benchmark text of one block, which travels to every task.
 BLOCK_CHARS = 8_000_000
 #: Words of documents walked at once.
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 18
 
 _APART = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
