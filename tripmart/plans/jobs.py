@@ -37,7 +37,7 @@ from tripmart.plans.ledger import Ledger, pending
 from tripmart.plans.queries import Tables
 from tripmart.plans.silver import SILVER_COLUMNS, silver_trips
 from tripmart.sources import generators
-from tripmart.sources.files import list_files, parse_trip_file, read_trip_files, read_zone_csv
+from tripmart.sources.files import list_slices, parse_trip_file, read_trip_files, read_zone_csv
 
 log = logging.getLogger("tripmart.jobs")
 
@@ -161,7 +161,8 @@ def ingest_slice(spark: SparkSession, lake: Lake, landing_dir: str, service: str
 
 
 def landing_files(spark: SparkSession, landing_dir: str) -> list[str]:
-    return [f for f in list_files(spark, landing_dir) if parse_trip_file(f)]
+    """One path per monthly file or slice folder below ``landing_dir``."""
+    return list_slices(spark, landing_dir)
 
 
 def backfill(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,

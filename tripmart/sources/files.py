@@ -3,15 +3,14 @@
 Monthly trip files are named ``{service}_tripdata_{yyyy-MM}.parquet``. Their
 column types drift from month to month (a count stored as long one month and
 double the next), and one multi-file read over drifting footers fails. Files
-are therefore read per service, in as few groups as their footers allow (one
-when they merge); each group is one read, harmonised, cast to the declared
-landing schema, and the groups are unioned. The number of plan leaves follows
-the number of distinct schemas, not files.
+are therefore read per service, in few groups (one when their footers merge);
+each group is one read, harmonised, cast to the declared landing schema, and
+the groups are unioned. The number of plan leaves follows the changes of
+schema, not the files.
 """
 
 from __future__ import annotations
 
-import json
 from collections import defaultdict
 from functools import reduce
 
@@ -25,20 +24,21 @@ from tripmart.operators.harmonise import conform, harmonise
 
 TRIP_FILE_RE = r"(yellow|green)_tripdata_(\d{4}-\d{2})\.parquet"
 # Landing folders may also be laid out Hive-style: service_type=X/source_month=Y/part-*.
-HIVE_RE = r"service_type=(yellow|green)/source_month=(\d{4}-\d{2})/"
-FOOTER_THREADS = 8
+HIVE_RE = r"service_type=(yellow|green)/source_month=(\d{4}-\d{2})(?:/|$)"
+# Where landing files may lie below the landing folder.
+LANDING_GLOBS = ["*_tripdata_*.parquet", "*/*_tripdata_*.parquet", "*/*/*_tripdata_*.parquet",
+                 "service_type=*/source_month=*"]
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> list[str]:
-    """File paths below ``root`` (listing only; file contents are not read)."""
-    try:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-                   .option("recursiveFileLookup", "true").load(root).select("path"))
-        return sorted(r.path for r in listing.collect())
-    except Exception as e:  # empty or missing folder
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return []
-        raise
+def list_slices(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the monthly files, or of the slice folders, below ``root``.
+
+    A listing of names: one entry per slice however many part files it has.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath().toString() for g in LANDING_GLOBS for f in fs.globStatus(path(f"{root.rstrip('/')}/{g}")) or ()]
+    return sorted(p for p in found if parse_trip_file(p))
 
 
 def parse_trip_file(path: str) -> tuple[str, str] | None:
@@ -55,36 +55,25 @@ def _path_part(group: int):
     return F.when(named != "", named).otherwise(F.regexp_extract(path, HIVE_RE, group))
 
 
-def footer_schemas(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Schema (JSON) of each file, read a few files at a time. Their number
-    follows the number of landing files, not the data size."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    def one(p):
-        return p, spark.read.parquet(p).schema.json()
-
-    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        return dict(pool.map(one, paths))
-
-
 def schema_groups(spark: SparkSession, service: str, files: list[str]):
-    """Files of one service split into groups that one read can take.
-
-    Returns ``(files, schema)`` pairs. Fast path: a single ``mergeSchema`` read (Spark merges the footers in a
-    distributed job); columns added in later months simply come back NULL
-    for older files. If the footers cannot be merged (a column changed type,
-    or two spellings of a name), files are grouped by their exact schema.
+    """Paths of one service split into groups that one read can take.
+
+    Returns ``(paths, schema)`` pairs. Normally that is a single
+    ``mergeSchema`` read (Spark merges the footers in a distributed job);
+    columns added in later months simply come back NULL for older files. If
+    the footers cannot be merged (a column changed type, or two spellings of
+    a name), the paths, in order of month, are halved until each part can:
+    a few reads for every change of type, none per file.
     """
+    files = sorted(files, key=lambda p: parse_trip_file(p)[1])
     try:
         return [(files, spark.read.option("mergeSchema", "true").parquet(*files).schema)]
     except Exception as e:
-        if "MERGE" not in str(e).upper() and "DUPLICATE" not in str(e).upper() \
-                and "incompatible" not in str(e):
+        text = str(e)
+        if len(files) == 1 or not ("MERGE" in text.upper() or "DUPLICATE" in text.upper() or "incompatible" in text):
             raise
-    groups: dict[str, list[str]] = defaultdict(list)
-    for p, schema in footer_schemas(spark, files).items():
-        groups[schema].append(p)
-    return [(g, T.StructType.fromJson(json.loads(sc))) for sc, g in groups.items()]
+    half = len(files) // 2
+    return [*schema_groups(spark, service, files[:half]), *schema_groups(spark, service, files[half:])]
 
 
 def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> DataFrame:

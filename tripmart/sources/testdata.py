@@ -126,8 +126,8 @@ def stage_landing_files(spark: SparkSession, sf_dir: str, landing_dir: str) -> N
     """
     landing = landing_trips(spark, sf_dir)
     for service in ("yellow", "green"):
-        # One file per month, like the published monthly files.
-        (_file_rows(landing, service).repartition("source_month")
+        # Few files per month; AQE splits a large month over several tasks.
+        (_file_rows(landing, service).hint("rebalance", "source_month")
          .write.mode("overwrite").partitionBy("source_month")
          .parquet(f"{landing_dir.rstrip('/')}/service_type={service}"))
 
