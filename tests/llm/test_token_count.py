@@ -23,11 +23,10 @@ def test_counts_equal_the_library(library):
 
 def test_bounded_caches_change_nothing(library):
     rng = random.Random(6)
-    merger = C.PairMerger.from_model(MODEL)
-    merger.max_cached = 20
+    merger = C.PairMerger(C.PairMerger.from_model(MODEL).rank, max_cached=20)
     texts = ["\n".join(" ".join(f"word{rng.randrange(200)}x" for _ in range(9)) for _ in range(5)) for _ in range(50)]
     assert [merger.count(t) for t in texts] == [len(x) for x in library.encode(texts)]
-    assert len(merger.words) <= 20 and len(merger.parts) <= 20
+    assert len(merger.words) <= 20 and len(merger.words.old) <= 20 and len(merger.parts) <= 10
 
 
 def test_other_vocabulary_kinds_are_refused():

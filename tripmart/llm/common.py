@@ -57,6 +57,25 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]]
     return df.mapInArrow(run, out)
 
 
+class Recent(dict):
+    """Results of ``make`` by key. At most ``most`` keys are held, and as many of the time before
+    them, from which a key that comes again is taken over; so frequent keys stay."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = out
+        return out
+
+
 #: Bytes of a batch that is handled at once in a Python worker; a single longer row is handled alone.
 SLICE_BYTES = 4 << 20
 

@@ -9,10 +9,14 @@ probe texts when it is loaded; other files encode whole texts.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
+from array import array
 
 import numpy as np
 
+from tripmart.llm.common import Recent
+
 PROBES = ["", " ", "a b", "Hello, World.  x\ny\tz", "don't we'll 3.14 42", "naïve Ünïcode ßtraße Ñandú", "é ́e",
           "<|startoftext|> a<|endoftext|>b", "a b  c\x85d \x1ce", "İ ΑΣ ς ﬁ \U0001f600!?", "日本 語", "x.y ... 'S"]
 #: Words of Latin letters and at most one mark at the end: one or two pre-tokens.
@@ -29,43 +33,32 @@ def _byte_letters() -> list[str]:
 class TextEncoder:
     """Ids of texts as little-endian bytes of ``dtype`` (the smallest unsigned type for the vocabulary)."""
 
-    def __init__(self, tokenizer_file: str, max_cached: int = 400_000):
+    def __init__(self, tokenizer_file: str, max_cached: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.model, self.byte_letters = self.tokenizer.model, _byte_letters()
         top = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=0)
+        self.code = "H" if top < 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
-        self.max_cached, self.letters = max_cached, {}
-        byte_letters, model = _byte_letters(), self.tokenizer.model
-        outer = self
-
-        class Words(dict):
-            def __missing__(self, word: bytes) -> bytes:
-                if len(self) >= outer.max_cached:
-                    self.clear()
-                out = self[word] = outer.word(word)
-                return out
-
-        def plain(pre_token: str) -> bytes:
-            """Ids of one pre-token, straight from the merges."""
-            if (out := outer.letters.get(pre_token)) is None:
-                if len(outer.letters) >= outer.max_cached:
-                    outer.letters.clear()
-                mapped = pre_token if pre_token.isascii() else "".join(byte_letters[b] for b in pre_token.encode())
-                out = outer.letters[pre_token] = outer.pack([t.id for t in model.tokenize(mapped)])
-            return out
-
-        self.words, self.plain = Words(), plain
         self.by_word = self.shortcut = False
         # each shortcut is used only if it agrees with the library on the probes
-        self.by_word = all(self.joined(p) == self.whole(p) for p in PROBES)
-        self.words.clear()
-        self.shortcut = True
-        self.shortcut = self.by_word and all(self.joined(p) == self.whole(p) for p in PROBES)
-        self.words.clear()
+        for use in ("by_word", "shortcut"):
+            setattr(self, use, use == "by_word" or self.by_word)
+            self.words, self.plain = Recent(self.word, max_cached), Recent(self.pre_token, max(1, max_cached // 2))
+            setattr(self, use, getattr(self, use) and all(self.joined(p) == self.whole(p) for p in PROBES))
+        self.words, self.plain = Recent(self.word, max_cached), Recent(self.pre_token, max(1, max_cached // 2))
+
+    def pre_token(self, text: str) -> bytes:
+        """Ids of one pre-token, straight from the merges."""
+        mapped = text if text.isascii() else "".join([self.byte_letters[b] for b in text.encode()])
+        return self.pack([t.id for t in self.model.tokenize(mapped)])
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def whole(self, text: str) -> bytes:
         return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -75,7 +68,7 @@ class TextEncoder:
         if self.shortcut and (m := PLAIN.fullmatch(text)):
             low = m[1].lower()
             if low.isascii() or max(low) < "ɐ" and low.isalpha() and unicodedata.is_normalized("NFC", m[1]):
-                return self.plain(low) + (self.plain(m[2]) if m[2] else b"")
+                return self.plain[low] + self.plain[m[2]] if m[2] else self.plain[low]
         return self.whole(text)
 
     def joined(self, text: str) -> bytes:

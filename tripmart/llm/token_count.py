@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import map_rows, table
+from tripmart.llm.common import Recent, map_rows, table
 
 SPACE = "▁"  # how the pieces write a space
 
@@ -37,26 +37,16 @@ class PairMerger:
     """Counts tokens of whole texts for a byte-pair vocabulary with space marks and byte fallback."""
     rank: dict[str, float]  # piece -> rank, lower merges first
     adjacent: set[str] = field(default_factory=set)  # two characters side by side in some piece
-    max_cached: int = 400_000
-    words: dict[str, int] = field(default_factory=dict)
-    starts: dict[str, int] = field(default_factory=dict)
-    parts: dict[str, int] = field(default_factory=dict)
+    max_cached: int = 300_000
 
     def __post_init__(self):
         self.adjacent = {p[i:i + 2] for p in self.rank for i in range(len(p) - 1)}
         # Spaces only ever lead a piece and line ends are in none, so words and lines are apart.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p in self.rank)
         self.by_line = not any("\n" in p for p in self.rank)
-        outer = self
-
-        class Words(dict):
-            def __missing__(self, word):
-                if len(self) >= outer.max_cached:
-                    self.clear()
-                n = self[word] = outer.apart(SPACE + word)
-                return n
-
-        self.words = Words()
+        self.words = Recent(lambda word: self.apart(SPACE + word), self.max_cached)
+        self.starts = Recent(self.apart, self.max_cached // 8)
+        self.parts = Recent(self.merge, self.max_cached // 2)
 
     @classmethod
     def from_model(cls, model_file: str) -> PairMerger:
@@ -99,16 +89,11 @@ class PairMerger:
 
     def apart(self, text: str) -> int:
         """Count of ``text``, cut where no merge can cross."""
-        adjacent, parts, total, start = self.adjacent, self.parts, 0, 0
+        adjacent, total, start = self.adjacent, 0, 0
         for i in range(1, len(text) + 1):
             if i == len(text) or text[i - 1:i + 1] not in adjacent:
                 part = text[start:i]
-                if (n := parts.get(part)) is None:
-                    n = self.merge(part)
-                    if len(part) <= 64:
-                        if len(parts) >= self.max_cached:
-                            parts.clear()
-                        parts[part] = n
+                n = self.parts[part] if len(part) <= 64 else self.merge(part)
                 total += n
                 start = i
         return total
@@ -129,11 +114,7 @@ class PairMerger:
                 continue
             total += sum(map(self.words.__getitem__, words if k == 0 else words[1:]))
             if k and words[0]:
-                if (n := self.starts.get(words[0])) is None:
-                    if len(self.starts) >= self.max_cached:
-                        self.starts.clear()
-                    n = self.starts[words[0]] = self.apart(words[0])
-                total += n
+                total += self.starts[words[0]]
         return total
 
 
