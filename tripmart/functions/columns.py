@@ -49,8 +49,6 @@ def to_int(c, source_type: T.DataType | None = None) -> Column:
     c = col_of(c)
     if source_type is not None and isinstance(source_type, _INTEGRAL):
         return c.cast("int")
-    if source_type is not None and isinstance(source_type, T.StringType):
-        return F.rint(c.cast("double")).cast("int")
     return F.rint(c.cast("double")).cast("int")
 
 
@@ -60,8 +58,9 @@ def minutes_between(start: str, end: str) -> Column:
 
 
 def date_key(c) -> Column:
-    """yyyyMMdd as int."""
-    return F.date_format(col_of(c), "yyyyMMdd").cast("int")
+    """yyyyMMdd as int, by arithmetic on the parts (no text is formatted per row)."""
+    c = col_of(c)
+    return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
 
 
 def year_month(c) -> Column:
