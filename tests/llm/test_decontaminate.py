@@ -113,3 +113,62 @@ def test_whole_table_finds_every_verbatim_item(spark):
     for d, i in found:
         n = len(own[i])
         assert any(B.edit_distance(own[i], words[d][s:s + n], int(0.2 * n)) <= int(0.2 * n) for s in range(len(words[d]) - n + 1))
+
+
+def span_distance(a, b):
+    """Least edit distance of ``a`` to a span of ``b``, of any length."""
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(before + (x != y), row[j] + 1, row[j - 1] + 1)
+    return min(row)
+
+
+def edited_alike(rng, words, n, kind):
+    words = list(words)
+    for _ in range(n):
+        at, own = rng.randrange(len(words)), rng.choice(["sub", "ins", "del"]) if kind == "mixed" else kind
+        words[at:at + (own != "ins")] = [] if own == "del" else [f"new{rng.randrange(99)}"]
+    return words
+
+
+def at_the_bound(rng, sizes, n, kind):
+    """Items, and for each a text that holds it with all the edits that the bound allows."""
+    items = [(i, prose(rng, rng.choice(sizes), 4000)) for i in range(n)]
+    texts = []
+    for _, item in items:
+        mine = edited_alike(rng, item.split(), len(item.split()) // 5, kind)
+        texts.append(" ".join([prose(rng, rng.randrange(40), 4000), *mine, prose(rng, rng.randrange(40), 4000)]))
+    return items, texts
+
+
+def test_nearest_span():
+    rng = random.Random(4)
+    for _ in range(800):
+        a, b = ([rng.randrange(4) for _ in range(rng.randrange(n, 12))] for n in (1, 0))
+        most, want = rng.randrange(6), span_distance(a, b)
+        got = B.nearest_span(a, b, most)
+        assert (got is None) == (want > most)
+        assert got is None or got[0] == want == slow_distance(a, b[got[1]:got[2]])
+
+
+def test_net_insertions_and_deletions_are_found():
+    """Recall 0.95 of each kind of edit, at the bound, and nothing beyond the bound, over spans of any length."""
+    rng = random.Random(12)
+    for kind in ("sub", "ins", "del", "mixed"):
+        items, texts = at_the_bound(rng, range(14, 60), 40, kind)
+        found = {(k, i) for k, i, *_ in B.find_items(texts, B.Benchmark(items, spans=True))}
+        assert sum((k, k) in found for k in range(40)) >= 38, kind
+        for k, i in found:
+            own = B.words_of(items[i][1])
+            assert span_distance(own, B.words_of(texts[k])) <= len(own) // 5
+
+
+def test_text_shorter_than_the_item(spark, docs):
+    words = prose(random.Random(5), 20, 4000).split()
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id int, text string")
+    texts = [(1, " ".join(words[:3] + words[7:])), (2, " ".join(words[:3] + words[8:])), (3, "x " + " ".join(words[2:18]))]
+    hits = {(h.doc_id, h.start_word, h.distance) for h in B.benchmark_hits(docs(texts), bench).collect()}
+    assert {(d, n) for d, _, n in hits} == {(1, 4), (3, 4)} and (1, 0, 4) in hits
+    assert [r.doc_id for r in B.drop_contaminated(docs(texts), bench).collect()] == [2]

@@ -1,20 +1,25 @@
 """Benchmark passages in documents, found by a CGK embedding and bit-sampling LSH.
 
 Words are lower-cased and cut at ASCII punctuation. A document holds an item
-of n words if one of its windows of n words is within ``floor(edits * n)``
-word edits (insertions, deletions, substitutions) of it.
+of n words if one of its spans, of any length, is within ``k = floor(edits * n)``
+word edits (insertions, deletions, substitutions) of it. Such spans have n - k
+to n + k words.
 
 The CGK random walk copies a window's symbols: at step j it writes the symbol
 it stands on and moves on or stays by a random bit of (j, symbol), so that a
 small edit distance becomes a small Hamming distance of the walks. LSH keys
 are a few sampled coordinates of the walk; ``REPEATS`` walks with their own
-bits and samples reach the target recall (measured in the tests). Windows that
-share a key with an item are verified by exact edit distance.
+bits and samples reach the target recall (measured in the tests). Items are
+walked in pieces of at most ``PIECE_WORDS`` words, since walks drift apart with
+length; of the pieces of an item within its bound, one is within its own.
+Around each window that shares a key with a piece the span nearest to the whole
+item is looked for, by exact edit distance.
 
 Before the walks, windows that cannot be near any item are passed over: by the
-q-gram lemma a window within k edits of an item shares at least n - 2 - 3k of
-the benchmark's word triples, and counting those is cheap. Nothing that the
-edit bound allows is lost by it.
+q-gram lemma a span within k edits of a piece of n words shares at least
+n - 2 - 3k of the benchmark's word triples, and counting those in n + k words
+is cheap.
+Nothing that the edit bound allows is lost by it.
 
 The benchmark is walked in blocks of bounded size, each against all documents.
 Null and empty texts, on either side, hold nothing. Null ids of documents are
@@ -40,6 +45,8 @@ from tripmart.llm.common import U64, filter_rows, map_rows, mix64, table
 EDITS = 0.2
 REPEATS = 24
 SAMPLES = 3
+#: Words of the longest piece of an item that is walked as one.
+PIECE_WORDS = 19
 #: Benchmark text of one block, which travels to every task.
 BLOCK_CHARS = 8_000_000
 #: Words of documents walked at once.
@@ -69,6 +76,34 @@ def edit_distance(a, b, most: int) -> int:
     return row[-1]
 
 
+def nearest_span(a, b, most: int) -> tuple[int, int, int] | None:
+    """(distance, start, end) of the span of ``b`` nearest to ``a``, if within ``most``: the first end of
+    the least distance, and of the spans that end there the one most like ``a`` in length."""
+    def distances(a, b, free: int) -> Iterator[int]:
+        """Edit distance of ``a`` and b[:j], or with ``free`` the best b[i:j], for each j (Myers' bit vectors)."""
+        masks: dict = {}
+        for i, x in enumerate(a):
+            masks[x] = masks.get(x, 0) | 1 << i
+        full, last, now = (1 << len(a)) - 1, len(a) - 1, len(a)
+        up, down = full, 0
+        yield now
+        for y in b:
+            same = masks.get(y, 0)
+            across = ((same & up) + up ^ up) | same
+            plus, minus = down | full & ~(across | up), up & across
+            now += (plus >> last & 1) - (minus >> last & 1)
+            plus, minus, same = plus << 1 | (not free), minus << 1, same | down
+            up, down = full & (minus | ~(same | plus)), full & plus & same
+            yield now
+
+    least, end = min((d, j) for j, d in enumerate(distances(a, b, True)))
+    if least > most:
+        return None
+    back = enumerate(distances(a[::-1], b[max(0, end - len(a) - least):end][::-1], False))
+    _, size = min((abs(j - len(a)), j) for j, d in back if d == least)
+    return least, end - size, end
+
+
 class Walks:
     """CGK walks of all repetitions over symbol arrays; equal on items and documents."""
 
@@ -94,46 +129,59 @@ class Walks:
         return out
 
     def keys(self, ids: np.ndarray, starts: np.ndarray, walk: np.ndarray, own: np.ndarray, repeat: int,
-             size: int) -> np.ndarray:
-        """LSH key of the windows of ``size`` symbols at ``starts[own]``: sampled coordinates of their walks."""
-        starts = starts[own]
+             size: int, ends: np.ndarray) -> np.ndarray:
+        """LSH key of the windows of ``size`` symbols, cut at ``ends``, at ``starts[own]``: sampled coordinates
+        of their walks."""
+        starts, last = starts[own], np.minimum(starts[own] + size, ends[own])
         key = np.full(len(own), repeat * 1000003 + size, dtype=U64)
         for j in np.sort((self.where[repeat] * 2 * size).astype(np.int64)):
             at = walk[j, own]
-            symbol = np.where(at - starts < size, ids[at], self.symbols)
+            symbol = np.where(at < last, ids[at], self.symbols)
             key = mix64(key * U64(31) + symbol.astype(U64))
         return key
 
 
 class Benchmark:
-    """Items of a block as symbols, their triples and their LSH keys."""
+    """Items of a block as symbols, their triples and the LSH keys of their pieces.
+
+    With ``spans`` texts hold an item by a span of any length, else only by one of as many words as the item,
+    which is then one piece.
+    """
 
     def __init__(self, items: list[tuple[object, str | None]], edits: float = EDITS, repeats: int = REPEATS,
-                 samples: int = SAMPLES):
+                 samples: int = SAMPLES, spans: bool = False):
+        self.spans = spans
         self.vocabulary: dict[bytes, int] = {}
         known = [(i, words_of(t)) for i, t in items]
         known = [(i, w) for i, w in known if w]
         self.names = [i for i, _ in known]
         self.items = [np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in w], dtype=np.int64)
                       for _, w in known]
-        self.sizes = np.array([len(x) for x in self.items], dtype=np.int64)
+        cuts = [np.linspace(0, len(x), -(-len(x) // PIECE_WORDS) + 1 if spans else 2).astype(np.int64) for x in self.items]
+        self.owner = np.repeat(np.arange(len(cuts)), [len(c) - 1 for c in cuts])  # of each piece: its item
+        self.offset = np.concatenate([c[:-1] for c in cuts] or [np.zeros(0, dtype=np.int64)])  # and place there
+        self.sizes = np.concatenate([np.diff(c) for c in cuts] or [np.zeros(0, dtype=np.int64)])
+        self.bound = [int(edits * len(x)) for x in self.items]
         self.most = {int(n): int(edits * n) for n in np.unique(self.sizes)}
         self.shared = {n: n - 2 - 3 * k for n, k in self.most.items()}
+        # words of the shortest and the longest span that a piece of n words may be held by
+        self.short = {n: max(1, n - k) if spans else n for n, k in self.most.items()}
+        self.long = {n: n + min(n, k) if spans else n for n, k in self.most.items()}
         if not self.items:
             return
         self.longest = int(self.sizes.max())
         pad = np.zeros(2 * self.longest + 1, dtype=np.int64)
-        ids = np.concatenate([np.r_[x, pad] for x in self.items])
+        ids = np.concatenate([np.r_[self.items[i][o:o + n], pad] for i, o, n in zip(self.owner, self.offset, self.sizes)])
         starts = np.cumsum(np.r_[0, self.sizes[:-1] + len(pad)])
         self.triples = np.unique(np.concatenate([self.triple(x) for x in self.items]))
         self.walks = Walks(len(self.vocabulary) + 1, self.longest, repeats, samples)
         self.tables = self.walks.tables()
-        self.buckets = {}  # (repeat, size): sorted keys and their items
+        self.buckets = {}  # (repeat, size): sorted keys and their pieces
         for r in range(repeats):
             walk = self.walks.walk(ids, starts, self.tables[r])
             for n in self.most:
                 own = np.flatnonzero(self.sizes == n)
-                keys = self.walks.keys(ids, starts, walk, own, r, n)
+                keys = self.walks.keys(ids, starts, walk, own, r, n, starts + self.sizes)
                 order = np.argsort(keys, kind="stable")
                 self.buckets[r, n] = keys[order], own[order]
 
@@ -144,7 +192,7 @@ class Benchmark:
         return np.where((a > 0) & (b > 0) & (c > 0), (a * base + b) * base + c, -1)
 
     def candidates(self, ids: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], int]:
-        """(start, item) -> number of shared LSH keys, over all windows of ``ids``.
+        """(start, piece) -> number of shared LSH keys, over all windows of ``ids``.
 
         ``ends[p]`` is the end of the document that position p is in; ``ids``
         ends with room for a whole walk.
@@ -159,22 +207,22 @@ class Benchmark:
         passing: dict[int, np.ndarray] = {}
 
         def narrow(sizes: list[int], start: np.ndarray) -> None:
-            """Starts whose longest window has the fewest triples that any of ``sizes`` needs; then by halves."""
+            """Starts whose longest span has the fewest triples that any of ``sizes`` needs; then by halves."""
             least = min(self.shared[n] for n in sizes)
             if least > 0:
-                start = start[seeds[start + max(sizes) - 2] - seeds[start] >= least]
+                start = start[seeds[start + self.long[max(sizes)] - 2] - seeds[start] >= least]
             if len(start) and len(sizes) > 1:
                 narrow(sizes[:len(sizes) // 2], start)
                 narrow(sizes[len(sizes) // 2:], start)
             elif len(start):
-                own = start[start + sizes[0] <= ends[start]]
+                own = start[start + self.short[sizes[0]] <= ends[start]]
                 if len(own):
                     passing[sizes[0]] = own
 
         start = np.arange(usable)
         if min(self.shared.values()) > 0:  # the same, over all positions at once
-            start = np.flatnonzero(seeds[self.longest - 2:usable + self.longest - 2] - seeds[:usable]
-                                   >= min(self.shared.values()))
+            reach = self.long[self.longest] - 2
+            start = np.flatnonzero(seeds[reach:usable + reach] - seeds[:usable] >= min(self.shared.values()))
         narrow(sorted(self.shared), start)
         if not passing:
             return {}
@@ -189,15 +237,35 @@ class Benchmark:
                 for n, at in inside.items():
                     if not len(at):
                         continue
-                    keys = self.walks.keys(ids, part, walk, at, r, n)
-                    known, items = self.buckets[r, n]
+                    keys = self.walks.keys(ids, part, walk, at, r, n, ends[part])
+                    known, pieces = self.buckets[r, n]
                     low, high = np.searchsorted(known, keys, "left"), np.searchsorted(known, keys, "right")
                     many = high - low
                     if many.any():
                         nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                        hits.append(np.repeat(part[at], many) * len(self.items) + items[np.repeat(low, many) + nth])
+                        hits.append(np.repeat(part[at], many) * len(self.owner) + pieces[np.repeat(low, many) + nth])
         pairs, count = np.unique(np.concatenate(hits or [np.zeros(0, dtype=np.int64)]), return_counts=True)
-        return {divmod(p, len(self.items)): n for p, n in zip(pairs.tolist(), count.tolist())}
+        return {divmod(p, len(self.owner)): n for p, n in zip(pairs.tolist(), count.tolist())}
+
+
+def nearest_around(starts: list[int], own: list[int], ids: np.ndarray, begin: int, end: int,
+                   most: int) -> tuple[int, int] | None:
+    """(distance, first word) of the span nearest to the item ``own`` around the windows at ``starts`` of
+    the document ids[begin:end], the first of the nearest; None if none is within ``most``."""
+    best, upto = None, begin
+    starts = sorted(starts)
+    for k, start in enumerate(starts):
+        # up to ``most`` edits lie before a piece, and its window may be as many words off, on either side
+        low, high = max(begin, start - 2 * most), min(end, start + len(own) + 2 * most)
+        if k == 0 or low > upto:
+            first = low
+        upto = high
+        if k + 1 < len(starts) and starts[k + 1] - 2 * most <= high:
+            continue  # one region with the next
+        near = nearest_span(own, ids[first:upto].tolist(), most)
+        if near and (best is None or near[0] < best[0]):
+            best = near[0], int(first - begin + near[1])
+    return best
 
 
 def find_items(texts: list[str | None], bench: Benchmark) -> list[tuple[int, object, int, int]]:
@@ -217,11 +285,16 @@ def find_items(texts: list[str | None], bench: Benchmark) -> list[tuple[int, obj
         ids = np.r_[np.frombuffer(symbols, dtype=np.int64), np.zeros(2 * bench.longest + 1, dtype=np.int64)]
         ends = np.repeat(begins + lengths, lengths)
         hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for (start, item), n in bench.candidates(ids, ends).items():
-            hits.setdefault((int(np.searchsorted(begins, start, "right")) - 1, item), []).append((-n, start))
+        for (start, piece), n in bench.candidates(ids, ends).items():
+            item, offset = int(bench.owner[piece]), int(bench.offset[piece])
+            hits.setdefault((int(np.searchsorted(begins, start, "right")) - 1, item), []).append((-n, start - offset))
         for (k, item), starts in sorted(hits.items()):
             size = len(bench.items[item])
-            most, own = bench.most[size], bench.items[item].tolist()
+            most, own = bench.bound[item], bench.items[item].tolist()
+            if bench.spans:
+                if near := nearest_around([s for _, s in starts], own, ids, begins[k], begins[k] + lengths[k], most):
+                    out.append((part[k], bench.names[item], near[1], near[0]))
+                continue
             for _, start in sorted(starts):  # most shared keys first; one window within the bound will do
                 if (d := edit_distance(own, ids[start:start + size].tolist(), most)) <= most:
                     out.append((part[k], bench.names[item], int(start - begins[k]), d))
@@ -239,7 +312,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS,
 
     def walked(known: list[tuple]) -> DataFrame:
         def run(batches):
-            bench = Benchmark(known, edits)
+            bench = Benchmark(known, edits, spans=True)
             for b in batches:
                 ids = b.column(0).to_pylist()
                 found = find_items(b.column(1).to_pylist(), bench) if bench.items else []
@@ -268,7 +341,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, edits: float = EDIT
 
     def clean(docs: DataFrame, known: list[tuple]) -> DataFrame:
         def run(batches):
-            bench = Benchmark(known, edits)
+            bench = Benchmark(known, edits, spans=True)
             for b in batches:
                 hit = {k for k, *_ in find_items(b.column(at).to_pylist(), bench)} if bench.items else set()
                 yield b.filter(pa.array([k not in hit for k in range(len(b))], pa.bool_()))
