@@ -172,3 +172,22 @@ def test_text_shorter_than_the_item(spark, docs):
     hits = {(h.doc_id, h.start_word, h.distance) for h in B.benchmark_hits(docs(texts), bench).collect()}
     assert {(d, n) for d, _, n in hits} == {(1, 4), (3, 4)} and (1, 0, 4) in hits
     assert [r.doc_id for r in B.drop_contaminated(docs(texts), bench).collect()] == [2]
+
+
+def test_recall_on_long_items():
+    """Recall 0.95 at the bound also where an item takes several pieces."""
+    rng = random.Random(13)
+    for kind in ("sub", "ins", "del", "mixed"):
+        items, texts = at_the_bound(rng, range(120, 301), 40, kind)
+        found = {(k, i) for k, i, *_ in B.find_items(texts, B.Benchmark(items, spans=True))}
+        assert sum((k, k) in found for k in range(40)) >= 38, kind
+
+
+def test_one_piece_of_an_item_is_within_its_bound():
+    rng = random.Random(14)
+    for edits in (0.1, 0.2, 0.3):
+        bench = B.Benchmark([(n, prose(rng, n)) for n in range(1, 400)], edits, repeats=1, spans=True)
+        for item, own in enumerate(bench.items):
+            sizes = bench.sizes[bench.owner == item]
+            assert sizes.sum() == len(own) and sizes.max() <= B.PIECE_WORDS
+            assert sum(bench.most[int(n)] + 1 for n in sizes) > bench.bound[item]
