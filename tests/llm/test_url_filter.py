@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tripmart.llm import url_filter as U
 
 
@@ -44,3 +46,30 @@ def test_no_rules_no_rows_and_no_labels(spark):
     assert judged(spark, []) == {}
     r = judged(spark, ["https://a.com/x"], rules=[], model=U.train([]))
     assert r[0].rule is None and r[0].score == 0.5
+
+
+def names(url):
+    """Labels of a URL's host without its suffix and the common first ones."""
+    return set(U.split_url(url)[0].split(".")[:-1]) - {"www", "m", "blog", "example", "co"}
+
+
+def test_no_labelled_host_is_of_the_given_pages(spark):
+    known = set().union(*(names(u) for u, _ in U.LABELLED))
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        hosts = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").select(U.host(F.col("url")).alias("h")).distinct()
+        assert not known & set().union(*(names(f"http://{r.h}/") for r in hosts.collect()))
+
+
+def test_model_on_hosts_that_the_table_does_not_hold():
+    fresh = [("https://casino-jackpot.example.net/de/9", 1), ("http://www.free-spins.example.org/en/4", 1),
+             ("https://poker-room.example.net/en/1", 1), ("https://m.cheap-tablets.example.org/x", 1),
+             ("https://adclicks.example.net/en/31", 1), ("http://spam-mails.example.org/fr/8", 1),
+             ("https://adult-dating.example.net/en/2", 1), ("https://payday-cash.example.org/es/6", 1),
+             ("http://school.example.net/en/maths", 0), ("https://m.garden.example.org/de/12", 0),
+             ("https://www.orchestra.example.org/fr/4", 0), ("https://geology.example.net/en/1", 0),
+             ("https://blog.mountains.example.org/en/31", 0), ("https://thinking.example.net/es/6", 0),
+             ("http://www.villages.example.org/fr/8", 0), ("https://chemistry.example.net/en/2", 0)]
+    known = set().union(*(names(u) for u, _ in U.LABELLED))
+    assert not known & set().union(*(names(u) for u, _ in fresh))
+    model = U.train()
+    assert sum((model.score(*U.split_url(u)) >= 0.5) == bool(y) for u, y in fresh) >= 14
