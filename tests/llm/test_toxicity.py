@@ -1,3 +1,7 @@
+import random
+import time
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -25,6 +29,89 @@ def test_longer_texts_need_more():
     assert levels == sorted(levels, reverse=True) and len(set(levels)) == 4
 
 
+def naive_hits(text, lexicon):
+    """Weights of lexicon words outside all exceptions, by trying every place of the folded text."""
+    words = X.Folder()(text).split()
+    inside = set()
+    for phrase in lexicon.exceptions:
+        p = phrase.split()
+        for k in range(len(words)):
+            if words[k:k + len(p)] == p:
+                inside |= set(range(k, k + len(p)))
+    return sorted(lexicon.weights[w] for k, w in enumerate(words) if w in lexicon.weights and k not in inside), len(words)
+
+
+def test_matcher_equals_a_scan_of_all_places():
+    rng = random.Random(8)
+    lexicon = X.Lexicon({"idiot": 5.0, "trash": 4.0, "clown": 3.5, "fool": 3.0},
+                        ("trash can", "clown fish", "big trash can", "can fool", "fool moon", "the fool"))
+    words = ["idiot", "trash", "can", "clown", "fish", "big", "fool", "moon", "the", "a", "IDIOT!", "tr4sh", "Clown-fish"]
+    matcher = X.Matcher(lexicon)
+    for _ in range(400):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(0, 14)))
+        hits, n = naive_hits(text, lexicon)
+        level, count, found = matcher.level(text)
+        assert (count, found) == (len(hits), n), text
+        assert np.isclose(level, np.log1p(100 * sum(hits) / max(n, 1) ** 0.5)), text
+
+
+def test_long_texts_take_time_in_proportion():
+    matcher = X.Matcher(LEXICON)
+    text = "trash can idiot " * 8_000
+    began = time.process_time()
+    assert matcher.level(text)[1:] == (8_000, 24_000)
+    assert time.process_time() - began < 1
+
+
+def slow_learn(rows, least_ratio=16.0, least_phrase=5):
+    """Words and exceptions by plain loops over all contexts."""
+    fold, contexts, phrases = X.Folder(), {}, {}
+    for text, toxic in rows:
+        seq, own = fold(text).split(), {}
+        for left, word, right in zip([""] + seq, seq, seq[1:] + [""]):
+            own[word] = min(own.get(word, 1 << 63), X.hash_text(f"{left} {word} {right}"))
+        for word, c in own.items():
+            seen = contexts.setdefault(word, {})
+            seen[c] = seen.get(c, False) or toxic
+    a_all, b_all = sum(t for _, t in rows), sum(not t for _, t in rows)
+    share, weights = a_all / (a_all + b_all), {}
+    for word, seen in contexts.items():
+        a, b = sum(seen.values()), sum(not t for t in seen.values())
+        part = lambda x, e: x * np.log(x / e) if x else 0.0
+        ratio = 2 * (part(a, (a + b) * share) + part(b, (a + b) * (1 - share)))
+        odds = np.log((a + 0.5) / (a_all + 1)) - np.log((b + 0.5) / (b_all + 1))
+        if ratio >= least_ratio and odds >= 2:
+            weights[word] = odds
+    for text, toxic in rows:
+        seq = fold(text).split()
+        for phrase in {f"{x} {y}" for x, y in zip(seq, seq[1:]) if x in weights or y in weights}:
+            phrases.setdefault(phrase, []).append(toxic)
+    return weights, sorted(p for p, t in phrases.items() if not any(t) and len(t) >= least_phrase)
+
+
+def test_learning_equals_plain_loops(spark, docs):
+    rng = random.Random(12)
+    texts = []
+    for i in range(500):
+        words = [f"w{rng.randrange(150)}" for _ in range(20)]
+        if i % 4 == 0:
+            for k in rng.sample(range(19), 2):
+                words[k] = rng.choice(["zork", "blarg", "quux"])
+        elif i % 40 == 1:
+            words[4:6] = ["zork", "garden"]
+        texts.append((i, " ".join(words)))
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in texts], "doc_id bigint, toxic int")
+    again = [(i, "again " + t) for i, t in texts[:40] for _ in range(3)]  # repeated ids: one text each, the greatest
+    by_id = {i: t for i, t in texts}
+    for i, t in again:
+        by_id[i] = max(by_id[i], t)
+    found = X.learn(docs(texts + again), labels, least_phrase=3)
+    rows = [(t, i % 4 == 0) for i, t in by_id.items() if zlib.crc32(str(i).encode()) % 3 != 1]
+    weights, phrases = slow_learn(rows, least_phrase=3)
+    assert found.weights.keys() == weights.keys() >= {"zork"} and list(found.exceptions) == phrases
+    assert all(np.isclose(found.weights[w], weights[w]) for w in weights)
+
+
 def test_curve_orders_scores():
     slope, bias = X.fit_curve(np.array([0.0] * 90 + [3.0] * 10), np.array([False] * 90 + [True] * 10))
     c = X.Lexicon(slope=slope, bias=bias).curve(np.array([0.0, 3.0]))
@@ -82,8 +169,6 @@ def test_held_out_accuracy(spark):
 
 
 def test_held_out_rows():
-    import zlib
-
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession()

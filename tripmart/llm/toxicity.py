@@ -13,11 +13,14 @@ their log odds. Contexts (previous word, word, next word) are counted once
 over all rows and once a row, so copies of a text do not make its words
 suspicious. Phrases of a lexicon word and a neighbour that occur only in
 clean texts become exceptions. Learning reads at most ``max_labelled`` rows,
-those with the smallest hashes of their ids.
+those with the smallest hashes of their ids, one text for each id (the greatest
+where an id is repeated); all words and phrases that pass the tests are used.
 
 Null and empty texts have no words and get the curve's lowest score, as do
 all texts when there are no labels. Null ids are scored, never learned from.
-Repeated rows give repeated scores; other columns are not looked at.
+Very long texts are matched whole, in time proportional to their length.
+Repeated rows and ties get equal scores; empty tables give empty results;
+other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -35,7 +38,6 @@ from tripmart.llm.common import filter_rows, map_rows, materialise, table
 
 #: Labelled rows that the lexicon and the curve are fitted on, at most.
 MAX_LABELLED = 20_000
-MAX_WORDS = 20_000
 THRESHOLD = 0.7
 
 #: Substitutions of digits and signs for letters.
@@ -128,12 +130,23 @@ class Matcher:
         found = [(end - size, end, weight) for end, (weight, size) in self.automaton.iter(folded)]
         if not found:
             return 0.0, 0, n
-        spans = [(a, b) for a, b, w in found if w is None]
-        hits = [w for a, b, w in found if w is not None and not any(x <= a and b <= y for x, y in spans)]
+        hits = outside(found)
         # a few per mille of the words count as much in any text; sums grow on a log scale
         return float(np.log1p(100.0 * sum(hits) / n ** self.lexicon.power)), len(hits), n
 
 
+def outside(found: list[tuple[int, int, float | None]]) -> list[float]:
+    """Weights of the words found (from, to, weight) that lie in no exception found (weight None); one sorted pass."""
+    hits, furthest = [], -1
+    # at the same start exceptions come first; a word lies in one that starts no later if any of those ends no sooner
+    for _, is_word, end, weight in sorted((a, w is not None, b, w) for a, b, w in found):
+        if not is_word:
+            furthest = max(furthest, end)
+        elif end > furthest:
+            hits.append(weight)
+    return hits
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows never learned from: crc32 of the id as text leaves 1 when divided by 3."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
@@ -141,12 +154,13 @@ def held_out(doc_id: Column) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
                     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """(text, toxic) of the learnable labelled rows; the labels' ids are at most ``max_labelled``."""
+    """(text, toxic) of the learnable labelled ids, at most ``max_labelled`` rows: one text for each id."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
     known = known.groupBy(F.col(id_col).alias("_id")).agg((F.max(label_col) > 0).alias("toxic"))
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(known), F.col("_doc") == F.col("_id")).select("text", "toxic")
+    found = texts.join(F.broadcast(known), F.col("_doc") == F.col("_id"))
+    return found.groupBy("_id", "toxic").agg(F.max("text").alias("text")).select("text", "toxic")
 
 
 def _word_contexts(sample: DataFrame) -> DataFrame:
@@ -182,7 +196,7 @@ def _word_counts(sample: DataFrame) -> DataFrame:
     return seen.groupBy("word").agg(F.count_if("toxic").alias("toxic"), F.count_if(~F.col("toxic")).alias("clean"))
 
 
-def _suspicious(counts: DataFrame, toxic: int, clean: int, least_ratio: float, max_words: int) -> dict[str, float]:
+def _suspicious(counts: DataFrame, toxic: int, clean: int, least_ratio: float) -> dict[str, float]:
     """Words far more frequent in toxic texts, by the likelihood ratio, with their log odds."""
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
     share = F.lit(toxic / (toxic + clean))
@@ -193,11 +207,11 @@ def _suspicious(counts: DataFrame, toxic: int, clean: int, least_ratio: float, m
     ratio = 2 * (part(a, (a + b) * share) + part(b, (a + b) * (1 - share)))
     odds = F.log((a + 0.5) / (toxic + 1.0)) - F.log((b + 0.5) / (clean + 1.0))
     found = counts.select("word", ratio.alias("ratio"), odds.alias("odds")).where(
-        (F.col("ratio") >= least_ratio) & (F.col("odds") >= 2.0)).orderBy(F.desc("ratio"), "word").limit(max_words)
+        (F.col("ratio") >= least_ratio) & (F.col("odds") >= 2.0)).orderBy("word")
     return {r["word"]: float(r["odds"]) for r in found.collect()}
 
 
-def _benign_phrases(sample: DataFrame, weights: dict[str, float], least: int, max_words: int) -> tuple[str, ...]:
+def _benign_phrases(sample: DataFrame, weights: dict[str, float], least: int) -> tuple[str, ...]:
     """Phrases of a lexicon word and a neighbour that at least ``least`` clean texts and no toxic one hold."""
     known = frozenset(weights)
 
@@ -214,7 +228,7 @@ def _benign_phrases(sample: DataFrame, weights: dict[str, float], least: int, ma
 
     counts = map_rows(sample.select("text", "toxic"), "phrase string, toxic boolean", run).groupBy("phrase").agg(
         F.count_if(~F.col("toxic")).alias("clean"), F.max("toxic").alias("toxic"))
-    found = counts.where((F.col("clean") >= least) & ~F.col("toxic")).orderBy(F.desc("clean"), "phrase").limit(max_words)
+    found = counts.where((F.col("clean") >= least) & ~F.col("toxic")).orderBy("phrase")
     return tuple(r["phrase"] for r in found.collect())
 
 
@@ -236,7 +250,7 @@ def fit_curve(levels: np.ndarray, toxic: np.ndarray, ridge: float = 1e-4) -> tup
     return float(w[0]), float(w[1])
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_words: int = MAX_WORDS,
+def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
           least_ratio: float = 16.0, least_phrase: int = 5) -> Lexicon:
     """Lexicon, exceptions and curve from at most ``max_labelled`` labelled rows."""
     sample = materialise(labelled_sample(docs, labels, max_labelled))
@@ -244,8 +258,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
     if not toxic or not clean:
         return Lexicon()
-    weights = _suspicious(_word_counts(sample), toxic, clean, least_ratio, max_words)
-    lexicon = Lexicon(weights, _benign_phrases(sample, weights, least_phrase, max_words))
+    weights = _suspicious(_word_counts(sample), toxic, clean, least_ratio)
+    lexicon = Lexicon(weights, _benign_phrases(sample, weights, least_phrase))
 
     def run(batches):
         matcher = Matcher(lexicon)
@@ -264,7 +278,7 @@ def toxicity_scores(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESH
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        matcher = Matcher(lexicon)  # travels with the function; at most max_words words and phrases each
+        matcher = Matcher(lexicon)  # travels with the function; bounded by the sample it was learned from
         for b in batches:
             found = [matcher.level(t) for t in b.column(1).to_pylist()]
             level, hits, words = (np.array(x) for x in zip(*found)) if found else (np.zeros(0),) * 3
