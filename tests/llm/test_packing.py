@@ -3,11 +3,13 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from tokenizers import Tokenizer
 
 from tripmart.llm import packing as P
-from tripmart.llm.encoder import TextEncoder
+from tripmart.llm.encoder import TextEncoder, as_binary
+from tripmart.llm.token_files import flat_binary
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -59,6 +61,23 @@ def test_encoder_equals_the_library():
     assert encoder.encode(None) == encoder.encode(b"") == b""
 
 
+def test_columns_of_texts_equal_the_library():
+    rng = random.Random(6)
+    letters = "abcXYZéßÉłİıſǅ.,;:!?$%&*#'<|> \n0129́日-_/@"
+    texts = [None, "", " ", "\n a\t", *("".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(3000))]
+    encoder = TextEncoder(FILE, 60)
+    assert encoder.by_word and encoder.shortcut
+    slow = TextEncoder(FILE, 60)
+    slow.by_word = False
+    for e in (encoder, slow):
+        ids, bounds = e.encode_column(pa.array(texts).slice(1), 2)
+        rows = as_binary(ids, bounds).to_pylist()
+        assert rows == [e.whole(t or "") + e.pack([2]) for t in texts[1:]]
+    assert flat_binary(as_binary(ids, bounds).slice(5, 40), encoder.dtype.str).tobytes() == b"".join(rows[5:45])
+    ids, bounds = encoder.encode_column(pa.array([], pa.string()), 2)
+    assert len(ids) == 0 and bounds.tolist() == [0]
+
+
 def test_packer_space_and_fit():
     rng, packer, done = random.Random(1), P.Packer(64, 4, 5), []
     for k in range(400):

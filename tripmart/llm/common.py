@@ -40,7 +40,8 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
+def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]],
+             slice_bytes: int | None = None) -> DataFrame:
     """``mapInArrow`` for functions that yield dicts of columns (lists or arrays)."""
     out = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -48,7 +49,7 @@ def map_rows(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]]
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cols in fn(slices(batches)):
+        for cols in fn(slices(batches, slice_bytes)):
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type)
                  for c, f in ((cols[f.name], f) for f in arrow)], schema=arrow)
@@ -80,10 +81,10 @@ class Recent(dict):
 SLICE_BYTES = 4 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_BYTES, so that texts are not all unpacked at once."""
+def slices(batches: Iterator[pa.RecordBatch], size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` (SLICE_BYTES), so that texts are not all unpacked at once."""
     for b in batches:
-        step = max(1, b.num_rows * SLICE_BYTES // max(1, b.nbytes))
+        step = max(1, b.num_rows * (size or SLICE_BYTES) // max(1, b.nbytes))
         for at in range(0, b.num_rows, step):
             yield b.slice(at, step)
 

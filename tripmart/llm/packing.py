@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import as_bytes, map_rows, table, written
-from tripmart.llm.encoder import TextEncoder
+from tripmart.llm.common import map_rows, table, written
+from tripmart.llm.encoder import ENCODED_BYTES, TextEncoder, worker_encoder
 
 CAPACITY = 4096
 OPEN_WINDOWS = 64
@@ -156,12 +156,12 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int = CAPA
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def first(batches):
-        encoder = TextEncoder(tokenizer_file)
+        encoder = worker_encoder(tokenizer_file)
         packer, out = Packer(capacity, windows, least), Rows(0, TaskContext.get().partitionId())
-        end = encoder.pack([end_id])
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), as_bytes(b.column(1))):
-                ids = np.frombuffer(encoder.encode(text) + end, dtype=encoder.dtype)
+            found, bounds = encoder.encode_column(b.column(1), end_id)
+            for doc_id, at, to in zip(b.column(0).to_pylist(), bounds, bounds[1:]):
+                ids = found[at:to].copy()  # open windows must not hold the batch
                 for done in packer.add(Piece(doc_id, 0, ids, len(ids))):
                     out.sequence(done)
             yield out.take()
@@ -170,7 +170,7 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, capacity: int = CAPA
         yield out.take()
 
     width = TextEncoder(tokenizer_file, 1).dtype.str
-    level = written(map_rows(narrow, schema, first), "packed")
+    level = written(map_rows(narrow, schema, first, ENCODED_BYTES), "packed")
     packed, n = level.where("ids IS NULL"), 0
     parts = (level.where("ids IS NOT NULL").agg(F.max("part")).first()[0] or 0) + 1
     while True:

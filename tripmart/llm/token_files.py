@@ -20,12 +20,13 @@ import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import as_bytes, map_rows, table, written
-from tripmart.llm.encoder import TextEncoder
+from tripmart.llm.common import map_rows, table, written
+from tripmart.llm.encoder import ENCODED_BYTES, TextEncoder, as_binary, worker_encoder
 from tripmart.session import ensure_checkpoint_dir
 
 SHARD_IDS = 1 << 20
@@ -61,18 +62,17 @@ def decode_numbers(control: bytes, data: bytes, count: int) -> np.ndarray:
 def _encoded(docs: DataFrame, kind: str, tokenizer_file: str, end_id: int) -> DataFrame:
     """(doc_id, n, ids): ids of every document, and with n = -1 one histogram of ids a task."""
     def run(batches):
-        encoder = TextEncoder(tokenizer_file)
-        end = encoder.pack([end_id])
+        encoder = worker_encoder(tokenizer_file)
         counts = np.zeros(0, dtype=np.int64)
         for b in batches:
-            ids = [encoder.encode(t) + end for t in as_bytes(b.column(1))]
-            seen = np.bincount(np.frombuffer(b"".join(ids), encoder.dtype), minlength=len(counts))
+            ids, bounds = encoder.encode_column(b.column(1), end_id)
+            seen = np.bincount(ids, minlength=len(counts))
             seen[:len(counts)] += counts
             counts = seen
-            yield {"doc_id": b.column(0), "n": [len(x) // encoder.dtype.itemsize for x in ids], "ids": ids}
+            yield {"doc_id": b.column(0), "n": np.diff(bounds), "ids": as_binary(ids, bounds)}
         yield {"doc_id": [None], "n": [-1], "ids": [counts.astype("<i8").tobytes()]}
 
-    return map_rows(docs, f"doc_id {kind}, n bigint, ids binary", run)
+    return map_rows(docs, f"doc_id {kind}, n bigint, ids binary", run, ENCODED_BYTES)
 
 
 def _ranked(encoded: DataFrame) -> DataFrame:
@@ -88,6 +88,12 @@ def _ranked(encoded: DataFrame) -> DataFrame:
     return counts.select((F.row_number().over(Window.orderBy(F.desc("n"), "id")) - 1).alias("rank"), "id")
 
 
+def flat_binary(column: pa.Array, width: str) -> np.ndarray:
+    """The numbers of all binaries of a column one after the other."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(width)
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: int,
                       id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the corpus below ``path``, which must not exist; the tokenizer file lies on every machine."""
@@ -106,22 +112,27 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, end_id: i
 
     def run(batches):
         part, shard, before = TaskContext.get().partitionId(), 0, 0
-        held: list[tuple] = []
+        held: list[tuple[list, np.ndarray, np.ndarray]] = []  # doc_ids, sizes and ids of rows one after the other
         size = 0
 
         def flush():
             nonlocal shard, before, held, size
-            numbers = rank[np.frombuffer(b"".join(x for _, _, x in held), dtype=width)]
-            control, data = encode_numbers(numbers)
-            row = {"part": [part], "shard": [shard], "before": [before], "doc_ids": [[d for d, _, _ in held]],
-                   "sizes": [[n for _, n, _ in held]], "control": [control], "data": [data]}
+            control, data = encode_numbers(np.concatenate([rank[ids] for _, _, ids in held]))
+            row = {"part": [part], "shard": [shard], "before": [before], "doc_ids": [[d for docs, _, _ in held for d in docs]],
+                   "sizes": [np.concatenate([n for _, n, _ in held])], "control": [control], "data": [data]}
             shard, before, held, size = shard + 1, before + size, [], 0
             return row
 
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                held.append(row)
-                size += row[1]
+            doc_ids, sizes, ids = b.column(0).to_pylist(), b.column(1).to_numpy(), flat_binary(b.column(2), width)
+            ends = np.cumsum(sizes)
+            at = 0
+            while at < len(sizes):  # rows up to the one that fills the shard
+                done = ends[at - 1] if at else 0
+                to = min(len(sizes), int(np.searchsorted(ends, done + SHARD_IDS - size)) + 1)
+                held.append((doc_ids[at:to], sizes[at:to], ids[done:ends[to - 1]]))
+                size += int(ends[to - 1] - done)
+                at = to
                 if size >= SHARD_IDS:
                     yield flush()
         if held:
