@@ -35,7 +35,7 @@ def _byte_letters() -> list[str]:
 
 
 #: Texts encoded at once; the more there are, the more of their words are the same.
-ENCODED_BYTES = 16 << 20
+ENCODED_BYTES = 8 << 20
 
 
 def worker_encoder(tokenizer_file: str) -> TextEncoder:
@@ -50,7 +50,7 @@ def worker_encoder(tokenizer_file: str) -> TextEncoder:
 class TextEncoder:
     """Ids of texts as little-endian bytes of ``dtype`` (the smallest unsigned type for the vocabulary)."""
 
-    def __init__(self, tokenizer_file: str, max_cached: int = 300_000):
+    def __init__(self, tokenizer_file: str, max_cached: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
@@ -125,20 +125,27 @@ class TextEncoder:
             bounds = np.concatenate([[0], np.cumsum([len(p) // self.dtype.itemsize for p in parts], dtype=np.int64)])
         if end_id is None:
             return ids, bounds
-        ends = bounds[1:] + np.arange(len(texts))
-        out = np.empty(len(ids) + len(texts), self.dtype)
-        inside = np.ones(len(out), bool)
-        inside[ends] = False
-        out[ends], out[inside] = end_id, ids
-        return out, np.concatenate([[0], ends + 1])
+        out = np.insert(ids, bounds[1:], end_id)
+        return out, bounds + np.arange(len(bounds))
+
+
+#: Pieces gathered at once; their places take more room than their ids.
+GATHERED = 1 << 17
 
 
 def gather(ids: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The ids of the pieces ``at``, one after the other, of pieces that lie in ``ids`` with these sizes."""
     first = np.cumsum(size) - size
-    count = size[at]
-    before = np.cumsum(count) - count
-    return ids[np.repeat(first[at] - before, count) + np.arange(count.sum())]
+    out = np.empty(size[at].sum(), ids.dtype)
+    done = 0
+    for k in range(0, len(at), GATHERED):
+        some = at[k:k + GATHERED]
+        count = size[some]
+        before = np.cumsum(count) - count
+        n = int(count.sum())
+        out[done:done + n] = ids[np.repeat(first[some] - before, count) + np.arange(n)]
+        done += n
+    return out
 
 
 def as_binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
