@@ -163,6 +163,24 @@ def test_dense_rank_on_one_hot_key(spark):
     assert out == {(0, "b"): 1, (1, "a"): 2, (2, "c"): 3}
 
 
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_dense_rank_spreads_a_hot_key(spark, parts):
+    """A third of all rows share a key, NULL in part, and many are equal in full; ranks equal the window's."""
+    from tripmart.operators.dense_rank import partition_ranks
+
+    rnd = random.Random(parts)
+    rows = [(None, "hot", 1)] * 700 + [(rnd.randint(0, 40), rnd.choice(["a", "b", None]), rnd.randint(0, 2)) for _ in range(1400)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, v string, other int").repartition(5)
+    w = Window.orderBy(F.col("k").asc_nulls_last(), F.col("v").asc_nulls_last())
+    want = df.withColumn("rank", F.dense_rank().over(w).cast("bigint"))
+    got = with_dense_rank(df, ["k", "v"], num_partitions=parts)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    spread = partition_ranks(df, ["k", "v"], parts).where("v = 'hot'").groupBy("_part").count().collect()
+    assert parts < 3 or len(spread) > 1
+    assert with_dense_rank(df.limit(0), ["k", "v"], num_partitions=parts).count() == 0
+
+
 def test_upper_median(spark):
     df = spark.createDataFrame([(1.0, 5, None), (2.0, None, None), (3.0, 1, None), (10.0, 3, None),
                                 (None, 2, None)], "a double, b int, c double")

@@ -71,19 +71,31 @@ def _optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def _ntz_fact(tables):
+    return tables.gold.fact.withColumns({"pickup_ts": F.col("pickup_date").cast("timestamp_ntz"),
+                                         "dropoff_ts": F.col("pickup_date").cast("timestamp_ntz")}).drop("trip_key")
+
+
 def test_trip_key_has_no_global_window_over_fact(spark, tables):
-    """The only unpartitioned window is over the per-partition size table."""
+    """The only unpartitioned windows are over the table with a row for each partition."""
     from tripmart.plans.gold import with_trip_key
 
-    keyed = with_trip_key(tables.gold.fact.withColumns(
-        {"pickup_ts": F.col("pickup_date").cast("timestamp_ntz"),
-         "dropoff_ts": F.col("pickup_date").cast("timestamp_ntz")}).drop("trip_key"), 4)
-    plan = _optimized(keyed)
-    for line in plan.splitlines():
-        if "Window [" in line and "dense_rank" in line:
-            raise AssertionError("dense_rank window over fact rows: " + line)
+    plan = _optimized(with_trip_key(_ntz_fact(tables), 4))
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 1 and "_off" in windows[0]
+    assert 0 < len(windows) <= 2 and all("_off" in w or "_w0" in w for w in windows)
+    assert not any("dense_rank" in w for w in windows)
+
+
+def test_trip_key_reads_its_rows_once_and_joins_nothing_back(spark, tables):
+    from tripmart import schemas
+    from tripmart.operators.dense_rank import partition_ranks, with_dense_rank
+
+    fact = _ntz_fact(tables)
+    plan = _plan(partition_ranks(fact, schemas.TRIP_KEY_ORDER, 4))
+    assert plan.count("Scan parquet") == _plan(fact).count("Scan parquet") + 1  # the tree and the details of one scan
+    assert "Join" not in plan
+    whole = _plan(with_dense_rank(fact, schemas.TRIP_KEY_ORDER, num_partitions=4))
+    assert "SortMergeJoin" not in whole and whole.count("BroadcastHashJoin") <= 2  # the offsets alone, tree and details
 
 
 @pytest.mark.parametrize("name", ["q17_speed_by_borough", "q18_duration_percentiles_by_borough",

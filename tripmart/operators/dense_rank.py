@@ -1,67 +1,58 @@
 """Global DENSE_RANK over many columns without a single-task window.
 
 ``DENSE_RANK() OVER (ORDER BY k1..kn)`` with no PARTITION BY makes Spark
-move the whole table into one task. Two passes instead:
-
-1. distinct key tuples (hash aggregate, map-side combined, so a key that
-   repeats in a third of all rows costs one row after the partial step);
-2. range-partition the distinct keys on the order, sort inside partitions
-   and cut lineage with a reliable ``checkpoint()`` so partition contents
-   are fixed even if an executor is lost and tasks rerun;
-3. the position inside a partition comes from ``monotonically_increasing_id``
-   (partition id in the upper bits, row index in the lower bits); a rank
-   offset per partition is the running total of the partition sizes. That
-   offsets table has one row per range partition, so broadcasting it is
-   bounded by the partition count, not by the data;
-4. join the ranks back on the key columns, NULL-safe.
-
-Distinct keys come first so that a key that a third of all rows share is one
-row in the range partitions; the join back is split by AQE when it is skewed.
-The number of partitions is that of the session's shuffles, which AQE adapts.
+move the whole table into one task. Here the rows are read once and none is
+joined back:
+
+1. range-partition the rows on the order and a row tie-break, so a key that a
+   third of all rows share spreads over several partitions;
+2. rank inside each partition (a window over the partition's number), and cut
+   lineage with a reliable ``checkpoint()``, so that the partitions stay as
+   they are even if an executor is lost and tasks rerun;
+3. the first key, last key and number of keys of every partition (one row
+   each) give its offset: the keys of the partitions before it, less one for
+   each partition that begins with the key that the one before ends with;
+4. rank = offset + rank inside the partition; the offsets, one row for each
+   partition, are broadcast.
+
+The tie-break is the row's place in its task after a sort by the hash of all
+its columns. A task that is run again finds the same rows, whatever their
+order, and gives them the same places (but for rows that are equal in full),
+so it sends each to the partition it went to before.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmart.session import ensure_checkpoint_dir
 
 
-def dense_rank_keys(df: DataFrame, order_cols: list[str], rank_col: str = "rank",
-                    num_partitions: int | None = None) -> DataFrame:
-    """Distinct ``order_cols`` tuples with their 1-based dense rank."""
+def partition_ranks(df: DataFrame, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` with ``_part``, a number that follows the order, and ``_local``, the dense rank among its rows."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    keys = df.select(*order_cols).distinct()
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_last() for c in order_cols]
-    parts = [num_partitions] if num_partitions else []
-    ranged = (keys.repartitionByRange(*parts, *order).sortWithinPartitions(*order)
-                  .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
-    ranged = ranged.withColumns({
-        "_pid": F.shiftright("_mid", 33),
-        "_pos": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)),
-    })
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per range partition: a bounded, tiny table.
-    offsets = sizes.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    ranked = ranged.join(F.broadcast(offsets), "_pid")
-    return ranked.select(
-        *order_cols,
-        (F.coalesce("_off", F.lit(0)) + F.col("_pos") + 1).alias(rank_col))
+    placed = (df.withColumn("_tie", F.xxhash64(*df.columns)).sortWithinPartitions("_tie")
+              .withColumn("_tie", F.monotonically_increasing_id()))
+    ranged = placed.repartitionByRange(n, *order, "_tie").withColumn("_part", F.spark_partition_id()).drop("_tie")
+    local = F.dense_rank().over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.withColumn("_local", local.cast("bigint"))
 
 
 def with_dense_rank(df: DataFrame, order_cols: list[str], rank_col: str = "rank",
                     num_partitions: int | None = None) -> DataFrame:
     """``df`` with the dense rank of its ``order_cols``, NULLs last."""
-    ranks = dense_rank_keys(df, order_cols, rank_col, num_partitions)
-    ranks = ranks.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(order_cols)})
-    same = reduce(and_, (df[c].eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(order_cols)))
-    return df.join(ranks, same).select(*df.columns, rank_col)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranked = partition_ranks(df, order_cols, num_partitions).checkpoint(eager=True)
+    key = F.struct(*order_cols)
+    parts = ranked.groupBy("_part").agg(
+        F.max("_local").alias("_keys"), F.min_by(key, "_local").alias("_first"), F.max_by(key, "_local").alias("_last"))
+    # one row a partition: these windows are as small as the list of partitions
+    by_part = Window.orderBy("_part")
+    joined = parts.withColumn("_off_less", F.coalesce(
+        F.lag("_last").over(by_part).eqNullSafe(F.col("_first")) & (F.lag("_part").over(by_part).isNotNull()), F.lit(False)).cast("int"))
+    offsets = joined.select("_part", (F.sum(F.col("_keys") - F.col("_off_less")).over(by_part) - F.col("_keys")).alias("_off"))
+    return ranked.join(F.broadcast(offsets), "_part").select(
+        *df.columns, (F.col("_off") + F.col("_local")).alias(rank_col))
