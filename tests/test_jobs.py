@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.params import TESTDATA
-from tripmart.plans import jobs, layout, ledger
+from tripmart.plans import jobs, layout, ledger, publish
 from tripmart.plans.ledger import Ledger
 from tripmart.sources import generators, testdata
 from tripmart.sources.files import read_trip_files, read_zone_csv
@@ -84,8 +84,8 @@ def test_ledger_state_machine(spark, scratch):
     before = sorted(tuple(r) for r in lg.state().collect())
     assert lg.compact() == 8
     assert sorted(tuple(r) for r in lg.state().collect()) == before
-    # a compaction that was cut short leaves a folder without a commit: the log is as it was
-    os.makedirs(f"{scratch}/events/gen-000002")
+    # a compaction that was cut short leaves a folder that no commit names: the log is as it was
+    os.makedirs(f"{scratch}/events/_gathered/events-0")
     assert sorted(tuple(r) for r in lg.state().collect()) == before
     lg.append([s1], "started", at=D(2024, 1, 3))
     lg.append([s1], "aborted", at=D(2024, 1, 3, 1))
@@ -140,7 +140,7 @@ def test_ingest_backfill_and_gold_build(spark, scratch):
     assert len(checks) == 50
     # Ship dates run past the calendar's end, so dropoff keys have orphans.
     assert checks[("fct_trips", "dropoff_date_key", "relationships")] > 0
-    fact = spark.read.parquet(lake.gold("fct_trips"))
+    fact = jobs.load_gold(spark, lake, TESTDATA).fact
     assert checks[("fct_trips", "pickup_date_key", "relationships")] == fact.where(
         "pickup_date_key > 20001231").count()
     assert checks[("fct_trips", "trip_key", "not_null")] == 0
@@ -152,13 +152,13 @@ def test_ingest_backfill_and_gold_build(spark, scratch):
     n_fact = fact.count()
 
     def snapshot():
-        df = spark.read.parquet(lake.gold("fct_trips")).drop("ingest_ts")
+        df = jobs.load_gold(spark, lake, TESTDATA).fact.drop("ingest_ts")
         return sorted(tuple(r) for r in df.collect())
     jobs.build_gold_tables(spark, lake, TESTDATA, trip_key="hash").collect()
     full = snapshot()
     jobs.build_gold_tables(spark, lake, TESTDATA, trip_key="hash", months=["1996-03"]).collect()
     assert snapshot() == full and len(full) == n_fact
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError):  # the published fact has hash keys
         jobs.build_gold_tables(spark, lake, TESTDATA, months=["1996-03"])
 
     # Command line over the same lake.
@@ -271,7 +271,7 @@ def test_violations_hold_back_gold(spark, built):
     from tripmart.plans.checks import Blocked
 
     lake, zones = built, testdata.zone_lookup(spark, SF001)
-    before = spark.read.parquet(lake.gold("fct_trips")).count()
+    before = jobs.load_gold(spark, lake, TESTDATA).fact.count()
     strict = replace(TESTDATA, tolerated=())
     with pytest.raises(Blocked) as blocked:  # dropoff dates run past the calendar
         jobs.build_gold_tables(spark, lake, strict)
@@ -284,8 +284,9 @@ def test_violations_hold_back_gold(spark, built):
         jobs.build_gold_tables(spark, lake, TESTDATA)
     assert {r.table_name for r in blocked.value.results if r.violations} == {"dim_zones"}
     assert not any(r.table_name == "fct_trips" for r in blocked.value.results)  # the fact was not built
-    assert spark.read.parquet(lake.gold("fct_trips")).count() == before
-    assert not os.listdir(f"{lake.root}/_staged")
+    assert jobs.load_gold(spark, lake, TESTDATA).fact.count() == before
+    versions = publish.log(spark, lake.p("gold")).numbers()
+    assert len(os.listdir(f"{lake.root}/gold/fct_trips")) == len(versions)  # what was not published is gone
     jobs.ingest_zones(spark, lake, zones=zones)
 
 

@@ -6,14 +6,16 @@ A ``Lake`` is a root folder (shared storage on a cluster) holding:
 raw/taxi_trips             landing rows, partitioned by slice
 raw/taxi_zones             zone lookup, replaced whole
 bronze/trips               typed trips, partitioned by slice
-gold/fct_trips             fact, partitioned by source_month
-gold/dim_*                 dimensions
+gold/<table>/build=<id>    fact (partitioned by source_month), its runs, dimensions
+gold/_versions             which builds make up each published version
 control/ingestion_events   ledger (append-only)
+control/raw_schemas        how each raw slice is stored
 =========================  ==================================================
 
 Ingest and backfill are one Spark application over all requested files: one
-read per footer schema, one dynamic-overwrite write per layer, ledger events
-around it. Nothing is looped per slice.
+read per footer schema, one dynamic-overwrite write per layer (of raw, for each
+set of types that has no exact common one), ledger events around it. Nothing is
+looped per slice.
 """
 
 from __future__ import annotations
@@ -21,23 +23,26 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.operators.joins import Dim
 from tripmart.params import Params
-from tripmart.plans import layout
+from tripmart.plans import layout, publish
 from tripmart.plans.bronze import bronze_trips, bronze_zones
 from tripmart.plans.checks import Blocked, gold_checks, silver_checks, violated
+from tripmart.plans.commits import UNREADABLE, has_condition, is_missing
 from tripmart.plans.gold import Gold, build_gold, with_hash_trip_key, with_trip_key
 from tripmart.plans.ledger import Ledger, pending
 from tripmart.plans.queries import Tables
+from tripmart.plans.raw import RawTrips
 from tripmart.plans.silver import SILVER_COLUMNS, silver_trips
 from tripmart.sources import generators
-from tripmart.sources.files import list_slices, parse_trip_file, read_trip_files, read_zone_csv
+from tripmart.sources.files import list_slices, parse_trip_file, read_zone_csv, trip_file_parts, unreadable
 
 log = logging.getLogger("tripmart.jobs")
 
@@ -51,6 +56,9 @@ class Lake:
 
     @property
     def raw_trips(self): return self.p("raw", "taxi_trips")
+    def raw(self, spark: SparkSession) -> RawTrips:
+        return RawTrips(spark, self.raw_trips, self.p("control", "raw_schemas"))
+
     @property
     def raw_zones(self): return self.p("raw", "taxi_zones")
     @property
@@ -58,9 +66,6 @@ class Lake:
     @property
     def events(self): return self.p("control", "ingestion_events")
 
-    def gold(self, table: str) -> str:
-        return self.p("gold", table)
-
     def register(self, spark: SparkSession, p: Params, prefix: str = "") -> list[str]:
         """Temporary views over every layer that has been built, for SQL text; returns their names.
 
@@ -72,7 +77,7 @@ class Lake:
             g = load_gold(spark, self, p)
             return {"fct_trips": g.fact, **{k: d.df for k, d in g.dims().items()}}
 
-        layers = [lambda: {"raw_trips": spark.read.option("mergeSchema", "true").parquet(self.raw_trips)},
+        layers = [lambda: {"raw_trips": self.raw(spark).read()},
                   lambda: {"raw_zones": spark.read.parquet(self.raw_zones), "stg_zones": zones_dim(spark, self).df},
                   lambda: {"bronze_trips": load_bronze(spark, self)},
                   lambda: {"int_taxi_trips_zones_joined": silver_trips(
@@ -84,10 +89,12 @@ class Lake:
         for layer in layers:
             try:
                 views = layer()
-            except Exception as e:
-                if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "nothing has been ingested" in str(e):
-                    continue  # not built yet
-                raise
+            except publish.NotBuilt:
+                continue
+            except AnalysisException as e:
+                if not is_missing(e):
+                    raise
+                continue  # not built yet
             for name, df in views.items():
                 df.createOrReplaceTempView(prefix + name)
                 names.append(prefix + name)
@@ -110,48 +117,41 @@ def zones_dim(spark: SparkSession, lake: Lake) -> Dim:
 
 # ------------------------------------------------------------------ trips
 
-def ingest_trips(spark: SparkSession, lake: Lake, files: list[str],
-                 ingest_ts: dt.datetime | None = None, on_error: str = "failed") -> dict[tuple[str, str], int]:
+def ingest_trips(spark: SparkSession, lake: Lake, files: list[str], ingest_ts: dt.datetime | None = None,
+                 on_error: str = "failed", started: bool = False, run: str | None = None) -> dict[tuple[str, str], int]:
     """Land and type the given monthly files; returns rows per slice.
 
-    ``on_error`` is the event that an exception leaves with every slice:
-    ``failed``, or ``aborted`` when the slices will be tried one by one.
+    ``on_error`` is the event that an unreadable file leaves with every slice:
+    ``failed``, or ``aborted`` when another run without it follows.
+    ``started`` slices were claimed before.
 
     Each touched slice of raw and bronze is replaced, so rerunning a slice
     (after a crash at any point) yields the same tables.
     """
-    ledger = Ledger(spark, lake.events)
+    ledger, table = Ledger(spark, lake.events), lake.raw(spark)
     slices = sorted({parse_trip_file(f)[::-1] for f in files})   # (month, service)
-    ledger.append(slices, ["started", "processing"])
+    ledger.append(slices, ["processing"] if started else ["started", "processing"], run=run)
     try:
-        landing = read_trip_files(spark, files, ingest_ts)
-        layout.write_slices(landing, lake.raw_trips)
-        raw = layout.read_slices(spark, lake.raw_trips, slices=slices)
+        table.write(trip_file_parts(spark, files, ingest_ts))
+        raw = layout.read_slices(spark, lake.raw_trips, schemas.LANDING, slices=slices)
+        # no column of the files is read for this: their footers tell the rows
         counts = {(r.source_month, r.service_type): r.n for r in
                   raw.groupBy(*layout.SLICE_KEYS).agg(F.count(F.lit(1)).alias("n")).collect()}
         empty = [s for s in slices if s not in counts]
-        layout.drop_slices(spark, lake.raw_trips, empty)
+        table.drop(empty)
         landed = [s for s in slices if s in counts]
         if landed:
-            bronze = bronze_trips(layout.read_slices(spark, lake.raw_trips, slices=landed)
-                                  .select(*[f.name for f in schemas.LANDING.fields]))
+            bronze = bronze_trips(layout.read_slices(spark, lake.raw_trips, schemas.LANDING, slices=landed))
             layout.write_slices(bronze, lake.bronze_trips)
         layout.drop_slices(spark, lake.bronze_trips, empty)
         rows = {s: counts.get(s, 0) for s in slices}
-        ledger.append(slices, "completed", rows=rows)
+        ledger.append(slices, "completed", rows=rows, run=run)
         return rows
     except Exception as e:
-        ledger.append(slices, on_error if _file_error(e) else "failed", error=f"{type(e).__name__}: {e}")
+        ledger.append(slices, on_error if has_condition(e, UNREADABLE) else "failed", error=f"{type(e).__name__}: {e}", run=run)
         raise
 
 
-def _file_error(e: Exception) -> bool:
-    """True if a landing file cannot be read, as against a fault of the store, cluster or code."""
-    text = str(e)
-    return any(x in text for x in ("FAILED_READ_FILE", "CANNOT_READ_FILE", "CANNOT_MERGE", "not a Parquet file",
-                                   "is not a parquet", "Could not read footer", "FileNotFoundException"))
-
-
 def ingest_slice(spark: SparkSession, lake: Lake, landing_dir: str, service: str, month: str) -> dict[tuple[str, str], int]:
     """Ingest, or ingest again, the files of one service and month below ``landing_dir`` (B1)."""
     files = [f for f in landing_files(spark, landing_dir) if parse_trip_file(f) == (service, month)]
@@ -165,39 +165,50 @@ def landing_files(spark: SparkSession, landing_dir: str) -> list[str]:
     return list_slices(spark, landing_dir)
 
 
+#: How long a run holds the slices it has started, unless it ends before.
+LEASE = dt.timedelta(hours=2)
+
+
 def backfill(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
-             per_slice_fallback: bool = True) -> DataFrame:
+             isolate: bool = True, lease: dt.timedelta = LEASE) -> DataFrame:
     """Ingest every grid slice that is not completed, in one run (B2 + B3).
 
-    If a file cannot be read, the run is aborted and each pending slice is
-    ingested on its own, so one bad slice does not hold back the others; the
-    ledger records which slices completed and which failed, and the aborted
-    run is no retry of theirs. Other errors are raised. Returns the pending
-    grid as it was before the run.
+    The run claims the slices first, so of several backfills at once each
+    slice goes to one. If a file cannot be read, the run is aborted, one job
+    finds all such files (by footers, then, if a run still fails, by decoding
+    them), their slices fail and the others are ingested together: however many
+    files are bad, that is one more run, or two. The aborted runs are no
+    retries. Other errors are raised. Returns the pending grid as it was before.
     """
     grid = generators.slice_grid(spark, p.grid_first_year, p.grid_last_year, schemas.GRID_SERVICES)
-    todo = pending(grid, Ledger(spark, lake.events).state())
+    ledger, run = Ledger(spark, lake.events), uuid.uuid4().hex
+    todo = pending(grid, ledger.state())
     todo_set = {(r.year_month, r.service_type) for r in todo.collect()}  # at most the grid size
     files = [f for f in landing_files(spark, landing_dir) if parse_trip_file(f)[::-1] in todo_set]
     if not files:
         return todo
-    try:
-        ingest_trips(spark, lake, files, on_error="aborted" if per_slice_fallback else "failed")
-    except Exception as error:
-        if not per_slice_fallback or not _file_error(error):
-            raise
-        by_slice: dict[tuple[str, str], list[str]] = {}
-        for f in files:
-            by_slice.setdefault(parse_trip_file(f)[::-1], []).append(f)
-        failed = []
-        for s, slice_files in sorted(by_slice.items()):
-            try:
-                ingest_trips(spark, lake, slice_files)
-            except Exception as e:  # recorded in the ledger by ingest_trips
-                if not _file_error(e):
-                    raise
-                failed.append(s)
-        log.warning("backfill: %d of %d slices failed: %s", len(failed), len(by_slice), failed)
+    claimed = set(ledger.claim(sorted({parse_trip_file(f)[::-1] for f in files}), run, lease))
+    files = [f for f in files if parse_trip_file(f)[::-1] in claimed]
+    probes = [False, True] if isolate else []
+    started = True
+    while files:
+        try:
+            ingest_trips(spark, lake, files, on_error="aborted" if probes else "failed", started=started, run=run)
+            break
+        except Exception as error:
+            if not probes or not has_condition(error, UNREADABLE):
+                raise
+            bad = {}
+            while probes and not bad:
+                bad = unreadable(spark, files, whole=probes.pop(0))
+            failed = sorted({parse_trip_file(f)[::-1] for f in bad})
+            ledger.append(failed, "started", run=run)  # the attempt that the abort took back
+            for f, why in bad.items():
+                ledger.append([parse_trip_file(f)[::-1]], "failed", error=why, run=run)
+            log.warning("backfill: %d of %d slices failed: %s", len(failed), len(claimed), failed)
+            if not bad:
+                raise
+            files, started = [f for f in files if parse_trip_file(f)[::-1] not in failed], False
     return todo
 
 
@@ -206,9 +217,9 @@ def backfill(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
 def load_bronze(spark: SparkSession, lake: Lake) -> DataFrame:
     try:
         b = spark.read.parquet(lake.bronze_trips)
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            raise RuntimeError(
+    except AnalysisException as e:
+        if is_missing(e):
+            raise publish.NotBuilt(
                 f"no bronze trips under {lake.bronze_trips}: nothing has been ingested yet "
                 "(are the landing files inside the backfill grid years?)") from e
         raise
@@ -228,54 +239,59 @@ def build_gold_tables(spark: SparkSession, lake: Lake, p: Params,
                       months: list[str] | None = None) -> DataFrame:
     """Build, test and publish all gold tables; returns the test results.
 
-    Tables are staged and tested before they replace the live ones. The
-    dimensions come first: a violation in one of them raises ``Blocked`` and
-    nothing is published (the fact does not wait for the vendor tests). Then
-    the fact is staged and tested; a violation, of the vendors too, raises
-    ``Blocked`` and nothing is published. ``p.tolerated`` lists tests whose
-    violations are only reported.
-
-    ``trip_key``: ``"rank"`` (the reference's dense rank; needs a full
-    rebuild) or ``"hash"`` (row-local digest). With the hash key, ``months``
-    rebuilds only those fact partitions: bronze is read for those months only
-    (pickup month = file month in the fact) and publishing replaces just
-    them. ``partition_dates`` lays the calendar out by month.
+    Tables are written as a new build and tested before a version names them
+    (``plans.publish``). The dimensions come first: a violation in one of them
+    raises ``Blocked`` and nothing is published (the fact does not wait for
+    the vendor tests). Then the fact is written and tested; a violation, of
+    the vendors too, raises ``Blocked`` and nothing is published.
+    ``p.tolerated`` lists tests whose violations are only reported.
+
+    ``trip_key``: ``"rank"`` (the reference's dense rank) or ``"hash"``
+    (row-local digest). ``months`` builds only those months of the fact:
+    bronze is read for them only (pickup month = file month in the fact), and
+    the version takes all other months from the last one. Ranks of a month are
+    counted through the whole fact when it is read. ``partition_dates`` lays
+    the calendar out by month.
     """
-    if months and trip_key != "hash":
-        raise ValueError("an incremental fact build needs trip_key='hash'")
     zones = zones_dim(spark, lake)
     bronze = load_bronze(spark, lake)
     if months:
         bronze = bronze.where(F.col("source_month").isin(list(months)))
     g = build_gold(spark, bronze, zones, p)
-    staged = Lake(lake.p("_staged", uuid.uuid4().hex))
+    build, root = publish.new_build(), lake.p("gold")
+
+    def path(table: str) -> str:
+        return publish.build_path(root, table, build)
+
+    published = False
     try:
-        layout.write_list_partitioned(g.dim_service_type.df, staged.gold("dim_service_type"))
-        layout.write_list_partitioned(g.dim_payment_type.df, staged.gold("dim_payment_type"))
-        layout.write_list_partitioned(g.dim_vendors.df, staged.gold("dim_vendors"))
+        layout.write_list_partitioned(g.dim_service_type.df, path("dim_service_type"))
+        layout.write_list_partitioned(g.dim_payment_type.df, path("dim_payment_type"))
+        layout.write_list_partitioned(g.dim_vendors.df, path("dim_vendors"))
         if partition_dates:
-            layout.write_list_partitioned(g.dim_date.df, staged.gold("dim_date"), "year_month")
+            layout.write_list_partitioned(g.dim_date.df, path("dim_date"), "year_month")
         else:
-            layout.overwrite_table(g.dim_date.df, staged.gold("dim_date"))
-        layout.write_hash_clustered(g.dim_zones.df, staged.gold("dim_zones"), "zone_key", 4)
-        tested = load_gold(spark, staged, p, with_fact=False)
+            layout.overwrite_table(g.dim_date.df, path("dim_date"))
+        layout.write_hash_clustered(g.dim_zones.df, path("dim_zones"), "zone_key", 4)
+        dims = dict.fromkeys(publish.DIMS, build)
+        tested = _gold(spark, root, publish.Version(0, dims, {}, trip_key), p, with_fact=False)
         checks = gold_checks(tested, set(tested.dims()))
         results = checks.collect()  # one row per declared test
         if violated(results, p.tolerated, but=("dim_vendors",)):
             raise Blocked(results)
         keyed = with_trip_key(g.fact) if trip_key == "rank" else with_hash_trip_key(g.fact)
-        layout.write_fact(keyed, staged.gold("fct_trips"))
-        results += gold_checks(load_gold(spark, staged, p), {"fct_trips"}).collect()
+        layout.write_fact(keyed, path("fct_trips"))
+        fact = spark.read.schema(keyed.schema).parquet(path("fct_trips")).select(*schemas.FACT_COLUMNS)
+        results += gold_checks(replace(tested, fact=fact), {"fct_trips"}).collect()
         if violated(results, p.tolerated):
             raise Blocked(results)
-        for table in tested.dims():
-            layout.move_table(spark, staged.gold(table), lake.gold(table))
-        if months:
-            layout.write_fact(spark.read.parquet(staged.gold("fct_trips")), lake.gold("fct_trips"), only_present_months=True)
-        else:
-            layout.move_table(spark, staged.gold("fct_trips"), lake.gold("fct_trips"))
+        present = publish.write_runs(fact, root, build, trip_key == "rank")
+        publish.publish(spark, root, build, list(publish.DIMS), present, trip_key, only=months)
+        published = True
     finally:
-        layout.remove_table(spark, staged.root)
+        if not published:
+            for table in (*publish.DIMS, publish.FACT, publish.RUNS):
+                layout.remove_table(spark, path(table))
     return spark.createDataFrame(results, checks.schema)
 
 
@@ -295,11 +311,16 @@ def run_all(spark: SparkSession, lake: Lake, landing_dir: str, p: Params,
 
 
 def load_gold(spark: SparkSession, lake: Lake, p: Params, with_fact: bool = True) -> Gold:
-    """Gold tables read back from the lake."""
+    """The gold tables of the last published version; all of one version."""
+    root = lake.p("gold")
+    return _gold(spark, root, publish.current(spark, root), p, with_fact)
+
+
+def _gold(spark: SparkSession, root: str, version: publish.Version, p: Params, with_fact: bool = True) -> Gold:
     def dim(name, cols):
-        return Dim(spark.read.parquet(lake.gold(name)).select(*cols))
+        return Dim(spark.read.parquet(publish.build_path(root, name, version.dims[name])).select(*cols))
 
-    fact = spark.read.parquet(lake.gold("fct_trips")).select(*schemas.FACT_COLUMNS) if with_fact else None
+    fact = publish.read_fact(spark, root, version).select(*schemas.FACT_COLUMNS) if with_fact else None
     return Gold(
         fact=fact,
         dim_date=dim("dim_date", ["date_key", "date", "year", "month", "month_name", "day",

@@ -7,7 +7,8 @@
   of every fact row, i.e. a monthly range partitioning on pickup date (K5);
 * small list-partitioned dimensions use ``partition_group`` (K8), zones are
   hash-clustered into 4 files on ``zone_key`` (K7);
-* full replacement is a static overwrite (K3); CSV export keeps a header (K10).
+* full replacement is a static overwrite (K3); the gold tables are replaced
+  together, by ``plans.publish``; CSV export keeps a header (K10).
 
 The fact write goes through a ``rebalance`` hint: its rows arrive hashed on
 the trip key, so AQE regroups them by month, splitting a hot month over
@@ -17,10 +18,13 @@ explosion). Slice writes need no shuffle: their input is slice-aligned.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.plans.commits import is_missing
+
 SLICE_KEYS = ("source_month", "service_type")
 
 
@@ -54,8 +58,8 @@ def drop_slices(spark: SparkSession, path: str, slices: list[tuple[str, str]], k
         return
     try:
         table_schema = spark.read.parquet(path).schema
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+    except AnalysisException as e:
+        if is_missing(e):
             return
         raise
     empty = spark.createDataFrame([], T.StructType([f for f in table_schema if f.name not in keys]))
@@ -84,13 +88,10 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def write_fact(fact: DataFrame, path: str, only_present_months: bool = False) -> None:
-    """Monthly partitions of the fact. A full rebuild replaces the table
-    (static overwrite); ``only_present_months`` replaces just the months in
-    ``fact`` (dynamic overwrite, for incremental builds)."""
-    mode = "dynamic" if only_present_months else "static"
+def write_fact(fact: DataFrame, path: str) -> None:
+    """Monthly partitions of the fact, as a whole (static overwrite)."""
     (_rebalanced(fact, "source_month").write.mode("overwrite")
-     .option("partitionOverwriteMode", mode).partitionBy("source_month").parquet(path))
+     .option("partitionOverwriteMode", "static").partitionBy("source_month").parquet(path))
 
 
 def write_list_partitioned(df: DataFrame, path: str, col: str = "partition_group") -> None:
@@ -103,15 +104,11 @@ def write_hash_clustered(df: DataFrame, path: str, col: str, buckets: int = 4) -
     df.repartition(buckets, col).write.mode("overwrite").parquet(path)
 
 
-def move_table(spark: SparkSession, staged: str, live: str) -> None:
-    """Put the table written at ``staged`` in the place of ``live`` (a rename where the store has one)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(live).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path(live).getParent())
-    fs.delete(path(live), True)
-    if not fs.rename(path(staged), path(live)):
-        raise RuntimeError(f"{staged} could not be moved to {live}")
-    spark.catalog.refreshByPath(live)
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders in ``path``; none if there is no such path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().toString() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
 
 
 def remove_table(spark: SparkSession, path: str) -> None:

@@ -12,17 +12,27 @@ every status change is an appended event; the current state is derived:
 * ``created_at`` / ``updated_at``: first and last event.
 
 Writers append data first and the ledger event last, so a crash leaves a
-slice "started" and it is simply redone (slice writes are idempotent).
+slice "started" and it is redone when its lease has run out (slice writes are
+idempotent).
+
+Events lie in numbered commits (``plans.commits``), so several writers can
+append at once and none of them loses an event. A run claims slices by a
+commit that is only made if nobody wrote since it looked: of two runs that
+want a slice at the same time, one gets it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas
+from tripmart.plans.commits import CommitLog
 
 # An aborted attempt is one that another slice's file broke: it is not the slice's failure.
 EVENT_ORDER = {"started": 1, "processing": 2, "aborted": 3, "failed": 4, "completed": 5}
@@ -71,56 +81,77 @@ def coverage(grid: DataFrame, st: DataFrame) -> DataFrame:
 
 
 class Ledger:
-    """Append-only Parquet event log: the newest complete generation folder under ``path``.
+    """Append-only event log: commits of JSON lines below ``path``. Times are UTC.
 
-    A generation is complete when Spark has committed a write to it (its
-    ``_SUCCESS`` file). Compaction writes the next generation as a whole, so a
-    crash at any point leaves the log as it was. Times are UTC.
+    ``compact`` gathers all commits so far into one Parquet folder and notes in
+    a commit of its own up to which number it goes; later ones are read beside
+    it. Gathered commits stay until they are deleted by hand.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self.log = CommitLog(spark, self.path)
+        self.gathered = CommitLog(spark, f"{self.path}/_gathered")
 
-    def _generation(self) -> int:
-        """Number of the newest complete generation; 0 when there is none yet."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
-            return 0
-        names = [f.getPath().getName() for f in fs.listStatus(root) if f.isDirectory()]
-        done = [int(n[4:]) for n in names if n.startswith("gen-")
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))]
-        return max(done, default=0)
-
-    def _folder(self, generation: int) -> str:
-        return f"{self.path}/gen-{generation:06d}"
-
-    def append(self, slices: list[tuple[str, str]], event, rows: dict | None = None,
-               error: str | None = None, at: dt.datetime | None = None) -> None:
-        """Append one event (or several, in order, as one write) per slice."""
+    def append(self, slices: list[tuple[str, str]], event, rows: dict | None = None, error: str | None = None,
+               at: dt.datetime | None = None, run: str | None = None) -> None:
+        """Append one event (or several, in order, as one commit) per slice."""
         if not slices:
             return
+        number = self._last() + 1
+        while not self.log.create(number, self._lines(slices, event, rows, error, at, run)):
+            number += 1
+
+    @staticmethod
+    def _lines(slices, event, rows=None, error=None, at=None, run=None) -> str:
         events = [event] if isinstance(event, str) else list(event)
-        ts = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        data = [(m, s, e, ts, (rows or {}).get((m, s)), error) for e in events for m, s in slices]
-        (self.spark.createDataFrame(data, schemas.CHECKPOINT_EVENTS)
-         .coalesce(1).write.mode("append").parquet(self._folder(self._generation())))
-
-    def events(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(schemas.CHECKPOINT_EVENTS).parquet(self._folder(self._generation()))
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return self.spark.createDataFrame([], schemas.CHECKPOINT_EVENTS)
-            raise
+        ts = (at or _now()).isoformat(timespec="microseconds")
+        return "".join(json.dumps({"year_month": m, "service_type": s, "event": e, "event_ts": ts,
+                                   "rows_ingested": (rows or {}).get((m, s)), "error_message": error, "run_id": run}) + "\n"
+                       for e in events for m, s in slices)
+
+    def _last(self) -> int:
+        return max([*self.log.numbers()[-1:], self.gathered.latest()[0]])
+
+    def events(self, up_to: int | None = None) -> DataFrame:
+        """All events, or those of the commits up to a number."""
+        gathered, content = self.gathered.latest()
+        later = [self.log.path_of(n) for n in self.log.numbers() if n > gathered and (up_to is None or n <= up_to)]
+        parts = [self.spark.read.schema(schemas.CHECKPOINT_EVENTS).parquet(content["folder"])] if gathered else []
+        if later:
+            parts.append(self.spark.read.schema(schemas.CHECKPOINT_EVENTS).json(later))
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], schemas.CHECKPOINT_EVENTS)
 
     def state(self) -> DataFrame:
         return state(self.events())
 
+    def claim(self, wanted: list[tuple[str, str]], run: str, lease: dt.timedelta,
+              now: dt.datetime | None = None) -> list[tuple[str, str]]:
+        """Start those of ``wanted`` that are neither completed nor held by another run, and return them.
+
+        A run holds a slice from its start until its last event there is a
+        completion, a failure or older than ``lease``.
+        """
+        while True:
+            number, since = self._last(), (now or _now()) - lease
+            latest = self.events(number).groupBy("year_month", "service_type").agg(
+                F.max_by(F.struct("event", "event_ts", "run_id"), F.struct("event_ts", _order_col())).alias("last"))
+            taken = {(r.year_month, r.service_type) for r in latest.collect()  # at most a row for each slice
+                     if r.last.event == "completed"
+                     or r.last.event in ("started", "processing") and r.last.event_ts > since and r.last.run_id != run}
+            free = [s for s in wanted if s not in taken]
+            if not free or self.log.create(number + 1, self._lines(free, "started", at=now, run=run)):
+                return free
+
     def compact(self) -> int:
-        """Write all events as one file of a new generation (every append adds a small file);
-        older generations stay until they are deleted by hand. Returns the event count."""
-        after = self._folder(self._generation() + 1)
-        self.events().coalesce(1).write.mode("overwrite").parquet(after)
+        """Gather all commits so far in one Parquet folder. Returns the event count."""
+        number = self._last()
+        folder = f"{self.path}/_gathered/events-{uuid.uuid4().hex}"
+        self.events(number).coalesce(1).write.parquet(folder)
+        if number:
+            self.gathered.create(number, json.dumps({"folder": folder}))  # another run may have gathered as far
         return self.events().count()
+
+
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

@@ -133,4 +133,5 @@ CHECKPOINT_EVENTS = T.StructType([
     T.StructField("event_ts", NTZ, False),
     T.StructField("rows_ingested", T.LongType()),
     T.StructField("error_message", T.StringType()),
+    T.StructField("run_id", T.StringType()),  # the run that claimed the slice
 ])

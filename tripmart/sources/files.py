@@ -4,15 +4,16 @@ Monthly trip files are named ``{service}_tripdata_{yyyy-MM}.parquet``. Their
 column types drift from month to month (a count stored as long one month and
 double the next), and one multi-file read over drifting footers fails. Files
 are therefore read per service, in few groups (one when their footers merge);
-each group is one read, harmonised, cast to the declared landing schema, and
-the groups are unioned. The number of plan leaves follows the changes of
-schema, not the files.
+each group is one read, harmonised and cast to the declared landing schema.
+Groups are unioned where a common type keeps all their values exactly. The
+number of plan leaves follows the changes of schema, not the files.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from functools import reduce
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 from tripmart import schemas
 from tripmart.functions.columns import nulls_to_none, ntz_lit
 from tripmart.operators.harmonise import conform, harmonise
+from tripmart.operators.widen import merge
+from tripmart.plans.commits import UNMERGEABLE, UNREADABLE, conditions, has_condition
 
 TRIP_FILE_RE = r"(yellow|green)_tripdata_(\d{4}-\d{2})\.parquet"
 # Landing folders may also be laid out Hive-style: service_type=X/source_month=Y/part-*.
@@ -69,19 +72,20 @@ def schema_groups(spark: SparkSession, service: str, files: list[str]):
     try:
         return [(files, spark.read.option("mergeSchema", "true").parquet(*files).schema)]
     except Exception as e:
-        text = str(e)
-        if len(files) == 1 or not ("MERGE" in text.upper() or "DUPLICATE" in text.upper() or "incompatible" in text):
+        if len(files) == 1 or not (has_condition(e, UNMERGEABLE) or has_condition(e, "COLUMN_ALREADY_EXISTS")):
             raise
     half = len(files) // 2
     return [*schema_groups(spark, service, files[:half]), *schema_groups(spark, service, files[half:])]
 
 
-def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> DataFrame:
-    """Read monthly trip files into the landing layout, stamping lineage.
+def trip_file_parts(spark: SparkSession, paths: list[str], ingest_ts=None) -> list[tuple[DataFrame, list[tuple[str, str]]]]:
+    """Monthly trip files in the landing layout, as few frames as their types allow, with the slices of each.
 
     The declared columns come first; all other columns of the files follow.
-    ``source_month`` and ``service_type`` come from each row's file path
-    (``_metadata.file_path``), so one read serves many files.
+    Files go together where one type holds all values of a column exactly; the
+    files of one slice always do. ``source_month`` and ``service_type`` come
+    from each row's file path (``_metadata.file_path``), so one read serves
+    many files.
     """
     by_service: dict[str, list[str]] = defaultdict(list)
     for p in paths:
@@ -90,7 +94,7 @@ def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> Da
             raise ValueError(f"not a monthly trip file name: {p}")
         by_service[parsed[0]].append(p)
 
-    parts = []
+    parts: list[tuple[list[DataFrame], T.StructType, set]] = []
     for service, service_files in sorted(by_service.items()):
         for files, schema in schema_groups(spark, service, service_files):
             df = harmonise(spark.read.schema(schema).parquet(*files), service)
@@ -99,27 +103,85 @@ def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> Da
                 "source_month": _path_part(2),
                 "service_type": _path_part(1),
             })
-            parts.append(conform(df, schemas.LANDING, keep_extra=True))
-    return union_all(parts) if parts else spark.createDataFrame([], schemas.LANDING)
-
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    """Union by name over all columns of all parts. A column outside the
-    landing schema whose type differs between parts becomes DOUBLE if all its
-    types are numeric, else STRING."""
-    kinds: dict[str, list[T.DataType]] = defaultdict(list)
-    for p in parts:
-        for f in p.schema.fields:
-            if f.dataType not in kinds[f.name.lower()]:
-                kinds[f.name.lower()].append(f.dataType)
-
-    def common(name: str) -> T.DataType:
-        numeric = all(isinstance(t, T.NumericType) for t in kinds[name.lower()])
-        return T.DoubleType() if numeric else T.StringType()
-
-    parts = [p.withColumns({c: F.col(f"`{c}`").cast(common(c)) for c in p.columns if len(kinds[c.lower()]) > 1})
-             for p in parts]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            df = conform(df, schemas.LANDING, keep_extra=True)
+            frames, common, slices = [df], df.schema, {parse_trip_file(f)[::-1] for f in files}
+            apart = []
+            for other in parts:
+                merged, exact = merge(common, other[1])
+                if exact or slices & other[2]:
+                    frames, common, slices = other[0] + frames, merged, slices | other[2]
+                else:
+                    apart.append(other)
+            parts = [*apart, (frames, common, slices)]
+    return [(union_as(frames, common), sorted(slices)) for frames, common, slices in parts]
+
+
+def read_trip_files(spark: SparkSession, paths: list[str], ingest_ts=None) -> DataFrame:
+    """Monthly trip files as one frame in the landing layout, each column of the widest type it has."""
+    parts = [df for df, _ in trip_file_parts(spark, paths, ingest_ts)]
+    if not parts:
+        return spark.createDataFrame([], schemas.LANDING)
+    return union_as(parts, reduce(lambda a, b: merge(a, b)[0], [p.schema for p in parts]))
+
+
+def union_as(parts: list[DataFrame], schema: T.StructType) -> DataFrame:
+    """Union of all parts by name, cast to ``schema``; columns that a part lacks are NULL there."""
+    def cast(df: DataFrame) -> DataFrame:
+        have = {f.name.lower(): f.name for f in df.schema.fields}
+        return df.select(*[(F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None))
+                           .cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    return reduce(DataFrame.unionByName, map(cast, parts))
+
+
+def unreadable(spark: SparkSession, paths: list[str], whole: bool = False) -> dict[str, str]:
+    """Those of ``paths`` (files or slice folders) that hold a file which cannot be read, and why.
+
+    One job opens every file on the executors, passing over those that fail.
+    It reads the footers, or with ``whole`` decodes every column; a file that
+    then gives fewer rows than its footer tells is unreadable. Files whose
+    footer gave no row are empty or unreadable: those alone are opened one
+    folder at a time.
+    """
+    footers = _rows_by_file(spark, paths, T.StructType([T.StructField("_no_such_column", T.IntegerType())]))
+    bad = {}
+    if whole:
+        for service in sorted({parse_trip_file(p)[0] for p in paths}):
+            for files, schema in schema_groups(spark, service, [p for p in paths if parse_trip_file(p)[0] == service]):
+                decoded = _rows_by_file(spark, files, schema)
+                for path in files:
+                    short = [f for f in part_files(spark, path) if decoded.get(f, 0) < footers.get(f, 0)]
+                    bad.update({path: f"{short[0]} gave {decoded.get(short[0], 0)} of {footers[short[0]]} rows"} if short else {})
+        return bad
+    for path in (p for p in paths if not footers.keys() >= set(part_files(spark, p))):
+        try:
+            spark.read.option("mergeSchema", "true").parquet(path).schema
+        except Exception as e:
+            if not has_condition(e, UNREADABLE, "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            bad[path] = f"{path}: {', '.join(conditions(e))}"
+    return bad
+
+
+def _rows_by_file(spark: SparkSession, paths: list[str], schema: T.StructType) -> dict[str, int]:
+    """Rows that each file gives, all columns of ``schema`` decoded, until the first that cannot be read."""
+    df = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths)
+    rows = df.select(F.col("_metadata.file_path").alias("file"), F.xxhash64(*[F.col(f"`{c}`") for c in schema.names]).alias("hash"))
+    counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.max("hash"))
+    return {_plain(r.file): r.n for r in counts.collect()}  # a row for each file
+
+
+def _plain(path: str) -> str:
+    """A path without scheme, authority and escapes."""
+    return unquote(urlparse(path).path)
+
+
+def part_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files at a path or in its folder, without scheme."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return [_plain(f.getPath().toString()) for f in found
+            if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
 
 
 def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
