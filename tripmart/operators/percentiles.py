@@ -28,15 +28,32 @@ from pyspark.sql import types as T
 from tripmart.session import ensure_checkpoint_dir
 
 
+def value_counts(df: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
+    """``group_cols``, ``_v`` and ``_n``: how often each non-NULL value occurs in its group, map-side combined.
+
+    Counts are the state of an exact percentile: those of parts of the rows,
+    kept apart, merge by adding them up (``merged_counts``).
+    """
+    v = F.col(value_col)
+    return df.where(v.isNotNull()).groupBy(*group_cols, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def merged_counts(counts: DataFrame, group_cols: list[str]) -> DataFrame:
+    """The counts of all parts together, by ``group_cols`` (coarser ones than the parts' will do)."""
+    return counts.groupBy(*group_cols, "_v").agg(F.sum("_n").cast("bigint").alias("_n"))
+
+
 def ranked_values(df: DataFrame, group_cols: list[str], value_col: str,
                   num_partitions: int | None = None) -> DataFrame:
+    """``ranked_counts`` of the values in ``df``."""
+    return ranked_counts(value_counts(df, group_cols, value_col), group_cols, num_partitions)
+
+
+def ranked_counts(vc: DataFrame, group_cols: list[str], num_partitions: int | None = None) -> DataFrame:
     """``group_cols``, ``_v``, ``_n`` and the ranks ``_start`` (inclusive) to ``_end`` (exclusive) of every
-    distinct non-NULL value in its group of ``_total`` values. A NULL group is a group."""
-    spark = df.sparkSession
+    distinct value in its group of ``_total`` values. A NULL group is a group."""
+    spark = vc.sparkSession
     ensure_checkpoint_dir(spark)
-    v = F.col(value_col)
-    vc = (df.where(v.isNotNull()).groupBy(*group_cols, v.alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_n")))
     parts = [num_partitions] if num_partitions else []
     ranged = (vc.repartitionByRange(*parts, *group_cols, "_v")
                 .withColumn("_pid", F.spark_partition_id())
@@ -68,9 +85,15 @@ def grouped_percentile_cont(df: DataFrame, group_cols: list[str], value_col: str
                             num_partitions: int | None = None) -> DataFrame:
     """``group_cols`` + one column per entry of ``percentiles`` (name -> p), and from the same value
     counts ``_count``, ``_sum``, ``_min`` and ``_max`` of the values, so a report needs one pass."""
-    vtype = df.schema[value_col].dataType
+    return percentiles_of_counts(value_counts(df, group_cols, value_col), group_cols, percentiles, num_partitions)
+
+
+def percentiles_of_counts(counts: DataFrame, group_cols: list[str], percentiles: dict[str, float],
+                          num_partitions: int | None = None) -> DataFrame:
+    """The same from value counts (``group_cols``, ``_v``, ``_n``), one row for each value of a group."""
+    vtype = counts.schema["_v"].dataType
     exact = isinstance(vtype, T.DecimalType)
-    ranked = ranked_values(df, group_cols, value_col, num_partitions)
+    ranked = ranked_counts(counts, group_cols, num_partitions)
 
     # The type that summing the values themselves would give.
     total = F.sum(F.col("_v") * F.col("_n").cast("decimal(20,0)") if exact else F.col("_v") * F.col("_n"))

@@ -152,6 +152,21 @@ def fact_trips(silver: DataFrame, zones: Dim, vendors: Dim, payments: Dim,
     )
 
 
+#: Measures of the percentile reports and the condition of the trips that count for them.
+VALUE_MEASURES = {"speed_mph": "trip_time_minutes > 0 AND trip_distance > 0", "trip_time_minutes": "trip_time_minutes > 0"}
+
+
+def value_state(fact: DataFrame) -> DataFrame:
+    """How often each value of the reports' measures occurs, by month and pickup zone: (source_month, pu_zone_key,
+    measure, _v, _n). A month's counts come from its trips alone, so they are rebuilt with it; the counts of several
+    months add up to exact percentiles of all of them."""
+    pairs = [F.when(F.expr(counts), F.struct(F.lit(name).alias("measure"), F.col(name).cast("decimal(18,2)").alias("_v")))
+             for name, counts in VALUE_MEASURES.items()]
+    found = fact.select("source_month", "pu_zone_key", F.explode(F.array(*pairs)).alias("x"))
+    rows = found.where("x IS NOT NULL").select("source_month", "pu_zone_key", "x.measure", "x._v").where("_v IS NOT NULL")
+    return rows.groupBy("source_month", "pu_zone_key", "measure", "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+
 def build_gold(spark: SparkSession, bronze: DataFrame, zones_bronze: Dim, p: Params,
                silver: DataFrame | None = None) -> Gold:
     """Lazily plan all gold tables from bronze trips and zones."""

@@ -36,7 +36,7 @@ from tripmart.plans import layout, publish
 from tripmart.plans.bronze import bronze_trips, bronze_zones
 from tripmart.plans.checks import Blocked, gold_checks, silver_checks, violated
 from tripmart.plans.commits import UNREADABLE, has_condition, is_missing
-from tripmart.plans.gold import Gold, build_gold, with_hash_trip_key, with_trip_key
+from tripmart.plans.gold import Gold, build_gold, value_state, with_hash_trip_key, with_trip_key
 from tripmart.plans.ledger import Ledger, pending
 from tripmart.plans.queries import Tables
 from tripmart.plans.raw import RawTrips
@@ -285,12 +285,13 @@ def build_gold_tables(spark: SparkSession, lake: Lake, p: Params,
         results += gold_checks(replace(tested, fact=fact), {"fct_trips"}).collect()
         if violated(results, p.tolerated):
             raise Blocked(results)
+        layout.write_fact(value_state(fact), path(publish.VALUES))
         present = publish.write_runs(fact, root, build, trip_key == "rank")
         publish.publish(spark, root, build, list(publish.DIMS), present, trip_key, only=months)
         published = True
     finally:
         if not published:
-            for table in (*publish.DIMS, publish.FACT, publish.RUNS):
+            for table in (*publish.DIMS, publish.FACT, publish.RUNS, publish.VALUES):
                 layout.remove_table(spark, path(table))
     return spark.createDataFrame(results, checks.schema)
 
@@ -336,4 +337,8 @@ def _gold(spark: SparkSession, root: str, version: publish.Version, p: Params, w
 
 
 def load_tables(spark: SparkSession, lake: Lake, p: Params) -> Tables:
-    return Tables(bronze=load_bronze(spark, lake), gold=load_gold(spark, lake, p))
+    """Bronze and the last published version: the star and its value counts."""
+    root = lake.p("gold")
+    version = publish.current(spark, root)
+    return Tables(bronze=load_bronze(spark, lake), gold=_gold(spark, root, version, p),
+                  values=publish.read_values(spark, root, version))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tripmart.plans import layout
 from tripmart.plans.commits import CommitLog
 
-FACT, RUNS = "fct_trips", "fct_trips_runs"
+FACT, RUNS, VALUES = "fct_trips", "fct_trips_runs", "fct_trips_values"
 DIMS = ("dim_date", "dim_zones", "dim_service_type", "dim_payment_type", "dim_vendors")
 RUN_SCHEMA = "source_month string, vendor_id int, first bigint, keys bigint"
 #: Runs whose moves are looked up in a literal; more are joined.
@@ -102,6 +102,16 @@ def write_runs(fact: DataFrame, root: str, build: str, ranked: bool) -> list[str
                   .select("source_month").distinct().collect())
 
 
+def read_values(spark: SparkSession, root: str, version: Version) -> DataFrame:
+    """The value counts of a version's months (``gold.value_state``), in one scan."""
+    if not version.months:
+        raise NotBuilt(f"the published fact under {root} has no month")
+    if version.whole:
+        return spark.read.parquet(build_path(root, VALUES, *set(version.months.values())))
+    return spark.read.option("basePath", f"{root}/{VALUES}").parquet(
+        *[f"{build_path(root, VALUES, b)}/source_month={m}" for m, b in sorted(version.months.items())]).drop("build")
+
+
 def read_runs(spark: SparkSession, root: str, version: Version) -> DataFrame:
     """The runs of a version's months, and ``move``: what to add to a rank of the build for the rank in the fact."""
     by_build: dict[str, list[str]] = {}
@@ -154,7 +164,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     for n in commits.numbers()[-keep:]:
         content = json.loads(commits.text(n))
         used |= set(content["dims"].values()) | set(content["months"].values())
-    gone = [f for t in (*DIMS, FACT, RUNS) for f in layout.folders(spark, f"{root}/{t}") if f.rpartition("build=")[2] not in used]
+    gone = [f for t in (*DIMS, FACT, RUNS, VALUES) for f in layout.folders(spark, f"{root}/{t}") if f.rpartition("build=")[2] not in used]
     for f in gone:
         layout.remove_table(spark, f)
     return gone

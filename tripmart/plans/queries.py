@@ -28,14 +28,15 @@ from pyspark.sql import types as T
 from tripmart import schemas
 from tripmart.functions.columns import (case_order, day_of_week, exact_mean, exact_mean_scaled,
                                         ntz_lit, percent_of, ratio_percent, time_block)
-from tripmart.operators.percentiles import grouped_percentile_cont
-from tripmart.plans.gold import Gold, fact_from_bronze
+from tripmart.operators.percentiles import merged_counts, percentiles_of_counts, value_counts
+from tripmart.plans.gold import VALUE_MEASURES, Gold, fact_from_bronze
 
 
 @dataclass(frozen=True)
 class Tables:
     bronze: DataFrame
     gold: Gold
+    values: DataFrame | None = None  # value counts by month and pickup zone, where they are kept (``gold.value_state``)
 
     @property
     def p(self):
@@ -298,33 +299,45 @@ def q16_distance_per_month(t: Tables) -> DataFrame:
 
 # ------------------------------------------------------------------ Q17-Q20
 
-def _value_report(rows: DataFrame, keys: list[str], value: str, pcts: dict[str, float], **names: str) -> DataFrame:
-    """Per group: trip count, exact PERCENTILE_CONT values and, under the given names, mean, min and max
-    of ``value`` (never NULL in ``rows``), all from one pass over its value counts, rounded to 2."""
-    found = grouped_percentile_cont(rows, keys, value, pcts)
+def _value_report(counts: DataFrame, keys: list[str], pcts: dict[str, float], **names: str) -> DataFrame:
+    """Per group of value counts: trip count, exact PERCENTILE_CONT values and, under the given names, mean,
+    min and max of the values, rounded to 2."""
+    found = percentiles_of_counts(counts, keys, pcts)
     parts = {"mean": F.col("_sum") / F.col("_count"), "min": F.col("_min"), "max": F.col("_max")}
     return found.select(*keys, F.col("_count").alias("trip_count"), *[F.round(F.col(p), 2).alias(p) for p in pcts],
                         *[F.round(parts[k], 2).alias(name) for k, name in names.items()])
 
 
+def _zone_counts(t: Tables, value: str, keys: list[str], kept: F.Column) -> DataFrame:
+    """Counts of ``value`` where ``kept`` (a condition on ``_v``) by keys of the pickup zone, over the year: from
+    the months' kept counts, else from the fact."""
+    if t.values is None:
+        rows = _fact_zone_year(t).where(VALUE_MEASURES[value]).withColumn("_v", F.col(value)).where(kept)
+        return value_counts(rows.drop("_v"), keys, value)
+    year = t.values.where(F.col("source_month").between(t.p.month_lo, t.p.month_hi) & (F.col("measure") == value) & kept)
+    z = _zones(t)
+    # the type that the fact's column has, which sums and interpolation follow
+    counts = year.withColumn("_v", F.col("_v").cast(t.gold.fact.schema[value].dataType))
+    return merged_counts(counts.join(z, counts.pu_zone_key == z.zone_key), keys)
+
+
 def _borough_order():
     return case_order("borough", schemas.BOROUGH_ORDER, len(schemas.BOROUGH_ORDER) + 1)
 
 
 def _plausible_speed(t: Tables, f: DataFrame) -> DataFrame:
-    return f.where(F.col("speed_mph").between(0, t.p.q17_max_speed)
-                   & (F.col("trip_time_minutes") > 0) & (F.col("trip_distance") > 0))
+    return f.where(VALUE_MEASURES["speed_mph"]).where(F.col("speed_mph").between(0, t.p.q17_max_speed))
 
 
-def _speed_report(t: Tables, f: DataFrame, keys: list[str]) -> DataFrame:
-    report = _value_report(f, keys, "speed_mph", {"median_speed_mph": 0.5},
+def _speed_report(t: Tables, counts: DataFrame, keys: list[str]) -> DataFrame:
+    report = _value_report(counts, keys, {"median_speed_mph": 0.5},
                            mean="avg_speed_mph", min="min_speed_mph", max="max_speed_mph")
     return (report.where(F.col("trip_count") >= t.p.q17_min_trips).orderBy(_borough_order(), *keys)
             .select(*keys, "avg_speed_mph", "median_speed_mph", "trip_count", "min_speed_mph", "max_speed_mph"))
 
 
 def q17_speed_by_borough(t: Tables) -> DataFrame:
-    return _speed_report(t, _plausible_speed(t, _fact_zone_year(t)), ["borough"])
+    return _speed_report(t, _zone_counts(t, "speed_mph", ["borough"], F.col("_v").between(0, t.p.q17_max_speed)), ["borough"])
 
 
 def q17b_speed_by_borough_time_block(t: Tables) -> DataFrame:
@@ -337,19 +350,20 @@ def q17b_speed_by_borough_time_block(t: Tables) -> DataFrame:
         t = replace(t, gold=replace(t.gold, fact=fact_from_bronze(bronze, t.gold)))
     f = _plausible_speed(t, _fact_zone_year(t)).withColumn(
         "time_block", time_block(F.hour("pickup_ts"), schemas.TIME_BLOCKS, schemas.TIME_BLOCK_ELSE))
-    return _speed_report(t, f, ["borough", "time_block"])
+    keys = ["borough", "time_block"]
+    return _speed_report(t, value_counts(f, keys, "speed_mph"), keys)
 
 
 def q18_duration_percentiles_by_borough(t: Tables) -> DataFrame:
-    f = _fact_zone_year(t).where(F.col("trip_time_minutes") > 0)
-    return (_value_report(f, ["borough"], "trip_time_minutes", {"p50_duration_min": 0.5, "p90_duration_min": 0.9})
+    counts = _zone_counts(t, "trip_time_minutes", ["borough"], F.lit(True))
+    return (_value_report(counts, ["borough"], {"p50_duration_min": 0.5, "p90_duration_min": 0.9})
             .orderBy(F.desc("p90_duration_min"), "borough")
             .select("borough", "trip_count", "p50_duration_min", "p90_duration_min"))
 
 
 def q19_top_zones_by_p90_duration(t: Tables) -> DataFrame:
-    f = _fact_zone_year(t).where(F.col("trip_time_minutes") > 0)
-    report = _value_report(f, ["zone_name", "borough", "zone_key"], "trip_time_minutes", {"p90_duration_min": 0.9},
+    keys = ["zone_name", "borough", "zone_key"]
+    report = _value_report(_zone_counts(t, "trip_time_minutes", keys, F.lit(True)), keys, {"p90_duration_min": 0.9},
                            mean="avg_duration_min", max="max_duration_min")
     return (report.where(F.col("trip_count") >= t.p.q19_min_trips)
             .orderBy(F.desc("p90_duration_min"), "zone_key").limit(t.p.top_n)
@@ -402,9 +416,17 @@ def q21_column_metadata(t: Tables) -> DataFrame:
 
 
 def q22_fact_sample(t: Tables, n: int = 5) -> DataFrame:
-    """First ``n`` fact rows by trip key (ties broken by every column): one top-n pass."""
+    """First ``n`` fact rows by trip key (ties broken by every column).
+
+    The n-th smallest key, found in the key column alone, is pushed down as a
+    filter; so whole rows are read from few row groups.
+    """
     fact = gold_table_frames(t)["fct_trips"]
     order = ["trip_key"] if "trip_key" in fact.columns else []
+    if order:
+        smallest = [r[0] for r in fact.select("trip_key").orderBy(F.asc_nulls_last("trip_key")).limit(n).collect()]
+        if len(smallest) == n and smallest[-1] is not None:
+            fact = fact.where(F.col("trip_key") <= F.lit(smallest[-1]))
     order += [c for c in fact.columns if c not in order]
     return fact.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
 
