@@ -163,6 +163,23 @@ def test_dense_rank_on_one_hot_key(spark):
     assert out == {(0, "b"): 1, (1, "a"): 2, (2, "c"): 3}
 
 
+def test_unique_tests_of_a_table_share_a_read_and_a_shuffle(spark):
+    import contextlib
+    import io
+
+    df = spark.createDataFrame([(1, "a", D(2024, 1, 1)), (1, "b", D(2024, 1, 1)), (2, "b", None), (2, "c", D(2024, 1, 2)), (None, None, None),
+                                (3, "1", D(2024, 1, 1))], "k int, v string, at timestamp_ntz")
+    for columns in (["k"], ["k", "v", "at"]):
+        out = run_tests({"t": df.repartition(3)}, unique("t", *columns))
+        assert {r.column_name: (r.violations, r.passed) for r in out.collect()} == {
+            c: ({"k": 2, "v": 1, "at": 1}[c], False) for c in columns}
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        run_tests({"t": spark.range(9).selectExpr("id", "id % 2 AS a", "string(id) AS b")}, unique("t", "id", "a", "b")).explain("formatted")
+    tree = buf.getvalue().split("\n(1) ")[0]
+    assert tree.count("Range") == 1 and tree.count("Exchange") - tree.count("BroadcastExchange") <= 2
+
+
 @pytest.mark.parametrize("parts", [1, 3, 8])
 def test_dense_rank_spreads_a_hot_key(spark, parts):
     """A third of all rows share a key, NULL in part, and many are equal in full; ranks equal the window's."""

@@ -7,8 +7,10 @@ Commands
   ingest       --lake L --landing D --service S --month M
                                                ... or those of one service and month
   build-silver --lake L                        silver view + its tests
-  build-gold   --lake L [--trip-key hash [--months 2024-01,2024-02]]
-                                               gold tables + their tests
+  build-gold   --lake L [--trip-key hash] [--months 2024-01,2024-02]
+                                               gold tables + their tests, or some months
+  vacuum       --lake L [--keep 2]             delete builds that no recent version names
+  compact      --lake L                        gather the ledger's commits in one folder
   run-all      --lake L --landing D --zones-csv Z
   status       --lake L                        ledger state per slice
   query        --lake L NAME [--out PATH]      run a business query (or 'list')
@@ -65,12 +67,14 @@ def main(argv=None) -> int:
     ap.add_argument("--trip-key", choices=["rank", "hash"], default="rank")
     ap.add_argument("--service", choices=["yellow", "green"])
     ap.add_argument("--month", help="yyyy-MM")
-    ap.add_argument("--months", help="comma-separated yyyy-MM months to rebuild (hash key only)")
+    ap.add_argument("--months", help="comma-separated yyyy-MM months to rebuild")
+    ap.add_argument("--keep", type=int, default=2, help="published versions to keep (vacuum)")
+    ap.add_argument("--lease-minutes", type=float, default=120, help="how long a backfill holds the slices it started")
     ap.add_argument("--input-bytes", type=int, help="input size, to size partitions")
     ap.add_argument("--total-cores", type=int, help="executor cores in the cluster")
     a = ap.parse_intermixed_args(argv)
 
-    from tripmart.plans import jobs
+    from tripmart.plans import jobs, publish
     from tripmart.plans import queries as Q
     from tripmart.plans.checks import Blocked, violated
     from tripmart.plans.ledger import Ledger
@@ -94,7 +98,7 @@ def main(argv=None) -> int:
     if cmd == "ingest-zones":
         print(jobs.ingest_zones(spark, lake, a.zones_csv))
     elif cmd == "backfill":
-        show(jobs.backfill(spark, lake, a.landing, p))
+        show(jobs.backfill(spark, lake, a.landing, p, lease=dt.timedelta(minutes=a.lease_minutes)))
     elif cmd == "ingest":
         if a.args:
             print(jobs.ingest_trips(spark, lake, a.args))
@@ -118,6 +122,10 @@ def main(argv=None) -> int:
     elif cmd == "sql":
         lake.register(spark, p)
         show(spark.sql(a.args[0]))
+    elif cmd == "vacuum":
+        print("\n".join(publish.vacuum(spark, lake.p("gold"), a.keep)))
+    elif cmd == "compact":
+        print(Ledger(spark, lake.events).compact())
     elif cmd == "status":
         show(Ledger(spark, lake.events).state().orderBy("year_month", "service_type"))
     elif cmd == "query":

@@ -57,9 +57,13 @@ def run_tests(tables: dict[str, DataFrame], tests: list[ColumnTest],
     parents = parents or {}
     parts: list[DataFrame] = []
 
-    def labelled(df: DataFrame, t: ColumnTest) -> DataFrame:
-        return df.select(F.lit(t.table).alias("table_name"), F.lit(t.column).alias("column_name"),
-                         F.lit(t.test).alias("test_name"), F.col("violations").cast("bigint"))
+    def counted(df: DataFrame, mine: list[ColumnTest], counts: DataFrame) -> DataFrame:
+        """A row for each test of ``mine``, with ``counts`` (test, n) by its place there, else 0."""
+        declared = df.sparkSession.createDataFrame(
+            [(i, t.table, t.column, t.test) for i, t in enumerate(mine)],
+            "test int, table_name string, column_name string, test_name string")
+        return F.broadcast(declared).join(counts, "test", "left").select(
+            "table_name", "column_name", "test_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("violations"))
 
     for table in dict.fromkeys(t.table for t in tests):
         df = tables[table]
@@ -84,18 +88,18 @@ def run_tests(tables: dict[str, DataFrame], tests: list[ColumnTest],
             hits = flagged.select(F.explode(F.array_compact(F.array(*found))).alias("hit")).select("hit.test", "hit.value")
             by_value = hits.groupBy("test", "value").agg(F.count(F.lit(1)).alias("n"))
             counts = by_value.groupBy("test").agg(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(1)).alias("n"))
-            declared = df.sparkSession.createDataFrame(
-                [(i, t.table, t.column, t.test) for i, t in enumerate(scan)],
-                "test int, table_name string, column_name string, test_name string")
-            parts.append(F.broadcast(declared).join(counts, "test", "left").select(
-                "table_name", "column_name", "test_name",
-                F.coalesce("n", F.lit(0)).cast("bigint").alias("violations")))
-        for t in mine:
-            c = F.col(t.column)
-            if t.test == "unique":
-                dup = (df.where(c.isNotNull()).groupBy(c).count().where(F.col("count") > 1)
-                         .agg(F.count(F.lit(1)).alias("violations")))
-                parts.append(labelled(dup, t))
+            parts.append(counted(df, scan, counts))
+        single = [t for t in mine if t.test == "unique"]
+        if single:
+            # (test, value) of all unique tests of the table in one read and one shuffle; as text, which tells
+            # values of one column apart, where the columns' types differ
+            kinds = {df.schema[t.column].dataType for t in single}
+            kind = "string" if len(kinds) > 1 else kinds.pop()
+            values = [F.struct(F.lit(i).alias("test"), F.col(t.column).cast(kind).alias("value"))
+                      for i, t in enumerate(single)]
+            found = df.select(F.explode(F.array(*values)).alias("x")).select("x.test", "x.value").where("value IS NOT NULL")
+            twice = found.groupBy("test", "value").count().where("count > 1")
+            parts.append(counted(df, single, twice.groupBy("test").agg(F.count(F.lit(1)).alias("n"))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
