@@ -35,7 +35,7 @@ def _byte_letters() -> list[str]:
 
 
 #: Texts encoded at once; the more there are, the more of their words are the same.
-ENCODED_BYTES = 8 << 20
+ENCODED_BYTES = 4 << 20
 
 
 def worker_encoder(tokenizer_file: str) -> TextEncoder:
@@ -50,7 +50,7 @@ def worker_encoder(tokenizer_file: str) -> TextEncoder:
 class TextEncoder:
     """Ids of texts as little-endian bytes of ``dtype`` (the smallest unsigned type for the vocabulary)."""
 
-    def __init__(self, tokenizer_file: str, max_cached: int = 150_000):
+    def __init__(self, tokenizer_file: str, max_cached: int = 60_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
