@@ -50,7 +50,7 @@ def worker_encoder(tokenizer_file: str) -> TextEncoder:
 class TextEncoder:
     """Ids of texts as little-endian bytes of ``dtype`` (the smallest unsigned type for the vocabulary)."""
 
-    def __init__(self, tokenizer_file: str, max_cached: int = 60_000):
+    def __init__(self, tokenizer_file: str, max_cached: int = 100_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
