@@ -208,19 +208,22 @@ def test_upper_median(spark):
     assert all(r.c is None for r in out)
 
 
-def test_kth_smallest_matches_sorting(spark):
-    from tripmart.operators.impute import upper_median_exprs
-    from tripmart.operators.order_stats import kth_smallest
+def test_ranked_values_match_sorting(spark):
+    from tripmart.operators.percentiles import ranked_values
 
     rnd = random.Random(3)
     vals = [rnd.choice([None, 1.5, 2.25, 7.0]) if i % 3 else rnd.random() * 100 for i in range(999)]
     vals += [42.0] * 400  # one hot value
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    df = spark.createDataFrame([("g", v) for v in vals], "g string, x double")
     ordered = sorted(v for v in vals if v is not None)
-    for k in (0, len(ordered) // 2, len(ordered) - 1):
-        assert kth_smallest(df, "x", lambda n, k=k: k, max_values_per_partition=50) == ordered[k]
-    sql = df.agg(*upper_median_exprs(["x"])).first().x
-    assert kth_smallest(df, "x") == ordered[len(ordered) // 2] == sql
+    ranked = ranked_values(df, ["g"], "x", num_partitions=5).collect()
+    assert all(r["_total"] == len(ordered) for r in ranked)
+    for r in ranked:
+        assert ordered[r["_start"]:r["_end"]] == [r["_v"]] * r["_n"]
+    assert sum(r["_n"] for r in ranked) == len(ordered)
+    # percentile_disc over descending values picks the upper of two middle values
+    sql = df.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x DESC)")).first()[0]
+    assert upper_medians(df, ["x"])["x"] == ordered[len(ordered) // 2] == sql
 
 
 def test_quality_tests_count_planted_violations(spark):

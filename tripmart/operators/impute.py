@@ -24,12 +24,6 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t.startswith(NUMERIC_PREFIXES)]
 
 
-def upper_median_exprs(cols: list[str]):
-    """The same statistic as one SQL aggregate per column, for small inputs:
-    ``percentile_disc(0.5) WITHIN GROUP (ORDER BY x DESC)``."""
-    return [F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}` DESC)").alias(c) for c in cols]
-
-
 def upper_medians(df: DataFrame, cols: list[str]) -> dict:
     """Upper median per column; one read per distinct column type."""
     types, medians = dict(df.dtypes), dict.fromkeys(cols)
