@@ -61,6 +61,44 @@ def test_slice_overwrite_is_idempotent(spark, scratch):
     assert [r.v for r in sub.collect()] == [2]
 
 
+def test_clustered_slices_skip_row_groups(spark, scratch):
+    """A slice of 1996 holds trips of 1995 and 1997 here and there; files in pickup order keep them to few row groups."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    day = F.expr("timestampadd(MINUTE, CAST(rand(3) * 43000 AS INT), timestamp_ntz'1996-05-01 00:00:00')")
+    leak = F.when(F.col("id") % 97 == 0, F.lit(-12)).when(F.col("id") % 89 == 0, F.lit(12)).otherwise(F.lit(0))
+    df = spark.range(40_000, numPartitions=1).select(
+        F.expr("id").alias("trip"), (day + F.make_ym_interval(F.lit(0), leak)).alias("pickup_ts"),
+        F.lit("1996-05").alias("source_month"), F.lit("yellow").alias("service_type"))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("parquet.block.size", str(16 * 1024))
+    try:
+        layout.write_slices(df, f"{scratch}/plain")
+        layout.write_slices(df, f"{scratch}/clustered", cluster="pickup_ts")
+    finally:
+        conf.unset("parquet.block.size")
+
+    def groups(path):
+        """Row groups in all, and those whose statistics reach into 1995."""
+        total = reached = 0
+        for f in glob.glob(f"{path}/*/*/*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            at = meta.schema.names.index("pickup_ts")
+            for k in range(meta.num_row_groups):
+                total += 1
+                reached += meta.row_group(k).column(at).statistics.min < D(1996, 1, 1)
+        return total, reached
+
+    total, reached = groups(f"{scratch}/plain")
+    assert total > 5 and reached == total          # a leaked trip in every row group
+    total, reached = groups(f"{scratch}/clustered")
+    assert total > 5 and reached <= 1 + total // 20
+    year = spark.read.parquet(f"{scratch}/clustered").where("pickup_ts < timestamp_ntz'1996-01-01 00:00:00'")
+    assert year.count() == df.where("trip % 97 = 0").count()
+
+
 def test_ledger_state_machine(spark, scratch):
     lg = Ledger(spark, f"{scratch}/events")
     s1, s2 = ("2024-01", "yellow"), ("2024-02", "green")

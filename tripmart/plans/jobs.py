@@ -142,7 +142,7 @@ def ingest_trips(spark: SparkSession, lake: Lake, files: list[str], ingest_ts: d
         landed = [s for s in slices if s in counts]
         if landed:
             bronze = bronze_trips(layout.read_slices(spark, lake.raw_trips, schemas.LANDING, slices=landed))
-            layout.write_slices(bronze, lake.bronze_trips)
+            layout.write_slices(bronze, lake.bronze_trips, cluster="pickup_ts")
         layout.drop_slices(spark, lake.bronze_trips, empty)
         rows = {s: counts.get(s, 0) for s in slices}
         ledger.append(slices, "completed", rows=rows, run=run)

@@ -32,15 +32,18 @@ def _rebalanced(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def write_slices(df: DataFrame, path: str, keys=SLICE_KEYS, rebalance: bool = False) -> None:
+def write_slices(df: DataFrame, path: str, keys=SLICE_KEYS, rebalance: bool = False, cluster: str | None = None) -> None:
     """Replace exactly the slices present in ``df`` (idempotent).
 
     Monthly files (and the raw table) hold one slice per file, so each input
     split already writes into a single slice folder with a well-sized file:
     no shuffle is needed. Pass ``rebalance=True`` for input whose rows are
-    spread over many slices per task.
+    spread over many slices per task. With ``cluster`` each file is in the
+    order of that column (a sort inside the tasks), so that row groups span
+    little of it and a filter on it skips most, whatever the order of arrival.
     """
     out = _rebalanced(df, *keys) if rebalance else df
+    out = out.sortWithinPartitions(*keys, cluster) if cluster else out
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*keys).parquet(path))
