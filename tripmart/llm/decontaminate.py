@@ -24,7 +24,8 @@ Nothing that the edit bound allows is lost by it.
 The benchmark is walked in blocks of bounded size, each against all documents.
 Null and empty texts, on either side, hold nothing. Null ids of documents are
 results like others. Equal items are each reported; repeated documents give
-repeated results. Other columns are not looked at.
+repeated results. Very long documents are searched whole. Without items, or
+without documents, nothing is found. Other columns are not looked at.
 """
 
 from __future__ import annotations

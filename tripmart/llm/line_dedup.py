@@ -19,7 +19,8 @@ the edit distance of that pair is then checked on the words.
 
 Null texts have no lines. Rows with a null id lose nothing and make nothing a
 repeat; rows that repeat an id are judged by that id and the line's place.
-Other columns are not looked at.
+Very long texts are cut into lines whole; an empty table gives no rows. Other
+columns are not looked at.
 """
 
 from __future__ import annotations

@@ -9,6 +9,9 @@ left open at the end of a task are packed again in groups of tasks, level by
 level, until one group is left; its tail is cut into sequences whose lengths
 are powers of two, which need no padding.
 
+Of equally full windows the one opened first is taken. Very long texts are cut
+into parts of window length.
+
 A null or empty text is the end id alone. Null ids are packed like others,
 repeated rows are packed as often as they occur, other columns are not looked
 at, and an empty table gives no pieces.

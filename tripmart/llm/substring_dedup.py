@@ -15,7 +15,8 @@ as a whole.
 
 Null texts have no words. Rows with a null id lose nothing and make nothing a
 repeat. Rows that repeat an id are judged by that id. Texts shorter than the
-window lose nothing. Other columns are not looked at.
+window lose nothing; very long ones are judged whole. An empty table gives no
+rows. Other columns are not looked at.
 """
 
 from __future__ import annotations

@@ -12,6 +12,7 @@ and of parts are kept in bounded caches.
 
 Null and empty texts have no bytes and no tokens. A null id stays null,
 repeated rows give repeated results, and other columns are not looked at.
+Very long texts are counted whole, part by part; an empty table gives no rows.
 """
 
 from __future__ import annotations
