@@ -4,6 +4,12 @@ Every stage takes the documents that the one before it kept and returns those
 it keeps, with the same columns; the last returns the pieces of packed
 sequences. What a stage decides depends on its own input alone, besides the
 labels and the benchmark.
+
+Null texts are empty texts: they are scored, grouped and packed (as the end id
+alone) like others. Null ids stay null and are kept by the same rules. Rows
+that repeat an id and a text are one group of duplicates. Very long texts are
+handled whole. An empty table goes through all stages and gives no pieces;
+without labels no document is toxic, without a benchmark none is contaminated.
 """
 
 from __future__ import annotations
