@@ -41,7 +41,20 @@ def test_run_and_registry(spark):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert set(catalog.QUERIES) | {"pipeline"} <= names and len(catalog.QUERIES) == 10
-    assert {"op3_substring_dedup", "op7_exact_dedup"} <= set(entry.oracle_sql()) and "pipeline" not in entry.oracle_sql()
+    assert set(catalog.QUERIES) | {"pipeline"} <= names and len(catalog.QUERIES) == 13
+    assert {"op3_substring_dedup", "op7_exact_dedup", "op11_hard_negatives", "op12_conversation_repair"} <= set(entry.oracle_sql()) and "pipeline" not in entry.oracle_sql()
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and {r.doc_id for r in rows}
+
+
+def test_stages_on_empty_and_odd_tables(spark, docs, edge_texts):
+    """Nulls, empty and very long texts, repeated rows and clashing columns go through every stage, as does an empty table."""
+    sf = "/root/testdata/sf0.001"
+    for texts in ([], edge_texts):
+        table = docs(texts)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, table, sf)
+            assert kept.columns == docs(texts).columns
+            table = spark.createDataFrame(kept.collect(), kept.schema)
+        pieces = corpus_pipeline.STAGES[-1][1](spark, table, sf).collect()
+        assert checked(pieces, [(r.doc_id, r.text) for r in table.collect()], 4096) <= 1 if texts else pieces == []
